@@ -1,0 +1,63 @@
+"""Left joins that survive hot and null keys."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A key is hot when it holds more than one row in HOT_SHARE (so at most HOT_SHARE keys are hot, whatever
+# the data size) and more than HOT_ROWS rows (so small inputs are left alone).
+HOT_SHARE = 20_000
+HOT_ROWS = 1_000_000
+
+
+def row_hash(columns: Sequence[str]) -> Column:
+    """A hash over a row's columns: the same in every attempt of a task, unlike a random number."""
+    return F.xxhash64(*[F.col(c) for c in columns])
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``(key, splits)`` for hot keys; ``splits`` is proportional to the rows the key holds.
+
+    Grain: one row per hot key, at most ``HOT_SHARE`` rows.
+    """
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    floor = counts.agg(
+        F.greatest(F.sum("_n") / F.lit(float(HOT_SHARE)), F.lit(float(hot_rows))).alias("_floor")
+    ).scalar()
+    return counts.filter(F.col("_n") > floor).select(key, F.ceil(F.col("_n") / floor).cast("int").alias("_splits"))
+
+
+def left_join_spread(left: DataFrame, right: DataFrame, key: str, spread_by: Sequence[str] = ()) -> DataFrame:
+    """Left join on ``key`` where many left rows may have no key.
+
+    Rows without a key never match; they are spread by a hash of ``spread_by`` (by default the whole row)
+    instead of meeting in one task. For a left side whose keys may also be hot, see ``skew_join``.
+    """
+    spread = row_hash(spread_by or left.columns)
+    salted = left.withColumn("_salt", F.when(F.col(key).isNull(), spread).otherwise(F.lit(0).cast("bigint")))
+    keyed = right.filter(F.col(key).isNotNull()).withColumn("_salt", F.lit(0).cast("bigint"))
+    return salted.join(keyed, [key, "_salt"], "left").drop("_salt")
+
+
+def skew_join(
+    left: DataFrame, right: DataFrame, key: str, how: str = "left", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Join a table with hot keys to a much smaller one, ``how`` being ``left`` or ``inner``.
+
+    A hot key is cut into ``splits`` parts by row hash on the left, and its right rows are repeated once
+    per part, so every left row still meets every right row of its key exactly once. AQE cannot do this
+    when the result is grouped by the join key again, because then no shuffle follows the join.
+    """
+    hot = F.broadcast(hot_keys(left, key, hot_rows))
+    part = F.when(F.col(key).isNull(), row_hash(left.columns)).when(
+        F.col("_splits").isNotNull(), F.pmod(row_hash(left.columns), F.col("_splits").cast("bigint"))
+    )
+    cut = left.join(hot, key, "left").withColumn("_salt", F.coalesce(part, F.lit(0).cast("bigint"))).drop("_splits")
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_splits"), F.lit(1)).cast("bigint") - 1))
+    repeated = (
+        right.filter(F.col(key).isNotNull()).join(hot, key, "left").withColumn("_salt", copies).drop("_splits")
+    )
+    return cut.join(repeated, [key, "_salt"], how).drop("_salt")
