@@ -145,12 +145,16 @@ def metric_diffs(compared: DataFrame, quirks: Quirks = REPRODUCE) -> DataFrame:
     """Week-over-week and versus-last-month differences and decline flags. Grain: the input's.
 
     A percentage is null over a zero or missing baseline. The last-month flag tests the percentage (K11);
-    corrected, it tests the difference like the weekly flag.
+    corrected, it tests the difference like the weekly flag. A mean of doubles depends on the order of its
+    additions in the last digits, so the flags test nine of them.
     """
 
     def change(baseline: str) -> Column:
         return safe_ratio(F.col("metric_value"), F.nullif(F.col(baseline), F.lit(0.0))) - 1
 
+    def declined(difference: str) -> Column:
+        return F.when(F.round(F.col(difference), 9) < 0, 1).otherwise(0)
+
     month_basis = "metric_lm_avg_diff_pct" if quirks.mixed_decline_basis else "metric_lm_avg_diff"
     return compared.withColumns(
         {
@@ -161,7 +165,7 @@ def metric_diffs(compared: DataFrame, quirks: Quirks = REPRODUCE) -> DataFrame:
         }
     ).withColumns(
         {
-            "w1_decline_flag": F.when(F.col("metric_wow_diff") < 0, 1).otherwise(0),
-            "lm_avg_decline_flag": F.when(F.col(month_basis) < 0, 1).otherwise(0),
+            "w1_decline_flag": declined("metric_wow_diff"),
+            "lm_avg_decline_flag": declined(month_basis),
         }
     )
