@@ -8,22 +8,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.skew import left_join_spread
+from sluice.operators.joins import left_join_all
 from sluice.operators.touch import first_touch
 from sluice.specs import Step
 
 
-def wide_funnel(spine: DataFrame, parts: Sequence[tuple[DataFrame, str]]) -> DataFrame:
-    """Spine rows with the columns of every part; ``parts`` holds ``(relation, key)``.
+Parts = dict[str, Sequence[DataFrame]]
+
+
+def _with_parts(left: DataFrame, parts: Parts, spread_by: Sequence[str]) -> DataFrame:
+    return reduce(lambda wide, key: left_join_all(wide, key, parts[key], spread_by), parts, left)
+
+
+def wide_funnel(spine: DataFrame, parts: Parts) -> DataFrame:
+    """Spine rows with the columns of every part; ``parts`` holds the relations joined on each key.
 
     The result has no two equal rows. Only the narrow spine is de-duplicated for that: a part has at most
     one row per key and grouping value, so distinct spine rows stay distinct in the wide result, and the
-    wide rows need no shuffle of their own. Parts sharing a key should be neighbours, so that their joins
-    share the spine's partitioning. Grain: one row per spine row and matching part row.
+    wide rows need no shuffle of their own. Grain: one row per spine row and matching part row.
     """
-    return reduce(
-        lambda wide, part: left_join_spread(wide, part[0], part[1], spine.columns), parts, spine.dropDuplicates()
-    )
+    return _with_parts(spine.dropDuplicates(), parts, spine.columns)
 
 
 def event_type_pivot_funnel(
@@ -36,7 +40,7 @@ def event_type_pivot_funnel(
     where: Column | None = None,
     ts: str = "created_at",
     zone: str | None = None,
-    parts: Sequence[tuple[DataFrame, str]] = (),
+    parts: Parts | None = None,
 ) -> DataFrame:
     """One timestamp column per event type for the spine rows that reached the step ``required``.
 
@@ -46,4 +50,4 @@ def event_type_pivot_funnel(
     used = events if where is None else events.filter(where)
     touched = first_touch(used, event_key, steps, ts, zone).filter(F.col(required).isNotNull())
     reached = spine.join(touched.withColumnRenamed(event_key, spine_key), spine_key, "inner")
-    return reduce(lambda wide, part: left_join_spread(wide, part[0], part[1], spine.columns), parts, reached)
+    return _with_parts(reached, parts or {}, spine.columns)

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions import local_time
-from sluice.operators.skew import HOT_ROWS, skew_join
 from sluice.specs import REPRODUCE, Quirks
 
 
@@ -24,14 +23,14 @@ def gated_impressions(
     zone: str | None = None,
     tie_break: Sequence[str] = (),
     quirks: Quirks = REPRODUCE,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """First time, first busyness, busy count and count of the impressions at or after ``milestone``.
 
     ``gate_id`` is the impression column matched with the entity's id (K7); corrected, the grouping id is
-    used for both. Ids are compared as trimmed strings. One entity may hold most impressions, and the
-    result is grouped by the id just joined on, so the join splits hot ids itself. Grain: one row per
-    entity with a qualifying impression.
+    used for both. Ids are compared as trimmed strings. One entity may hold a large part of the impressions:
+    the join is on the trimmed id and the grouping on the id itself, so a shuffle of pre-aggregated rows
+    follows the join anyway and AQE is free to split the hot id. Grain: one row per entity with a
+    qualifying impression.
     """
     gate = gate_id if quirks.gate_on_user_id else entity
     seen = impressions.select(
@@ -46,7 +45,7 @@ def gated_impressions(
     ).filter(F.col("_milestone").isNotNull())
 
     compare_zone = zone if quirks.compare_in_local_time else None
-    qualifying = skew_join(seen, gates, "_id", "inner", hot_rows).filter(
+    qualifying = seen.join(gates, "_id").filter(
         local_time(F.col("_at"), compare_zone) >= local_time(F.col("_milestone"), compare_zone)
     )
     ties = [F.col(f"_tie{i}") for i in range(len(tie_break))]

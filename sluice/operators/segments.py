@@ -10,7 +10,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.skew import HOT_ROWS, left_join_spread, skew_join
+from sluice.operators.joins import left_join_all
 from sluice.specs import Contact, RegionRule, Rule
 
 
@@ -43,7 +43,7 @@ def membership_flag(
     """
     members = events.filter(_any(rules)).select(key).distinct().withColumn("_member", F.lit(True))
     label = F.when(F.col("_member"), member).otherwise(other)
-    return left_join_spread(spine, members, key).withColumn(into, label).drop("_member")
+    return left_join_all(spine, key, [members], spine.columns).withColumn(into, label).drop("_member")
 
 
 def daily_membership_counts(
@@ -80,18 +80,16 @@ def shared_contacts(applicants: DataFrame, contact: Contact = Contact()) -> Data
     return groups.filter(F.col("applicant_count") > 1)
 
 
-def duplicate_flag(
-    applicants: DataFrame, shared: DataFrame, contact: Contact = Contact(), hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def duplicate_flag(applicants: DataFrame, shared: DataFrame, contact: Contact = Contact()) -> DataFrame:
     """'Non-Dupe' when the contact is not shared or this is its first application, else 'Dupe'.
 
-    A contact may be shared by a large part of all applicants, so hot contacts are split in the join.
-    Grain: the applicants'.
+    A contact may be shared by a large part of all applicants. It has one row in ``shared``, and nothing
+    after the join needs its partitioning, so AQE splits it. Grain: the applicants'.
     """
     firsts = shared.select(contact.column, "first_applied_date", F.lit(True).alias("_shared"))
     label = F.when(F.col("_shared").isNull() | (F.col("first_applied_date") == F.col(contact.date)), "Non-Dupe")
     return (
-        skew_join(applicants, firsts, contact.column, "left", hot_rows)
+        left_join_all(applicants, contact.column, [firsts], applicants.columns)
         .withColumn("phone_duplicate_flag", label.otherwise("Dupe"))
         .drop("_shared", "first_applied_date")
     )

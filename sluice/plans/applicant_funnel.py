@@ -195,13 +195,14 @@ def all_steps(tables: dict[str, DataFrame], spec: FunnelSpec) -> DataFrame:
     )
     return wide_funnel(
         spine,
-        [
-            (step_touches(tables, spec), "link"),
-            (approvals(tables, spec), "link"),
-            (devices(tables["step_submitted"], spec.vehicle_page), "link"),
-            (impressions(tables, spec), "entity_id"),
-            (shifts, "entity_id"),
-        ],
+        {
+            "link": [
+                step_touches(tables, spec),
+                approvals(tables, spec),
+                devices(tables["step_submitted"], spec.vehicle_page),
+            ],
+            "entity_id": [impressions(tables, spec), shifts],
+        },
     )
 
 

@@ -22,7 +22,7 @@ from sluice.operators.segments import (
     risk_bucket,
     shared_contacts,
 )
-from sluice.operators.skew import left_join_spread
+from sluice.operators.joins import left_join_all
 from sluice.specs import CohortSpec, Measure, Quirks
 
 SEGMENTS = (
@@ -114,15 +114,10 @@ def segmented_rows(funnel: DataFrame, tables: dict[str, DataFrame], spec: Cohort
     access = activation_week_access(tables["access_daily"], funnel, quirks=spec.quirks)
     assigned = activation_week_assignments(tables["assignments"], funnel, spec.zone, quirks=spec.quirks)
 
-    joined = members
-    for part, key in (
-        (attributes, "link"),
-        (waitlist, "applicant_id"),
-        (risk, "applicant_id"),
-        (access, "entity_id"),
-        (assigned, "entity_id"),
-    ):
-        joined = left_join_spread(joined, part, key, ("applicant_id", "entity_id", "link"))
+    ids = ("applicant_id", "entity_id", "link")
+    joined = left_join_all(members, "link", [attributes], ids)
+    joined = left_join_all(joined, "applicant_id", [waitlist, risk], ids)
+    joined = left_join_all(joined, "entity_id", [access, assigned], ids)
     submarket = F.col("applied_submarket_id")
     return joined.withColumns(
         {

@@ -42,5 +42,5 @@ def verification_funnel(tables: dict[str, DataFrame], spec: SubFunnelSpec) -> Da
         spec.required,
         F.col("template_id").isin(*spec.templates),
         zone=spec.zone,
-        parts=[(devices(tables["step_submitted"], spec.vehicle_page), "link")],
+        parts={"link": [devices(tables["step_submitted"], spec.vehicle_page)]},
     ).select(*spine.columns, "device_type", "app_version", *[s.name for s in spec.steps])

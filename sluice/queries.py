@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions import week_start
 from sluice.operators import assemble, backfill, cohort, impressions, metrics, segments, touch, variance
-from sluice.operators.skew import left_join_spread
+from sluice.operators.joins import left_join_all
 from sluice.plans import applicant_funnel as funnel_plan
 from sluice.plans import cohort_report as cohort_plan
 from sluice.plans import variance_report as variance_plan
@@ -27,9 +27,9 @@ from sluice.plans.driver_setup import (
 )
 from sluice.plans.verification_funnel import verification_funnel
 from sluice.plans.waitlist_report import waitlist_report
-from sluice.sources.driver_tables import TABLES, derived
+from sluice.sources.driver_tables import TABLES, derived, driver_table
 from sluice.sources.holidays import holidays
-from sluice.sources.storage import read_table, stage
+from sluice.sources.storage import stage
 from sluice.specs import Fill, Lag, Step
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,7 +109,8 @@ def status_summary(spark, folder):
 def latest_status_gate(spark, folder):
     spine = derived(spark, folder, "applicants").select("applicant_id", "link")
     approved = touch.latest_status_gate(_statuses(spark, folder), "reference_id", "idv_approve")
-    return left_join_spread(spine, approved.withColumnRenamed("reference_id", "link"), "link")
+    approved = approved.withColumnRenamed("reference_id", "link")
+    return left_join_all(spine, "link", [approved], spine.columns)
 
 
 def _device_ends(spark, folder):
@@ -207,9 +208,10 @@ def order_lifecycle_funnel(spark, folder):
     names = ["ordered", *[s.name for s in steps]]
     lags = [Lag(f"{a}_to_{b}", a, b, 400_000) for a, b in zip(names, names[1:])]
     fills = [Fill(lag.start, (lag.end,), lag.name) for lag in reversed(lags)]
-    spine = read_table(spark, folder, "orders").select("o_orderkey", F.col("o_orderdate").alias("ordered"))
-    shipped = touch.first_touch(read_table(spark, folder, "lineitem"), "l_orderkey", steps, "l_shipdate")
-    wide = stage(assemble.wide_funnel(spine, [(shipped.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")]))
+    spine = driver_table(spark, folder, "orders").select("o_orderkey", F.col("o_orderdate").alias("ordered"))
+    shipped = touch.first_touch(driver_table(spark, folder, "lineitem"), "l_orderkey", steps, "l_shipdate")
+    shipped = shipped.withColumnRenamed("l_orderkey", "o_orderkey")
+    wide = stage(assemble.wide_funnel(spine, {"o_orderkey": [shipped]}))
     means = backfill.step_lag_means(wide, lags, "ordered", START.replace(year=1995))
     filled = backfill.backfill_chain(wide, means, fills)
     return filled.withColumn("backfilled", backfill.backfill_flag(names[:-1]))
@@ -277,7 +279,7 @@ def _published_funnel(spark, folder):
 
 @query
 def week_spine(spark, folder):
-    orders = read_table(spark, folder, "orders")
+    orders = driver_table(spark, folder, "orders")
     return cohort.week_spine(orders, "o_orderdate", START.replace(year=1996), START.replace(year=2000))
 
 
@@ -425,7 +427,7 @@ def guardrails(spark, folder):
 
 @query
 def holiday_weeks(spark, folder):
-    events = read_table(spark, folder, "events")
+    events = driver_table(spark, folder, "events")
     weekly = events.groupBy(week_start(F.col("ts")).alias("week_start")).agg(F.count(F.lit(1)).alias("events"))
     return variance.holiday_weeks(weekly, holidays(spark))
 

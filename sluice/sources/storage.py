@@ -14,9 +14,10 @@ log = logging.getLogger(__name__)
 _own_dir: str | None = None
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The parquet table ``name`` under ``folder``."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, schema: str | T.StructType | None = None) -> DataFrame:
+    """The parquet table ``name`` under ``folder``, with the columns of ``schema`` if given."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def publish(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
