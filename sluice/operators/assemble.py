@@ -45,9 +45,9 @@ def event_type_pivot_funnel(
     """One timestamp column per event type for the spine rows that reached the step ``required``.
 
     All event types come from one scan and one aggregate. Entities without the required step are dropped
-    before the join, which is therefore an inner join. Grain: one row per spine row kept.
+    before the join, which Catalyst turns into an inner join. Grain: one row per spine row kept.
     """
     used = events if where is None else events.filter(where)
-    touched = first_touch(used, event_key, steps, ts, zone).filter(F.col(required).isNotNull())
-    reached = spine.join(touched.withColumnRenamed(event_key, spine_key), spine_key, "inner")
+    touched = first_touch(used, event_key, steps, ts, zone).withColumnRenamed(event_key, spine_key)
+    reached = left_join_all(spine, spine_key, [touched], spine.columns).filter(F.col(required).isNotNull())
     return _with_parts(reached, parts or {}, spine.columns)

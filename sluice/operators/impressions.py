@@ -11,54 +11,62 @@ from sluice.functions import local_time
 from sluice.specs import REPRODUCE, Quirks
 
 
-def gated_impressions(
+def impression_events(
+    source: str,
     impressions: DataFrame,
-    entities: DataFrame,
+    at: str,
     entity: str = "entity_id",
     gate_id: str = "entity_id",
-    at: str = "ts",
     busyness: str = "busyness",
+    quirks: Quirks = REPRODUCE,
+) -> DataFrame:
+    """The impressions of one source in the common shape.
+
+    ``gate_id`` is the column matched with the entity's id when it is gated (K7); corrected, the entity
+    column is used for both. Ids are compared as trimmed strings. Grain: one row per impression with a time.
+    """
+    gate = gate_id if quirks.gate_on_user_id else entity
+    return impressions.filter(F.col(at).isNotNull()).select(
+        F.lit(source).alias("source"),
+        F.trim(F.col(gate).cast("string")).alias("gate_id"),
+        F.col(entity).alias("entity_id"),
+        F.col(at).alias("at"),
+        F.lower(busyness).alias("busyness"),
+    )
+
+
+def gated_impressions(
+    events: DataFrame,
+    entities: DataFrame,
     milestone: str = "oriented_at",
     busy: Sequence[str] = ("busy", "very_busy"),
     zone: str | None = None,
-    tie_break: Sequence[str] = (),
     quirks: Quirks = REPRODUCE,
 ) -> DataFrame:
     """First time, first busyness, busy count and count of the impressions at or after ``milestone``.
 
-    ``gate_id`` is the impression column matched with the entity's id (K7); corrected, the grouping id is
-    used for both. Ids are compared as trimmed strings. One entity may hold a large part of the impressions:
-    the join is on the trimmed id and the grouping on the id itself, so a shuffle of pre-aggregated rows
-    follows the join anyway and AQE is free to split the hot id. Grain: one row per entity with a
-    qualifying impression.
+    ``events`` stacks all sources, so the milestones are shuffled once. One entity may hold a large part
+    of the impressions: the join is on the gate id and the grouping on source and entity, so a shuffle of
+    pre-aggregated rows follows the join anyway and AQE is free to split a hot id. Of several impressions
+    at the first time, the smallest busyness is taken. Grain: one row per source and entity.
     """
-    gate = gate_id if quirks.gate_on_user_id else entity
-    seen = impressions.select(
-        F.trim(F.col(gate).cast("string")).alias("_id"),
-        F.col(entity).alias("entity_id"),
-        F.col(at).alias("_at"),
-        F.lower(busyness).alias("_busyness"),
-        *[F.col(c).alias(f"_tie{i}") for i, c in enumerate(tie_break)],
-    ).filter(F.col("_at").isNotNull() & F.col("_id").isNotNull())
-    gates = entities.select(
-        F.trim(F.col("entity_id").cast("string")).alias("_id"), F.col(milestone).alias("_milestone")
-    ).filter(F.col("_milestone").isNotNull())
-
+    gates = entities.filter(F.col(milestone).isNotNull()).select(
+        F.trim(F.col("entity_id").cast("string")).alias("gate_id"), F.col(milestone).alias("_milestone")
+    )
     compare_zone = zone if quirks.compare_in_local_time else None
-    qualifying = seen.join(gates, "_id").filter(
-        local_time(F.col("_at"), compare_zone) >= local_time(F.col("_milestone"), compare_zone)
+    qualifying = events.join(gates, "gate_id").filter(
+        local_time(F.col("at"), compare_zone) >= local_time(F.col("_milestone"), compare_zone)
     )
-    ties = [F.col(f"_tie{i}") for i in range(len(tie_break))]
-    firsts = qualifying.groupBy("entity_id").agg(
-        F.min("_at").alias("_first"),
-        F.min_by("_busyness", F.struct("_at", *ties)).alias("first_impression_busyness"),
-        F.count(F.when(F.col("_busyness").isin(*busy), F.lit(1))).alias("busy_impression_freq"),
+    firsts = qualifying.groupBy("source", "entity_id").agg(
+        F.min(F.struct("at", "busyness")).alias("_first"),
+        F.count(F.when(F.col("busyness").isin(*busy), F.lit(1))).alias("busy_impression_freq"),
         F.count(F.lit(1)).alias("total_impression_freq"),
     )
     return firsts.select(
+        "source",
         "entity_id",
-        local_time(F.col("_first"), zone).alias("first_impression_time"),
-        "first_impression_busyness",
+        local_time(F.col("_first.at"), zone).alias("first_impression_time"),
+        F.col("_first.busyness").alias("first_impression_busyness"),
         "busy_impression_freq",
         "total_impression_freq",
     )
@@ -83,7 +91,7 @@ def impression_rollup(
         .groupBy("entity_id", *split)
         .agg(
             F.min("first_impression_time").alias("_first"),
-            F.min_by("_busyness", F.struct("first_impression_time", "_busyness")).alias("first_impression_busyness"),
+            F.min_by("_busyness", F.struct("first_impression_time", "source")).alias("first_impression_busyness"),
             F.sum("busy_impression_freq").alias("busy_impression_freq"),
             F.sum("total_impression_freq").alias("total_impression_freq"),
         )

@@ -6,28 +6,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def left_join_all(left: DataFrame, key: str, parts: Sequence[DataFrame], spread_by: Sequence[str]) -> DataFrame:
     """``left`` with the columns of every part that has its ``key``.
 
-    Many left rows may have no key. They match nothing, but would all be shuffled to one task; here each
-    is shuffled by a hash of its ``spread_by`` columns instead. The stand-in key is a single column used
-    by all the joins, so the left side is shuffled once for all parts, and a part already partitioned by
-    its key is not shuffled again. A stand-in equal to some real key does not match either: the condition
-    asks for a key. The hash is the same in every attempt of a task, unlike a random number.
+    Many left rows may have no key. They match nothing, but would all be shuffled to one task; they get a
+    stand-in key instead, a hash of their ``spread_by`` columns. (A hash is the same in every attempt of a
+    task, unlike a random number.) The prefix tells stand-ins from keys, so they still match nothing.
 
-    A hot key of a single join is split at run time (AQE skew join); in the chain that takes
-    ``spark.sql.adaptive.forceOptimizeSkewedJoin``, which the session settings switch on.
+    A left key may also be hot. AQE splits a hot partition of a sort-merge join when both sides come
+    straight from a shuffle. The prefixed key gives a pre-aggregated part such a shuffle: one row per key
+    is moved once more, little beside the events it was aggregated from. All parts of a key share the left
+    side's shuffle; where AQE splits it anyway, a further part needs another one, which
+    ``spark.sql.adaptive.forceOptimizeSkewedJoin`` of the session settings allows.
     Grain: one row per left row and matching part rows.
     """
-    kind = left.schema[key].dataType
-    hashed = F.xxhash64(*[F.col(c) for c in spread_by])
-    stand_in = hashed.cast("string") if isinstance(kind, T.StringType) else hashed.cast(kind)
-    joined = left.withColumn("_join_key", F.coalesce(F.col(key), stand_in))
+    present = F.concat(F.lit("k"), F.col(key).cast("string"))
+    missing = F.concat(F.lit("n"), F.xxhash64(*[F.col(c) for c in spread_by]).cast("string"))
+    joined = left.withColumn("_join_key", F.coalesce(present, missing))
     for part in parts:
-        keyed = part.filter(F.col(key).isNotNull()).withColumnRenamed(key, "_part_key")
-        matches = (F.col("_join_key") == F.col("_part_key")) & F.col(key).isNotNull()
-        joined = joined.join(keyed, matches, "left").drop("_part_key")
+        keyed = part.filter(F.col(key).isNotNull()).withColumn("_join_key", present).drop(key)
+        joined = joined.join(keyed, "_join_key", "left")
     return joined.drop("_join_key")

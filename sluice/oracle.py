@@ -481,7 +481,7 @@ FROM applicants a""",
     "first_last_attribute": """
 SELECT link, os_first AS os_name_first, v_first AS app_version_first, os_last AS os_name_last, v_last AS app_version_last FROM o_ends""",
     "attribute_reconcile": "SELECT * FROM o_devices",
-    "gated_impressions": "SELECT * FROM o_home_firsts",
+    "gated_impressions": "SELECT 'home' AS source, * FROM o_home_firsts UNION ALL SELECT 'access', * FROM o_access_firsts",
     "impression_rollup": "SELECT * FROM o_impressions",
     "wide_funnel": "SELECT * FROM o_wide",
     "event_type_pivot_funnel": "SELECT * FROM (SELECT a.applicant_id, a.entity_id, a.link, a.applied_date, a.first_dash_date, "

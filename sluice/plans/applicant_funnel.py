@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.assemble import wide_funnel
 from sluice.operators.backfill import backfill_chain, backfill_flag, funnel_publish, step_lag_means
-from sluice.operators.impressions import gated_impressions, impression_rollup
+from sluice.operators.impressions import gated_impressions, impression_events, impression_rollup
 from sluice.operators.touch import (
     attribute_reconcile,
     first_last_attribute,
@@ -170,14 +170,20 @@ def devices(submitted: DataFrame, vehicle_page: str) -> DataFrame:
     return attribute_reconcile(ends, "link")
 
 
-def impressions(tables: dict[str, DataFrame], spec: FunnelSpec) -> DataFrame:
-    """Impressions after orientation, from both impression sources. Grain: entity and busyness bucket."""
-    common = {"busy": spec.busy_values, "zone": spec.zone, "quirks": spec.quirks}
-    entities = tables["applicants"]
-    home = gated_impressions(tables["home_loaded"], entities, gate_id="user_id", at="received_at", **common)
+def impression_sources(tables: dict[str, DataFrame], spec: FunnelSpec) -> DataFrame:
+    """Impressions of both sources in one relation. Grain: one row per impression."""
     current = tables["access_impressions"].filter(F.col("data_version") == spec.data_version)
-    access = gated_impressions(current, entities, at="impression_ts", **common)
-    return impression_rollup(home.unionByName(access), spec.busy_values, spec.quirks)
+    home = impression_events("home", tables["home_loaded"], "received_at", gate_id="user_id", quirks=spec.quirks)
+    return home.unionByName(impression_events("access", current, "impression_ts", quirks=spec.quirks))
+
+
+def impressions(tables: dict[str, DataFrame], spec: FunnelSpec) -> DataFrame:
+    """Impressions after orientation, from both sources. Grain: entity and busyness bucket."""
+    events = impression_sources(tables, spec)
+    gated = gated_impressions(
+        events, tables["applicants"], busy=spec.busy_values, zone=spec.zone, quirks=spec.quirks
+    )
+    return impression_rollup(gated, spec.busy_values, spec.quirks)
 
 
 def all_steps(tables: dict[str, DataFrame], spec: FunnelSpec) -> DataFrame:

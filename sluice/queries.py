@@ -132,13 +132,9 @@ def attribute_reconcile(spark, folder):
 
 @query
 def gated_impressions(spark, folder):
-    return impressions.gated_impressions(
-        derived(spark, folder, "home_loaded"),
-        derived(spark, folder, "applicants"),
-        gate_id="user_id",
-        at="received_at",
-        zone=ZONE,
-    )
+    tables = Tables(spark, folder)
+    events = funnel_plan.impression_sources(tables, FUNNEL)
+    return impressions.gated_impressions(events, tables["applicants"], zone=ZONE)
 
 
 @query

@@ -11,10 +11,16 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Switch the settings on in a session made elsewhere."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def session(app: str = "sluice", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings above; ``extra`` takes further settings with ``__`` for dots."""
     builder = SparkSession.builder.appName(app)

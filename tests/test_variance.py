@@ -1,0 +1,226 @@
+from __future__ import annotations
+
+import random
+from datetime import date, timedelta
+
+import pytest
+from pyspark.errors import ArithmeticException
+from pyspark.sql import functions as F
+
+from sluice.operators.metrics import (
+    COUNTS,
+    metric_base,
+    metric_diffs,
+    metric_lags,
+    metric_long,
+    metric_monthly_avg,
+    metric_prev_month,
+)
+from sluice.operators.variance import (
+    accumulated_decline,
+    cumulative_impact,
+    decline_streaks,
+    guardrails,
+    holiday_weeks,
+    impact_translation,
+    streak_start_value,
+    variance_thresholds,
+)
+from sluice.plans.variance_report import declines, impacts, variance_report
+from sluice.sources.holidays import US_FEDERAL_HOLIDAYS, holidays
+from sluice.specs import CORRECTED, REPRODUCE, Quirks
+
+MONDAY = date(2024, 1, 1)
+LONG = "cohort string, week_start date, metric_number string, metric_name string, metric_value double"
+
+
+def series(table, values, cohort="c", number="R0", name="cvr_0_apply_to_fd", start=MONDAY):
+    return table(LONG, [(cohort, start + timedelta(weeks=i), number, name, v) for i, v in enumerate(values)])
+
+
+def column(df, *names):
+    rows = [tuple(r) for r in df.orderBy("cohort", "metric_number", "week_start").select(*names).collect()]
+    return [r[0] for r in rows] if len(names) == 1 else rows
+
+
+def random_long(table, seed=5):
+    rng = random.Random(seed)
+    frames = [
+        series(table, [rng.choice([None, 0.0, 1.0, 2.0, 3.0, 4.0]) for _ in range(80)], cohort, number, name)
+        for cohort in ("c", "d")
+        for number, name in (("R0", "cvr_0_apply_to_fd"), ("C1", "applicants"))
+    ]
+    return frames[0].union(frames[1]).union(frames[2]).union(frames[3])
+
+
+def same(a, b):
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_streaks_and_their_start(table):
+    compared = metric_diffs(metric_prev_month(metric_lags(series(table, [10.0, 8.0, 7.0, 9.0, 9.0, 1.0, None, 5.0]))))
+    started = accumulated_decline(streak_start_value(decline_streaks(compared)))
+    assert column(started, "consecutive_decline_weeks") == [0, 1, 2, 0, 0, 1, 0, 0]
+    assert column(started, "metric_value_at_streak_start") == [10, 10, 10, 9, 9, 9, None, 5]
+    assert column(started, "accumulated_decline") == [0, -2, -3, 0, 0, -8, None, 0]
+    assert column(started, "week_index") == list(range(1, 9))
+    assert column(started, "streak_group") == [1, 1, 1, 2, 3, 3, 4, 5]
+
+
+def test_streak_start_equals_the_self_join(table):
+    streaks = decline_streaks(metric_diffs(metric_prev_month(metric_lags(random_long(table)))))
+    keys = ["cohort", "metric_number", "week_index"]
+    previous = streaks.select(
+        "cohort", "metric_number", F.col("week_index").alias("_index"), F.col("metric_value").alias("start")
+    )
+    joined = streaks.withColumn("_index", F.col("week_index") - F.col("consecutive_decline_weeks")).join(
+        previous, ["cohort", "metric_number", "_index"], "left"
+    )
+    found = streak_start_value(streaks).select(*keys, F.col("metric_value_at_streak_start").alias("start"))
+    assert same(found, joined.select(*keys, "start"))
+
+
+def test_previous_month_equals_the_join(table):
+    long = random_long(table)
+    monthly = metric_monthly_avg(long).select(
+        "cohort", "metric_number", F.add_months("week_month", 1).alias("month"), "metric_value_monthly_avg"
+    )
+    joined = long.withColumn("month", F.trunc("week_start", "month")).join(monthly, ["cohort", "metric_number", "month"], "left")
+    keys = ["cohort", "metric_number", "week_start"]
+    rounded = F.round("metric_value_monthly_avg", 9).alias("avg")
+    found = metric_prev_month(long).select(*keys, F.round("metric_value_last_month_avg", 9).alias("avg"))
+    assert same(found, joined.select(*keys, rounded))
+
+
+def test_first_month_has_no_baseline(table):
+    diffs = metric_diffs(metric_prev_month(metric_lags(series(table, [1.0, 2.0, 3.0, 0.0, 5.0, 1.0]))))
+    assert column(diffs, "metric_value_last_month_avg") == [None] * 5 + [2.2]
+    assert column(diffs, "lm_avg_decline_flag") == [0] * 5 + [1]
+    assert column(diffs, "metric_wow_diff_pct") == [None, 1.0, 0.5, -1.0, None, -0.8]
+
+
+def test_lags_count_weeks_with_data(table):
+    lagged = metric_lags(series(table, [1.0, None, 3.0, 4.0, 5.0]))
+    names = ("metric_value_pw", "metric_value_p2w", "metric_value_p3w", "metric_value_p4w")
+    assert column(lagged, *names)[-1] == (4, 3, None, 1)
+
+
+def test_last_month_flag_basis(table):
+    """Over a baseline of zero there is no percentage; corrected, the flag looks at the difference."""
+    values = [0.0, 0.0, 0.0, 0.0, 0.0, -1.0]
+    flags = [
+        column(metric_diffs(metric_prev_month(metric_lags(series(table, values))), q), "lm_avg_decline_flag")[-1]
+        for q in (REPRODUCE, CORRECTED)
+    ]
+    assert flags == [0, 1]
+
+
+def conversions(table, rows, cohort="c", flag="No"):
+    schema = "cohort string, week_start date, all_waitlist_flag string, " + ", ".join(f"{c} bigint" for c in COUNTS)
+    return table(schema, [(cohort, MONDAY + timedelta(weeks=i), flag, *row) for i, row in enumerate(rows)])
+
+
+ROWS = [(100, 90, 80, 60, 50, 40, 20, 10), (100, 90, 80, 60, 50, 40, 20, 6), (100, 90, 80, 60, 50, 40, 10, 2)]
+AS_OF = date(2024, 1, 24)
+
+
+def test_base_takes_completed_weeks_that_satisfy_the_filter(table):
+    kept = conversions(table, ROWS).union(conversions(table, ROWS[:1], flag="Yes")).union(conversions(table, [*ROWS, ROWS[0]]))
+    base = metric_base(kept, AS_OF, F.col("all_waitlist_flag") == "No").orderBy("week_start").collect()
+    assert [(r["week_start"], r["applicants"]) for r in base] == [(MONDAY + timedelta(weeks=i), 200) for i in range(3)]
+    assert base[0]["cvr_2_2_vs_to_idv_submit"] == 0.75 and base[2]["cvr_1_2_activation_to_fd"] == 0.2
+
+
+def test_long_has_sixteen_metrics_per_week(table):
+    long = metric_long(metric_base(conversions(table, ROWS), AS_OF))
+    assert long.count() == 48 and long.select("metric_number", "metric_name").distinct().count() == 16
+
+
+def test_impacts_weigh_the_rate_change(table):
+    found = impacts(metric_base(conversions(table, ROWS), AS_OF)).filter(F.col("week_start") == "2024-01-15")
+    by_metric = {r["metric_number"]: r for r in found.collect()}
+    # 2 of 100 instead of 6 of 100, on 100 applicants.
+    assert by_metric["R0"]["impact_wow_diff"] == pytest.approx(-4)
+    assert by_metric["R0"]["impact_acc_diff"] == pytest.approx(-8)
+    # The accumulated values of the streak are summed again: 0, -4 and -8.
+    assert by_metric["R0"]["acc_impact"] == pytest.approx(-12)
+    assert by_metric["R0"]["acc_cvr_impact_abs"] == pytest.approx(-0.12)
+    assert by_metric["R0"]["acc_cvr_impact_rel"] == pytest.approx(-6)
+    # Activation rate 0.1 instead of 0.2, on 100 applicants of whom 0.2 go on.
+    assert by_metric["R1.1"]["impact_wow_diff"] == pytest.approx(-2)
+    assert by_metric["R1.1"]["metric_variance_threshold_abs"] == pytest.approx(1200 / 20)
+    assert by_metric["R1.1"]["metric_variance_threshold_rel"] == pytest.approx(60 / 0.2)
+    # bgc volume 40, 0.2 go on.
+    assert by_metric["R2.5"]["impact_wow_diff"] == pytest.approx(-0.25 * 40 * 0.2)
+    assert by_metric["C1"]["impact_wow_diff"] is None and by_metric["C1"]["metric_variance_threshold_abs"] is None
+
+
+def test_zero_volume_gives_no_impact_or_stops(table):
+    zero = [(100, 90, 0, 60, 50, 40, 20, 10)] * 2
+    base = metric_base(conversions(table, zero), AS_OF)
+    impact = impacts(base).filter("metric_number = 'R2.1'").collect()
+    assert [r["impact_wow_diff"] for r in impact] == [None, None]
+    with pytest.raises(ArithmeticException):
+        impacts(base, Quirks(fail_on_zero_volume=True)).collect()
+
+
+def test_cumulative_impact_can_sum_weekly_impacts(table):
+    base = metric_base(conversions(table, ROWS), AS_OF)
+    weekly = impacts(base, CORRECTED).filter("metric_number = 'R0' and week_start = date'2024-01-15'").first()
+    assert weekly["acc_impact"] == pytest.approx(-8)
+
+
+def test_cohorts_mix_only_when_reproduced(table):
+    base = metric_base(conversions(table, ROWS).union(conversions(table, ROWS, "d")), AS_OF)
+    long = declines(metric_long(base))
+    assert impact_translation(long, base).count() == 2 * long.count()
+    separate = cumulative_impact(variance_thresholds(impact_translation(long, base, quirks=CORRECTED)), CORRECTED)
+    assert separate.count() == long.count()
+    last = separate.filter("metric_number = 'R0' and week_start = date'2024-01-15'").collect()
+    assert [r["acc_impact"] for r in last] == [pytest.approx(-8)] * 2
+
+
+VERDICT_INPUT = (
+    "metric_name string, impact_wow_diff double, acc_impact double, impact_lm_avg_diff double, consecutive_decline_weeks int"
+)
+
+
+def test_verdicts(table):
+    rows = table(
+        VERDICT_INPUT,
+        [
+            ("cvr_0_apply_to_fd", -1500.0, -1500.1, 10.0, 4),
+            ("cvr_1_2_activation_to_fd", -651.0, -650.0, -1501.0, 5),
+            ("applicants", None, None, None, 0),
+        ],
+    )
+
+    def verdicts(quirks):
+        judged = guardrails(rows, quirks=quirks)
+        return [tuple(r) for r in judged.select(*[c for c in judged.columns if c.startswith("c") and c[1].isdigit()]).collect()]
+
+    assert verdicts(REPRODUCE) == [
+        ("Yes", "No", "Yes", "Yes", "No", "Yes", "Yes"),
+        ("Yes", "Yes", "No", "No", "Yes", "No", "No"),
+        ("Yes",) * 7,
+    ]
+    assert verdicts(CORRECTED)[2] == (None,) * 6 + ("Yes",)
+    assert verdicts(CORRECTED)[:2] == verdicts(REPRODUCE)[:2]
+
+
+def test_holidays(spark, table):
+    assert holidays(spark).count() == len(US_FEDERAL_HOLIDAYS) == 33
+    weeks = table("week_start date", [("2024-12-23",), ("2024-12-16",), ("2024-07-01",)])
+    named = holiday_weeks(weeks, holidays(spark)).orderBy("week_start").collect()
+    assert [r["c8_is_a_holiday_week"] for r in named] == ["Independence Day", "Not a Holiday", "Christmas Day"]
+    two = table("holiday_date date, holiday_name string", [("2024-12-25", "b"), ("2024-12-24", "a")])
+    assert [r[1] for r in holiday_weeks(weeks, two).orderBy("week_start").collect()][2] == "a, b"
+
+
+def test_report_columns(table):
+    reproduced = variance_report(conversions(table, ROWS), AS_OF)
+    corrected = variance_report(conversions(table, ROWS), AS_OF, quirks=CORRECTED)
+    assert set(corrected.columns) - set(reproduced.columns) == {
+        "cohort", "metric_value_p2w", "metric_value_p3w", "metric_value_p4w",
+    }
+    assert reproduced.count() == corrected.count() == 48
