@@ -42,22 +42,24 @@ def backfill_chain(funnel: DataFrame, means: DataFrame, fills: Sequence[Fill]) -
     as ``<step>_raw``. The means enter as a scalar subquery: the fill is a projection, without a join or a
     shuffle. Grain: the funnel's.
     """
-    raw = {f.step: f"{f.step}_raw" for f in fills}
-    filled = funnel.withColumns(
-        {name: F.col(step) for step, name in raw.items()}
-        | {"_means": means.select(F.struct(*[F.col(c) for c in means.columns])).scalar()}
+    steps = {f.step for f in fills}
+    mean = means.select(F.struct(*[F.col(c) for c in means.columns])).scalar().alias("_means")
+    raw = funnel.select(
+        *[F.col(c).alias(f"{c}_raw" if c in steps else c) for c in funnel.columns], mean
     )
-    for fill in fills:
-        kept = wall_clock(F.col(raw.get(fill.kept or fill.step, fill.kept)))
+
+    def filled(fill: Fill) -> Column:
+        kept = wall_clock(F.col(f"{fill.kept or fill.step}_raw"))
         if not fill.following:
-            filled = filled.withColumn(fill.step, kept)
-            continue
-        following = F.coalesce(*[wall_clock(F.col(c)) for c in fill.following])
+            return kept
+        following = wall_clock(F.coalesce(*[F.col(c) for c in fill.following]))
         imputed = minus_minutes(following, F.col("_means")[fill.lag])
-        filled = filled.withColumn(
-            fill.step, F.when(F.col(raw[fill.step]).isNull() & following.isNotNull(), imputed).otherwise(kept)
-        )
-    return filled.drop("_means")
+        if fill.kept is None:
+            return F.coalesce(kept, imputed)
+        return F.when(F.col(f"{fill.step}_raw").isNull() & following.isNotNull(), imputed).otherwise(kept)
+
+    # Each fill may name the ones before it in the same select.
+    return raw.select("*", *[filled(fill).alias(fill.step) for fill in fills]).drop("_means")
 
 
 def backfill_flag(steps: Sequence[str]) -> Column:

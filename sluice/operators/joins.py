@@ -26,6 +26,6 @@ def left_join_all(left: DataFrame, key: str, parts: Sequence[DataFrame], spread_
     missing = F.concat(F.lit("n"), F.xxhash64(*[F.col(c) for c in spread_by]).cast("string"))
     joined = left.withColumn("_join_key", F.coalesce(present, missing))
     for part in parts:
-        keyed = part.filter(F.col(key).isNotNull()).withColumn("_join_key", present).drop(key)
+        keyed = part.select(present.alias("_join_key"), *[c for c in part.columns if c != key])
         joined = joined.join(keyed, "_join_key", "left")
     return joined.drop("_join_key")

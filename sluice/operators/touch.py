@@ -20,14 +20,19 @@ def _wanted(steps: Sequence[Step]) -> Column | None:
     return reduce(or_, [F.expr(step.where) for step in steps])
 
 
-def step_columns(events: DataFrame, key: str, steps: Sequence[Step], ts: str = "ts") -> DataFrame:
-    """Project events to the key and one timestamp column per step. Grain: one row per event used."""
+def step_columns(
+    events: DataFrame, key: str, steps: Sequence[Step], ts: str = "ts", into: str | None = None
+) -> DataFrame:
+    """Project events to the key, named ``into``, and one timestamp column per step.
+
+    Grain: one row per event used.
+    """
+    used = F.col(key).isNotNull()
     wanted = _wanted(steps)
-    used = events if wanted is None else events.filter(wanted)
     columns = [
         (F.col(ts) if s.where is None else F.when(F.expr(s.where), F.col(ts))).alias(s.name) for s in steps
     ]
-    return used.filter(F.col(key).isNotNull()).select(F.col(key), *columns)
+    return events.filter(used if wanted is None else used & wanted).select(F.col(key).alias(into or key), *columns)
 
 
 def earliest(marked: DataFrame, key: str, steps: Sequence[Step], zone: str | None) -> DataFrame:
@@ -55,10 +60,7 @@ def first_touch_sources(
     one aggregate, so all of them together cost one shuffle, and the spine needs one join instead of one
     per source. Grain: one row per key.
     """
-    marked = [
-        step_columns(events.withColumn(key, F.col(source_key)), key, steps, ts)
-        for events, source_key, steps, ts in sources
-    ]
+    marked = [step_columns(events, source_key, steps, ts, key) for events, source_key, steps, ts in sources]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
     return earliest(stacked, key, [s for _, _, steps, _ in sources for s in steps], zone)
 

@@ -27,7 +27,7 @@ from sluice.plans.driver_setup import (
 )
 from sluice.plans.verification_funnel import verification_funnel
 from sluice.plans.waitlist_report import waitlist_report
-from sluice.sources.driver_tables import TABLES, derived, driver_table
+from sluice.sources.driver_tables import Tables, derived, driver_table
 from sluice.sources.holidays import holidays
 from sluice.sources.storage import stage
 from sluice.specs import Fill, Lag, Step
@@ -42,20 +42,6 @@ def query(fn: Query) -> Query:
     return fn
 
 
-class Tables(dict):
-    """Derived tables by name, each built when first asked for."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        super().__init__()
-        self.spark, self.folder = spark, folder
-
-    def __missing__(self, name: str) -> DataFrame:
-        if name not in TABLES:
-            raise KeyError(name)
-        self[name] = derived(self.spark, self.folder, name)
-        return self[name]
-
-
 def comparable(df: DataFrame) -> DataFrame:
     """Doubles rounded, and zero without a sign, so that the order of additions does not show."""
 

@@ -20,12 +20,19 @@ def tune(spark: SparkSession) -> SparkSession:
         spark.conf.set(key, value)
     return spark
 
+# For a session of our own: plans with many stages generate more classes than are kept by default, and
+# recording the Python line of every expression takes longer than building the expression.
+STARTUP = {
+    "spark.sql.codegen.cache.maxEntries": "2000",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def session(app: str = "sluice", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings above; ``extra`` takes further settings with ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
     if master is not None:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
+    for key, value in {**SETTINGS, **STARTUP, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -3,7 +3,7 @@
 The reference's sources are not available, so each is derived from a driver table of the same nature:
 customers act as applicants, their events as step events, and every derived table grows with its driver
 table. The derivations use the SQL common to Spark and other engines; ``{ntz}`` is the type of a
-timestamp without a time zone.
+timestamp without a time zone and ``{text}`` that of a string.
 
 An event belongs to applicant ``user_id * 10 + cents(value) % 10``: ten applicants per user, which covers
 the customer keys.
@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluice.sources.storage import read_table
 
-_APPLICANT = "user_id * 10 + CAST(floor(value * 100) AS BIGINT) % 10"
-_UNITS = "CAST(floor(value) AS BIGINT)"
+_EVENTS = """(SELECT event_id, ts, event_type, CAST(floor(value) AS BIGINT) AS units,
+               CAST(user_id * 10 + CAST(floor(value * 100) AS BIGINT) % 10 AS {text}) AS applicant FROM {events}) e"""
 
 TABLES: dict[str, str] = {
     "applicants": """
@@ -36,71 +36,69 @@ TABLES: dict[str, str] = {
                n_nationkey AS submarket_id, n_name AS submarket_name
         FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey""",
     "step_rendered": f"""
-        SELECT concat('lk', {_APPLICANT}) AS link, ts,
-               CASE WHEN {_UNITS} % 8 < 2 THEN 'vehicle' WHEN {_UNITS} % 8 < 4 THEN 'identity'
-                    WHEN {_UNITS} % 8 < 6 THEN 'check' WHEN {_UNITS} % 32 = 6 THEN 'waitlist'
-                    WHEN {_UNITS} % 16 = 7 THEN 'hard_block' WHEN {_UNITS} % 16 = 14 THEN 'limited'
+        SELECT concat('lk', applicant) AS link, ts,
+               CASE WHEN units % 8 < 2 THEN 'vehicle' WHEN units % 8 < 4 THEN 'identity'
+                    WHEN units % 8 < 6 THEN 'check' WHEN units % 32 = 6 THEN 'waitlist'
+                    WHEN units % 16 = 7 THEN 'hard_block' WHEN units % 16 = 14 THEN 'limited'
                     ELSE 'other' END AS page_id,
                CASE WHEN event_id % 4 = 0 THEN 'after_vehicle' WHEN event_id % 4 = 1 THEN 'before_check'
                END AS waitlist_step,
                CASE WHEN event_id % 6 = 0 THEN true WHEN event_id % 6 < 4 THEN false END AS in_experiment
-        FROM {{events}} WHERE event_type IN ('view', 'click')""",
+        FROM {_EVENTS} WHERE event_type IN ('view', 'click')""",
     "step_submitted": f"""
-        SELECT concat('lk', {_APPLICANT}) AS link, ts, event_id,
-               CASE WHEN {_UNITS} % 7 < 3 THEN 'vehicle' WHEN {_UNITS} % 7 < 5 THEN 'check'
-                    WHEN {_UNITS} % 7 = 5 THEN 'check_status' ELSE 'identity' END AS page_id,
+        SELECT concat('lk', applicant) AS link, ts, event_id,
+               CASE WHEN units % 7 < 3 THEN 'vehicle' WHEN units % 7 < 5 THEN 'check'
+                    WHEN units % 7 = 5 THEN 'check_status' ELSE 'identity' END AS page_id,
                CASE WHEN event_id % 5 < 2 THEN 'iOS' WHEN event_id % 5 = 2 THEN 'Android'
                     WHEN event_id % 5 = 3 THEN 'Web' END AS os_name,
                CASE WHEN event_id % 11 <> 0 THEN concat('v', event_id % 3) END AS app_version
-        FROM {{events}} WHERE event_type IN ('click', 'error')""",
+        FROM {_EVENTS} WHERE event_type IN ('click', 'error')""",
     "profile_submitted": f"""
-        SELECT concat('lk', {_APPLICANT}) AS user_id, ts FROM {{events}} WHERE event_type = 'signup'""",
+        SELECT concat('lk', applicant) AS user_id, ts FROM {_EVENTS} WHERE event_type = 'signup'""",
     "idv_steps": f"""
-        SELECT CASE WHEN event_id % 3 = 0 THEN concat('lk', {_APPLICANT}) END AS link,
-               CASE WHEN event_id % 3 = 1 THEN concat('lk', {_APPLICANT}) END AS reference_id,
-               CASE WHEN event_id % 30 <> 2 THEN concat('lk', {_APPLICANT}) END AS user_id,
-               CASE {_UNITS} % 8 WHEN 0 THEN 'start' WHEN 1 THEN 'document-camera-select'
-                    WHEN 2 THEN 'document-camera-capture' WHEN 3 THEN 'selfie-camera-select'
-                    WHEN 4 THEN 'selfie-camera-capture' WHEN 5 THEN 'selfie-record-upload'
-                    WHEN 6 THEN 'complete' ELSE 'abandon' END AS name,
+        SELECT CASE WHEN event_id % 3 = 0 THEN concat('lk', applicant) END AS link,
+               CASE WHEN event_id % 3 = 1 THEN concat('lk', applicant) END AS reference_id,
+               CASE WHEN event_id % 30 <> 2 THEN concat('lk', applicant) END AS user_id,
+               split_part('start,document-camera-select,document-camera-capture,selfie-camera-select,'
+                   || 'selfie-camera-capture,selfie-record-upload,complete,abandon', ',', CAST(units % 8 + 1 AS INT)) AS name,
                ts
-        FROM {{events}} WHERE event_type IN ('signup', 'error', 'view')""",
+        FROM {_EVENTS} WHERE event_type IN ('signup', 'error', 'view')""",
     "idv_inquiry": f"""
-        SELECT concat('lk', {_APPLICANT}) AS reference_id, event_id,
+        SELECT concat('lk', applicant) AS reference_id, event_id,
                CASE event_id % 4 WHEN 0 THEN 'template-a' WHEN 1 THEN 'template-b' WHEN 2 THEN 'template-c'
                     ELSE 'template-other' END AS template_id,
-               CASE WHEN {_UNITS} % 5 < 3 THEN 'approved' WHEN {_UNITS} % 5 = 3 THEN 'declined' ELSE 'pending' END AS status,
+               CASE WHEN units % 5 < 3 THEN 'approved' WHEN units % 5 = 3 THEN 'declined' ELSE 'pending' END AS status,
                ts AS updated_at
-        FROM {{events}} WHERE event_type IN ('error', 'click')""",
+        FROM {_EVENTS} WHERE event_type IN ('error', 'click')""",
     "activated": f"""
-        SELECT concat('lk', {_APPLICANT}) AS link, ts FROM {{events}}
-        WHERE event_type = 'purchase' AND {_UNITS} % 3 <> 0""",
+        SELECT concat('lk', applicant) AS link, ts FROM {_EVENTS}
+        WHERE event_type = 'purchase' AND units % 3 <> 0""",
     "shifts": f"""
-        SELECT concat('en', {_APPLICANT}) AS entity_id, ts AS created_at,
-               CASE WHEN {_UNITS} % 3 <> 1 THEN ts + INTERVAL '95' MINUTE END AS check_in_time
-        FROM {{events}} WHERE event_type = 'purchase'""",
+        SELECT concat('en', applicant) AS entity_id, ts AS created_at,
+               CASE WHEN units % 3 <> 1 THEN ts + INTERVAL '95' MINUTE END AS check_in_time
+        FROM {_EVENTS} WHERE event_type = 'purchase'""",
     "home_loaded": f"""
-        SELECT concat('en', {_APPLICANT}) AS entity_id,
-               concat(' en', {_APPLICANT}, CASE WHEN event_id % 2 = 0 THEN ' ' ELSE '' END) AS user_id,
+        SELECT concat('en', applicant) AS entity_id,
+               concat(' en', applicant, CASE WHEN event_id % 2 = 0 THEN ' ' ELSE '' END) AS user_id,
                event_id, ts AS received_at,
-               CASE {_UNITS} % 6 WHEN 0 THEN 'BUSY' WHEN 1 THEN 'Very_Busy' WHEN 2 THEN 'normal'
+               CASE units % 6 WHEN 0 THEN 'BUSY' WHEN 1 THEN 'Very_Busy' WHEN 2 THEN 'normal'
                     WHEN 3 THEN 'not_busy' WHEN 4 THEN 'Full' END AS busyness
-        FROM {{events}} WHERE event_type = 'view'""",
+        FROM {_EVENTS} WHERE event_type = 'view'""",
     "access_impressions": f"""
-        SELECT concat('en', {_APPLICANT}) AS entity_id, event_id, ts AS impression_ts,
-               CASE {_UNITS} % 5 WHEN 0 THEN 'busy' WHEN 1 THEN 'VERY_BUSY' WHEN 2 THEN 'Normal'
+        SELECT concat('en', applicant) AS entity_id, event_id, ts AS impression_ts,
+               CASE units % 5 WHEN 0 THEN 'busy' WHEN 1 THEN 'VERY_BUSY' WHEN 2 THEN 'Normal'
                     WHEN 3 THEN 'not_busy' END AS busyness,
                CASE WHEN event_id % 3 <> 0 THEN 'current' ELSE 'legacy' END AS data_version
-        FROM {{events}} WHERE event_type = 'click'""",
+        FROM {_EVENTS} WHERE event_type = 'click'""",
     "access_daily": f"""
-        SELECT concat('en', {_APPLICANT}) AS entity_id, CAST(ts AS DATE) AS active_date,
+        SELECT concat('en', applicant) AS entity_id, CAST(ts AS DATE) AS active_date,
                CASE WHEN event_id % 7 <> 0 THEN CAST(event_id % 2 AS INT) END AS is_dash_now
-        FROM {{events}} WHERE event_type IN ('view', 'click', 'error')""",
+        FROM {_EVENTS} WHERE event_type IN ('view', 'click', 'error')""",
     "assignments": f"""
-        SELECT concat('en', {_APPLICANT}) AS entity_id, ts AS created_at,
+        SELECT concat('en', applicant) AS entity_id, ts AS created_at,
                CASE WHEN event_id % 3 <> 0 THEN ts + INTERVAL '3' MINUTE END AS accepted_at,
                CASE WHEN event_id % 4 = 0 THEN ts + INTERVAL '9' MINUTE END AS unassigned_at
-        FROM {{events}} WHERE event_type IN ('signup', 'click', 'purchase')""",
+        FROM {_EVENTS} WHERE event_type IN ('signup', 'click', 'purchase')""",
     "risk_linkage": """
         SELECT c_custkey AS applicant_id,
                CASE WHEN c_custkey % 31 = 0 THEN 1 ELSE 0 END AS is_deactivated_email,
@@ -113,17 +111,13 @@ TABLES: dict[str, str] = {
         FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
         WHERE c_custkey % 13 <> 0""",
     "idv_events": f"""
-        SELECT concat('lk', {_APPLICANT}) AS reference_id, ts AS created_at,
+        SELECT concat('lk', applicant) AS reference_id, ts AS created_at,
                CASE event_id % 3 WHEN 0 THEN 'template-a' WHEN 1 THEN 'template-b' ELSE 'template-other' END AS template_id,
-               CASE WHEN {_UNITS} % 21 < 7 THEN 'inquiry.created' WHEN {_UNITS} % 21 = 7 THEN 'document.created'
-                    WHEN {_UNITS} % 21 = 8 THEN 'document.submitted' WHEN {_UNITS} % 21 = 9 THEN 'document.processed'
-                    WHEN {_UNITS} % 21 = 10 THEN 'document.pending' WHEN {_UNITS} % 21 = 11 THEN 'selfie.created'
-                    WHEN {_UNITS} % 21 = 12 THEN 'selfie.submitted' WHEN {_UNITS} % 21 = 13 THEN 'selfie.processed'
-                    WHEN {_UNITS} % 21 = 14 THEN 'selfie.errored' WHEN {_UNITS} % 21 = 15 THEN 'inquiry.failed'
-                    WHEN {_UNITS} % 21 = 16 THEN 'inquiry.expired' WHEN {_UNITS} % 21 = 17 THEN 'inquiry.completed'
-                    WHEN {_UNITS} % 21 = 18 THEN 'inquiry.marked-for-review' WHEN {_UNITS} % 21 = 19 THEN 'inquiry.approved'
-                    ELSE 'inquiry.declined' END AS event_type
-        FROM {{events}}""",
+               CASE WHEN units % 21 < 7 THEN 'inquiry.created' ELSE split_part('document.created,document.submitted,'
+                   || 'document.processed,document.pending,selfie.created,selfie.submitted,selfie.processed,'
+                   || 'selfie.errored,inquiry.failed,inquiry.expired,inquiry.completed,inquiry.marked-for-review,'
+                   || 'inquiry.approved,inquiry.declined', ',', CAST(units % 21 - 6 AS INT)) END AS event_type
+        FROM {_EVENTS}""",
     # Orders as a funnel with several years of weeks: a priority class counts as a step reached. The weeks
     # are moved by 28 years (1461 weeks), which keeps every weekday and reaches the holiday calendar.
     "order_conversions": """
@@ -158,13 +152,29 @@ def driver_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_table(spark, folder, name, SCHEMAS[name])
 
 
+class Tables(dict):
+    """Derived and driver tables of a folder by name, each read when first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        super().__init__()
+        self.spark, self.folder = spark, folder
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name in SCHEMAS:
+            self[name] = driver_table(self.spark, self.folder, name)
+        else:
+            text = TABLES[name]
+            used = {t: self[t] for t in SCHEMAS if "{" + t + "}" in text}
+            text = text.replace("{ntz}", "TIMESTAMP_NTZ").replace("{text}", "STRING")
+            self[name] = self.spark.sql(text, **used)
+        return self[name]
+
+
 def derived(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One derived table, reading the driver tables under ``folder``."""
-    text = TABLES[name]
-    used = {t: driver_table(spark, folder, t) for t in SCHEMAS if "{" + t + "}" in text}
-    return spark.sql(text.replace("{ntz}", "TIMESTAMP_NTZ"), **used)
+    return Tables(spark, folder)[name]
 
 
 def derivation_sql(name: str) -> str:
     """The same derivation as plain SQL over views named like the driver tables."""
-    return TABLES[name].format(ntz="TIMESTAMP", **{t: t for t in SCHEMAS})
+    return TABLES[name].format(ntz="TIMESTAMP", text="VARCHAR", **{t: t for t in SCHEMAS})

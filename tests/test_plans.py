@@ -19,7 +19,8 @@ from sluice.plans.driver_setup import AS_OF, COHORT, FUNNEL, MEMBERSHIPS, START
 from sluice.plans.variance_report import declines
 from sluice.plans.verification_funnel import verification_funnel
 from sluice.plans.driver_setup import VERIFICATION
-from sluice.queries import QUERIES, Tables
+from sluice.queries import QUERIES
+from sluice.sources.driver_tables import Tables
 from sluice.specs import Measure, Step
 
 FOLDER = "/root/testdata/sf0.001"
