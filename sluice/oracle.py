@@ -314,14 +314,14 @@ def _base(source: str, before: str) -> str:
 
 # Lost conversions per unit of a rate (null for counts) and the tolerated loss.
 WEIGHTS = {
-    "R0": ("b.applicants::DOUBLE", 1500),
-    "R1.1": ("b.applicants * b.cvr_1_2_activation_to_fd", 1200),
-    "R1.2": ("b.account_activation::DOUBLE", 650),
-    "R2.1": ("b.applicants * (b.first_delivery / nullif(b.vehicle_submit, 0))", 600),
-    "R2.2": ("b.vehicle_submit * (b.first_delivery / nullif(b.idv_submit, 0))", 350),
-    "R2.3": ("b.idv_submit * (b.first_delivery / nullif(b.idv_approve, 0))", 550),
-    "R2.4": ("b.idv_approve * (b.first_delivery / nullif(b.bgc_submit, 0))", 400),
-    "R2.5": ("b.bgc_submit * b.cvr_1_2_activation_to_fd", 800),
+    "R0": ("b.applicants::DOUBLE", 1.5),
+    "R1.1": ("b.applicants * b.cvr_1_2_activation_to_fd", 1.2),
+    "R1.2": ("b.account_activation::DOUBLE", 0.65),
+    "R2.1": ("b.applicants * (b.first_delivery / nullif(b.vehicle_submit, 0))", 0.6),
+    "R2.2": ("b.vehicle_submit * (b.first_delivery / nullif(b.idv_submit, 0))", 0.35),
+    "R2.3": ("b.idv_submit * (b.first_delivery / nullif(b.idv_approve, 0))", 0.55),
+    "R2.4": ("b.idv_approve * (b.first_delivery / nullif(b.bgc_submit, 0))", 0.4),
+    "R2.5": ("b.bgc_submit * b.cvr_1_2_activation_to_fd", 0.8),
 }
 _WEIGHT = "CASE r.metric_number " + " ".join(f"WHEN '{k}' THEN {w}" for k, (w, _) in WEIGHTS.items()) + " END"
 _TOLERATED = "CASE r.metric_number " + " ".join(f"WHEN '{k}' THEN {t}" for k, (_, t) in WEIGHTS.items()) + " END"
@@ -392,9 +392,9 @@ SELECT *, {div0('acc_cvr_impact_abs', 'base_rate')} AS acc_cvr_impact_rel
 FROM (SELECT *, {div0('acc_impact', 'base_applicants')} AS acc_cvr_impact_abs FROM {prefix}_summed)""",
         f"{prefix}_judged": f"""
 SELECT *,
-    if(impact_wow_diff < -1500, 'No', 'Yes') AS c1_wow_within_variance_threshold,
-    if(acc_impact < -1500, 'No', 'Yes') AS c2_acc_within_variance_threshold,
-    if(impact_lm_avg_diff < -1500, 'No', 'Yes') AS c3_lm_avg_within_variance_threshold,
+    if(impact_wow_diff < -1.5, 'No', 'Yes') AS c1_wow_within_variance_threshold,
+    if(acc_impact < -1.5, 'No', 'Yes') AS c2_acc_within_variance_threshold,
+    if(impact_lm_avg_diff < -1.5, 'No', 'Yes') AS c3_lm_avg_within_variance_threshold,
     if(impact_wow_diff + tolerated < 0, 'No', 'Yes') AS c4_wow_within_substep_variance_threshold,
     if(acc_impact + tolerated < 0, 'No', 'Yes') AS c5_acc_within_substep_variance_threshold,
     if(impact_lm_avg_diff + tolerated < 0, 'No', 'Yes') AS c6_lm_avg_within_substep_variance_threshold,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
+from sluice.operators.metrics import METRICS as MONITORED
 from sluice.plans.verification_funnel import STEPS as VERIFICATION_STEPS
 from sluice.specs import CohortSpec, FunnelSpec, RegionRule, Rule, SubFunnelSpec
 
@@ -68,3 +70,6 @@ RISK_RULES = {
 REGION = RegionRule(1, (1, 11, 21), "US - Puerto Rico", "US - Other Region")
 COHORT = CohortSpec(ZONE, START, AS_OF, MEMBERSHIPS, RISK_RULES, REGION)
 VERIFICATION = SubFunnelSpec(ZONE, ("template-a", "template-b"), VERIFICATION_STEPS, "inquiry_created", "vehicle")
+
+# Some forty orders a week call for thresholds a thousandth of the default ones.
+METRICS = tuple(m if m.threshold is None else replace(m, threshold=m.threshold / 1000) for m in MONITORED)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 
-from sluice.operators.metrics import metric_base, metric_diffs, metric_lags, metric_long, metric_prev_month
+from sluice.operators.metrics import METRICS, metric_base, metric_diffs, metric_lags, metric_long, metric_prev_month
 from sluice.operators.variance import (
     accumulated_decline,
     cumulative_impact,
@@ -18,7 +19,7 @@ from sluice.operators.variance import (
     variance_thresholds,
 )
 from sluice.sources.holidays import holidays
-from sluice.specs import REPRODUCE, Quirks
+from sluice.specs import REPRODUCE, Metric, Quirks
 
 PUBLISHED = (
     "week_start",
@@ -65,10 +66,10 @@ def declines(long: DataFrame, quirks: Quirks = REPRODUCE) -> DataFrame:
     return accumulated_decline(streak_start_value(decline_streaks(compared)))
 
 
-def impacts(base: DataFrame, quirks: Quirks = REPRODUCE) -> DataFrame:
+def impacts(base: DataFrame, quirks: Quirks = REPRODUCE, metrics: Sequence[Metric] = METRICS) -> DataFrame:
     """Declines as lost conversions, with thresholds and the cumulative impact."""
-    translated = impact_translation(declines(metric_long(base), quirks), base, quirks=quirks)
-    return cumulative_impact(variance_thresholds(translated, quirks=quirks), quirks)
+    translated = impact_translation(declines(metric_long(base, metrics), quirks), base, metrics, quirks)
+    return cumulative_impact(variance_thresholds(translated, metrics, quirks), quirks)
 
 
 def variance_report(
@@ -77,9 +78,10 @@ def variance_report(
     where: Column | None = None,
     calendar: DataFrame | None = None,
     quirks: Quirks = REPRODUCE,
+    metrics: Sequence[Metric] = METRICS,
 ) -> DataFrame:
     """The published variance table. Grain: one row per cohort, completed week and metric."""
-    judged = guardrails(impacts(metric_base(conversions, as_of, where), quirks), quirks=quirks)
+    judged = guardrails(impacts(metric_base(conversions, as_of, where), quirks, metrics), metrics, quirks=quirks)
     named = holiday_weeks(judged, holidays(conversions.sparkSession) if calendar is None else calendar)
     kept = () if quirks.drop_lags_and_cohort else DROPPED
     return named.select(*PUBLISHED, *kept)

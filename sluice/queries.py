@@ -18,6 +18,7 @@ from sluice.plans.driver_setup import (
     COHORT,
     FUNNEL,
     MEMBERSHIPS,
+    METRICS,
     ORDERS_AS_OF,
     REGION,
     RISK_RULES,
@@ -377,7 +378,7 @@ def accumulated_decline(spark, folder):
 
 
 def _impacts(spark, folder):
-    return variance_plan.impacts(_orders_base(spark, folder))
+    return variance_plan.impacts(_orders_base(spark, folder), metrics=METRICS)
 
 
 IMPACT_KEYS = ("week_start", "metric_number", "metric_name")
@@ -403,7 +404,7 @@ def cumulative_impact(spark, folder):
 
 @query
 def guardrails(spark, folder):
-    judged = variance.guardrails(_impacts(spark, folder))
+    judged = variance.guardrails(_impacts(spark, folder), METRICS)
     return judged.select(*IMPACT_KEYS, *[c for c in judged.columns if c[0] == "c" and c[1].isdigit()])
 
 
@@ -418,7 +419,9 @@ def holiday_weeks(spark, folder):
 def variance_report(spark, folder):
     conversions = derived(spark, folder, "order_conversions")
     return comparable(
-        variance_plan.variance_report(conversions, ORDERS_AS_OF, F.col("all_waitlist_flag") == "No Waitlist")
+        variance_plan.variance_report(
+            conversions, ORDERS_AS_OF, F.col("all_waitlist_flag") == "No Waitlist", metrics=METRICS
+        )
     )
 
 
@@ -427,5 +430,7 @@ def cohort_variance_report(spark, folder):
     """The three published tables in a row: funnel, weekly conversions, variances."""
     conversions = cohort_plan.rolled_up(_weekly(spark, folder), COHORT)
     return comparable(
-        variance_plan.variance_report(conversions, AS_OF, F.col("all_waitlist_flag") == "No Waitlist")
+        variance_plan.variance_report(
+            conversions, AS_OF, F.col("all_waitlist_flag") == "No Waitlist", metrics=METRICS
+        )
     )
