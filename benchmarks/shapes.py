@@ -25,9 +25,8 @@ from sluice.operators.cohort import APPLIED_IN_WEEK, cohort_label, in_week, week
 from sluice.operators.metrics import METRICS, metric_base, metric_diffs, metric_lags  # noqa: E402
 from sluice.operators.touch import first_touch  # noqa: E402
 from sluice.operators.variance import decline_streaks  # noqa: E402
-from sluice.plans import applicant_funnel, cohort_report, variance_report  # noqa: E402
+from sluice.plans import applicant_funnel, cohort_report, order_lifecycle, variance_report  # noqa: E402
 from sluice.plans.driver_setup import AS_OF, COHORT, FUNNEL, ORDERS_AS_OF, START, ZONE  # noqa: E402
-from sluice.queries import QUERIES  # noqa: E402
 from sluice.session import session  # noqa: E402
 from sluice.sources.driver_tables import Tables  # noqa: E402
 from sluice.sources.storage import stage  # noqa: E402
@@ -63,9 +62,9 @@ def funnel_steps(tables: Tables) -> list[tuple[DataFrame, str, Step, str]]:
     ]
 
 
-def means_one_by_one(wide: DataFrame) -> DataFrame:
+def means_one_by_one(wide: DataFrame, lags, floor_column: str, samples_from) -> DataFrame:
     """One scan per lag, joined to one row."""
-    rows = [step_lag_means(wide, [lag], "applied_date", FUNNEL.samples_from) for lag in applicant_funnel.lags(FUNNEL)]
+    rows = [step_lag_means(wide, [lag], floor_column, samples_from) for lag in lags]
     return reduce(lambda a, b: a.crossJoin(b), rows)
 
 
@@ -100,18 +99,20 @@ def main() -> None:
         )
         wide = reduce(lambda w, p: w.join(p[0], p[1], "left"), parts, one_by_one(applicants, "link", funnel_steps(tables)))
         wide = wide.distinct()
-        return backfill_chain(wide, means_one_by_one(wide), applicant_funnel.fills(FUNNEL))
+        means = means_one_by_one(wide, applicant_funnel.lags(FUNNEL), "applied_date", FUNNEL.samples_from)
+        return backfill_chain(wide, means, applicant_funnel.fills(FUNNEL))
 
     def our_funnel():
         return applicant_funnel.backfilled_funnel(stage(applicant_funnel.all_steps(tables, FUNNEL)), FUNNEL)
 
     def plain_orders():
-        flags = {"open": "l_linestatus = 'O'", "none": "l_returnflag = 'N'", "accepted": "l_returnflag = 'A'", "returned": "l_returnflag = 'R'"}
-        steps = [(tables["lineitem"], "l_orderkey", Step(n, w), "l_shipdate") for n, w in flags.items()]
-        return one_by_one(tables["orders"].select("o_orderkey", "o_orderdate"), "o_orderkey", steps, None)
+        steps = [(tables["lineitem"], "l_orderkey", step, "l_shipdate") for step in order_lifecycle.STEPS]
+        wide = one_by_one(order_lifecycle.spine(tables["orders"]), "o_orderkey", steps, None).distinct()
+        means = means_one_by_one(wide, order_lifecycle.LAGS, "ordered", order_lifecycle.SAMPLES_FROM)
+        return backfill_chain(wide, means, order_lifecycle.FILLS)
 
     def our_orders():
-        return QUERIES["order_lifecycle_funnel"](spark, folder)
+        return order_lifecycle.order_lifecycle(tables["orders"], tables["lineitem"])
 
     def plain_conversions():
         weeks = spark.range(1).select(F.explode(week_sequence(START, AS_OF)).alias("week_start"))

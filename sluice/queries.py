@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions import week_start
-from sluice.operators import assemble, backfill, cohort, impressions, metrics, segments, touch, variance
+from sluice.operators import backfill, cohort, impressions, metrics, segments, touch, variance
 from sluice.operators.joins import left_join_all
 from sluice.plans import applicant_funnel as funnel_plan
 from sluice.plans import cohort_report as cohort_plan
@@ -26,12 +26,13 @@ from sluice.plans.driver_setup import (
     VERIFICATION,
     ZONE,
 )
+from sluice.plans.order_lifecycle import order_lifecycle
 from sluice.plans.verification_funnel import verification_funnel
 from sluice.plans.waitlist_report import waitlist_report
 from sluice.sources.driver_tables import Tables, derived, driver_table
 from sluice.sources.holidays import holidays
 from sluice.sources.storage import stage
-from sluice.specs import Fill, Lag, Step
+from sluice.specs import Step
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -181,23 +182,8 @@ def funnel_publish(spark, folder):
 
 @query
 def order_lifecycle_funnel(spark, folder):
-    """Orders as entities and their line items as step events, shipped by flag and status."""
-    steps = [
-        Step("open_shipped", "l_linestatus = 'O'"),
-        Step("none_shipped", "l_returnflag = 'N'"),
-        Step("accepted_shipped", "l_returnflag = 'A'"),
-        Step("returned_shipped", "l_returnflag = 'R'"),
-    ]
-    names = ["ordered", *[s.name for s in steps]]
-    lags = [Lag(f"{a}_to_{b}", a, b, 400_000) for a, b in zip(names, names[1:])]
-    fills = [Fill(lag.start, (lag.end,), lag.name) for lag in reversed(lags)]
-    spine = driver_table(spark, folder, "orders").select("o_orderkey", F.col("o_orderdate").alias("ordered"))
-    shipped = touch.first_touch(driver_table(spark, folder, "lineitem"), "l_orderkey", steps, "l_shipdate")
-    shipped = shipped.withColumnRenamed("l_orderkey", "o_orderkey")
-    wide = stage(assemble.wide_funnel(spine, {"o_orderkey": [shipped]}))
-    means = backfill.step_lag_means(wide, lags, "ordered", START.replace(year=1995))
-    filled = backfill.backfill_chain(wide, means, fills)
-    return filled.withColumn("backfilled", backfill.backfill_flag(names[:-1]))
+    tables = Tables(spark, folder)
+    return order_lifecycle(tables["orders"], tables["lineitem"])
 
 
 # C. Segmentation
