@@ -2,7 +2,7 @@
 
 The plain shape scans a source once per step and joins the results one after the other, pairs every week
 with every applicant, counts distinct ids per measure, and stacks one projection per metric. Prints one
-JSON line: seconds per job and shape, the median of ``BENCH_RUNS`` runs after a warm-up.
+JSON line: seconds per job and shape, the median of ``BENCH_RUNS`` runs after a warm-up. Arguments name jobs.
 """
 
 from __future__ import annotations
@@ -174,6 +174,8 @@ def main() -> None:
 
     result = {}
     for name, shapes in jobs.items():
+        if sys.argv[1:] and name not in sys.argv[1:]:
+            continue
         for label, job in zip(("plain", "ours"), shapes):
             seconds(job)
             result[f"{name}_{label}"] = round(statistics.median(seconds(job) for _ in range(runs)), 2)
