@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from sluice.llm.common import parts, rows_of, slices, staged, utf8
@@ -137,8 +138,7 @@ def without_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str =
             found = pa.array([digest(x) for x in utf8(batch.column(text))], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "_digest"])
 
-    schema = documents.schema.add("_digest", "binary")
-    tagged = documents.mapInArrow(run, schema)
+    tagged = documents.mapInArrow(run, T.StructType([*documents.schema.fields, T.StructField("_digest", T.BinaryType())]))
     met = tagged.join(gone, (F.col("_digest") == F.col("_gone_digest")) & F.col(doc_id).cast("long").eqNullSafe(F.col("_gone_id")), "left")
     rest = met.filter("_stays IS NULL OR _stays")
     if merged.filter("copies > 1").limit(1).count():

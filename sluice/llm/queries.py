@@ -9,6 +9,26 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import read
 from sluice.llm.exact_dedup import duplicate_groups
+from sluice.llm.packing import best_fit_packing
+from sluice.llm.token_counts import token_counts
+
+#: Length of a packed sequence in tokens, and the id that ends a document.
+SEQUENCE, END = 4096, 1
+
+
+def vocabulary(name: str) -> str:
+    """A public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(read(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
+
+
+def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return best_fit_packing(read(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), END, SEQUENCE)
 
 
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -17,6 +37,8 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_token_counts": op6_token_counts,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
