@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import read
 from sluice.llm.exact_dedup import duplicate_groups
+from sluice.llm.line_dedup import line_dedup
 from sluice.llm.packing import best_fit_packing
 from sluice.llm.token_counts import token_counts
 
@@ -31,6 +32,11 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return best_fit_packing(read(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), END, SEQUENCE)
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup(read(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = duplicate_groups(read(spark, folder, "documents"), keep="largest")
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -39,6 +45,7 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
@@ -46,6 +53,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 STATEMENTS: dict[str, str] = {
+    "op8_line_dedup": f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM d),
+k AS (SELECT *, {LOWER.format("trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13))")} AS key FROM l),
+s AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+m AS (SELECT k.*, s.first IS NOT NULL AND s.first < k.doc_id AS gone FROM k LEFT JOIN s USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id""",
     "op9_exact_dedup": f"""
 WITH t AS (SELECT doc_id, sha256({LOWER.format("coalesce(text, '')")}) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, text_sha256
