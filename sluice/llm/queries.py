@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import read
 from sluice.llm.exact_dedup import duplicate_groups
+from sluice.llm.language import fitted, held_out, predicted
 from sluice.llm.line_dedup import line_dedup
 from sluice.llm.packing import best_fit_packing
 from sluice.llm.token_counts import token_counts
@@ -24,6 +25,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents").withColumn("held_out", held_out())
+    found = fitted(documents.filter("NOT held_out"))
+    return predicted(documents.select("doc_id", "held_out", "text"), found).drop("text")
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(read(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
 
@@ -43,6 +50,7 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_language": op5_language,
     "op6_token_counts": op6_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_line_dedup": op8_line_dedup,
