@@ -13,6 +13,7 @@ from sluice.llm.language import fitted, held_out, predicted
 from sluice.llm.line_dedup import line_dedup
 from sluice.llm.packing import best_fit_packing
 from sluice.llm.token_counts import token_counts
+from sluice.llm.url_filter import SOFT_TERMS, STRICT, judged_urls
 
 #: Length of a packed sequence in tokens, and the id that ends a document.
 SEQUENCE, END = 4096, 1
@@ -25,6 +26,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return judged_urls(read(spark, folder, "pages"))
+
+
 def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents").withColumn("held_out", held_out())
     found = fitted(documents.filter("NOT held_out"))
@@ -50,6 +55,7 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": op2_url_filter,
     "op5_language": op5_language,
     "op6_token_counts": op6_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
@@ -60,7 +66,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: Lower case for A-Z only.
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _hits(terms: tuple[str, ...]) -> str:
+    """The number of terms that stand alone in host and path."""
+    return " + ".join(f"CAST(regexp_matches(lower(host || path), '(^|[^a-z0-9]){t}([^a-z0-9]|$)') AS INT)" for t in terms)
+
+
 STATEMENTS: dict[str, str] = {
+    "op2_url_filter": f"""
+WITH u AS (
+  SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') > 0 AS whole FROM pages),
+r AS (SELECT page_id, CASE WHEN whole THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^?#]*') ELSE '' END AS rest FROM u),
+h AS (
+  SELECT page_id, {LOWER.format("regexp_extract(rest, '^[^/]*')")} AS host, substr(rest, length(regexp_extract(rest, '^[^/]*')) + 1) AS path FROM r),
+m AS (
+  SELECT *, {_hits(STRICT)} AS strict_hits, {_hits(SOFT_TERMS)} AS soft_hits, CASE
+    WHEN ('.' || host) LIKE '%.www.example.com' AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM h)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+       WHEN strict_hits > 0 OR soft_hits > 1 THEN 'block' ELSE 'allow' END AS verdict,
+       CAST(strict_hits AS INT) AS strict_hits, CAST(soft_hits AS INT) AS soft_hits
+FROM m""",
     "op8_line_dedup": f"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM d),
