@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import read
 from sluice.llm.exact_dedup import duplicate_groups
+from sluice.llm.html_text import html_text
 from sluice.llm.language import fitted, held_out, predicted
 from sluice.llm.line_dedup import line_dedup
 from sluice.llm.packing import best_fit_packing
 from sluice.llm.token_counts import token_counts
 from sluice.llm.url_filter import SOFT_TERMS, STRICT, judged_urls
+from sluice.llm.vamana import nearest
 
 #: Length of a packed sequence in tokens, and the id that ends a document.
 SEQUENCE, END = 4096, 1
@@ -26,10 +28,19 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_vamana(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(spark, folder, "embeddings")
+    return nearest(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged_urls(read(spark, folder, "pages"))
 
 
+def op3_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text(read(spark, folder, "pages"))
+
+
 def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents").withColumn("held_out", held_out())
     found = fitted(documents.filter("NOT held_out"))
@@ -55,7 +66,9 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_vamana": op1_vamana,
     "op2_url_filter": op2_url_filter,
+    "op3_html_text": op3_html_text,
     "op5_language": op5_language,
     "op6_token_counts": op6_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
