@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sluice.llm.common import read
 from sluice.llm.exact_dedup import duplicate_groups
 from sluice.llm.html_text import html_text
+from sluice.llm.jaccard import near_duplicates
 from sluice.llm.language import fitted, held_out, predicted
 from sluice.llm.line_dedup import line_dedup
 from sluice.llm.packing import best_fit_packing
@@ -65,6 +66,10 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vamana": op1_vamana,
     "op2_url_filter": op2_url_filter,
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 #: Lower case for A-Z only.
