@@ -13,6 +13,7 @@ from sluice.llm.html_text import html_text
 from sluice.llm.jaccard import near_duplicates
 from sluice.llm.language import fitted, held_out, predicted
 from sluice.llm.line_dedup import line_dedup
+from sluice.llm.mixing import temperature_mix
 from sluice.llm.packing import best_fit_packing
 from sluice.llm.token_counts import token_counts
 from sluice.llm.url_filter import SOFT_TERMS, STRICT, judged_urls
@@ -42,6 +43,11 @@ def op3_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text(read(spark, folder, "pages"))
 
 
+def op4_temperature_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = temperature_mix(read(spark, folder, "documents"), entropy=0.5, repeats=4.0, keep_text=False)
+    return mixed.select("doc_id", "source", "n_tokens", "weight", "epoch", "block", "place")
+
+
 def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents").withColumn("held_out", held_out())
     found = fitted(documents.filter("NOT held_out"))
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vamana": op1_vamana,
     "op2_url_filter": op2_url_filter,
     "op3_html_text": op3_html_text,
+    "op4_temperature_mix": op4_temperature_mix,
     "op5_language": op5_language,
     "op6_token_counts": op6_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
