@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import read, staged
+from sluice.llm.common import read, spare, staged
 from sluice.llm.exact_dedup import without_duplicates
 from sluice.llm.jaccard import near_duplicates
 from sluice.llm.language import UNKNOWN, fitted, held_out, predicted
@@ -29,8 +29,9 @@ REPEATS = 1.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, and those like none of the languages that the labelled ones teach, go."""
     found = fitted(docs.filter(~held_out()))
-    judged = predicted(docs, found, language="_predicted", score="_score")
-    return judged.filter((F.col("_predicted") != UNKNOWN) & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
+    language, score = spare(docs, "predicted"), spare(docs, "score")
+    judged = predicted(docs, found, language=language, score=score)
+    return judged.filter((F.col(language) != UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +42,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, the document with the smallest doc_id stays. Rows with one doc_id are one document."""
     groups = near_duplicates(docs)
-    stays = F.max(F.col("doc_id").eqNullSafe(F.col("component_id")).cast("int"))
-    gone = groups.groupBy("doc_id").agg(stays.alias("stays")).filter("stays = 0").select(F.col("doc_id").alias("_gone"))
-    return docs.join(staged(gone), docs["doc_id"].cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    stays, name = F.max(F.col("doc_id").eqNullSafe(F.col("component_id")).cast("int")), spare(docs, "gone")
+    gone = staged(groups.groupBy("doc_id").agg(stays.alias("stays")).filter("stays = 0").select(F.col("doc_id").alias(name)))
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[name]), "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,6 +51,14 @@ def _delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def rows_of(table: DataFrame) -> int:
     """Rows of a staged table; Spark takes the number from the files' footers."""
     return table.count()

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from sluice.llm.common import parts, rows_of, slices, staged, utf8
+from sluice.llm.common import parts, rows_of, slices, spare, staged, utf8
 
 KEY = ("digest", "n_bytes", "check")
 #: Entries that a leaf should hold, and the number of runs that a node merges in a round.
@@ -127,21 +127,21 @@ def duplicate_groups(
 def without_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: str = "smallest") -> DataFrame:
     """The rows of ``documents`` that stay, one of each group of equal texts, with all their columns."""
     merged = staged(tree_merge(documents, doc_id, text, keep))
+    own, gone_id, gone_digest, kept, row = (spare(documents, x) for x in ("own_digest", "gone_id", "gone_digest", "kept", "row"))
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    gone = merged.select(F.col("doc_id").alias("_gone_id"), F.col("digest").alias("_gone_digest"), stays.alias("_stays")).filter(
-        ~stays | (F.col("copies") > 1)
-    )
+    gone = merged.filter(~stays | (F.col("copies") > 1))
+    gone = gone.select(F.col("doc_id").alias(gone_id), F.col("digest").alias(gone_digest), stays.alias(kept))
     names = documents.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
             found = pa.array([digest(x) for x in utf8(batch.column(text))], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "_digest"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, own])
 
-    tagged = documents.mapInArrow(run, T.StructType([*documents.schema.fields, T.StructField("_digest", T.BinaryType())]))
-    met = tagged.join(gone, (F.col("_digest") == F.col("_gone_digest")) & F.col(doc_id).cast("long").eqNullSafe(F.col("_gone_id")), "left")
-    rest = met.filter("_stays IS NULL OR _stays")
+    tagged = documents.mapInArrow(run, T.StructType([*documents.schema.fields, T.StructField(own, T.BinaryType())]))
+    met = tagged.join(gone, (F.col(own) == F.col(gone_digest)) & F.col(doc_id).cast("long").eqNullSafe(F.col(gone_id)), "left")
+    rest = met.filter(F.coalesce(kept, F.lit(True)))
     if merged.filter("copies > 1").limit(1).count():
-        one = W.partitionBy(doc_id, "_digest").orderBy(F.lit(1))
-        rest = rest.withColumn("_row", F.row_number().over(one)).filter("_row = 1")
+        one = W.partitionBy(doc_id, own).orderBy(F.lit(1))
+        rest = rest.withColumn(row, F.row_number().over(one)).filter(F.col(row) == 1)
     return rest.select(*names)

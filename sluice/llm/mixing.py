@@ -126,25 +126,27 @@ def temperature_mix(
     A null source is a source. A null text has one token. Repeated rows are documents of their own. A document without
     an id is mixed as any other. No rows give no rows.
     """
-    kept = [c for c in documents.columns if c not in ADDED and (keep_text or c != text)]
-    rows = documents.withColumn("n_tokens", n_tokens(F.col(text).cast("string"))).select(*kept, "n_tokens", _name(F.col(source)).alias("_name"))
-    totals = staged(rows.groupBy(F.col("_name").alias("name")).agg(F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens")))
+    kept = [c for c in documents.columns if c.lower() not in ADDED and (keep_text or c != text)]
+    # The documents' own columns travel as one, so none of their names can clash.
+    rows = documents.select(
+        F.struct(*kept).alias("row"), F.col(doc_id).alias("id"), _name(F.col(source)).alias("name"), n_tokens(F.col(text).cast("string")).alias("n_tokens")
+    )
+    totals = staged(rows.groupBy("name").agg(F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens")))
     if budget is None and not whole:
         budget = float(totals.agg(F.sum("tokens")).first()[0] or 0)
     weights = source_weights(totals, entropy, repeats, budget)
-    salted = staged(weights.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    lot = F.xxhash64(F.col(doc_id), F.lit(seed))
-    dealt = rows.withColumn("_salt", F.pmod(lot, F.lit(SALTS)).cast("int")).join(salted.withColumnRenamed("name", "_name"), ["_name", "_salt"])
-    part = F.pmod(F.xxhash64(F.col(doc_id), F.lit(seed), F.lit("block")), F.ceil(F.col("docs") / F.lit(block_docs)))
-    dealt = dealt.withColumn("_part", part)
-
-    group = W.partitionBy("_name", "_part")
-    order = group.orderBy(F.xxhash64(F.col(doc_id), F.lit(seed), F.floor("used") + 1), doc_id, "n_tokens")
+    salted = staged(weights.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(SALTS)).cast("int")).join(salted, ["name", "salt"])
+    part = F.pmod(F.xxhash64("id", F.lit(seed), F.lit("block")), F.ceil(F.col("docs") / F.lit(block_docs)))
+    dealt = dealt.withColumn("part", part)
+
+    group = W.partitionBy("name", "part")
+    order = group.orderBy(F.xxhash64("id", F.lit(seed), F.floor("used") + 1), "id", "n_tokens")
     before = F.coalesce(F.sum("n_tokens").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     share = F.col("used") - F.floor("used")
     within = before + F.col("n_tokens") / 2 <= share * F.sum("n_tokens").over(group)
     uses = F.floor("used").cast("int") + F.when((share > 0) & within, 1).otherwise(0)
-    taken = dealt.withColumn("_uses", uses).filter("_uses > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("_uses"))))
-    permuted = W.partitionBy("_name", "_part", "epoch").orderBy(F.xxhash64(F.col(doc_id), F.lit(seed), "epoch"), doc_id, "n_tokens")
-    block = F.xxhash64("_name", "_part", F.lit(seed), "epoch")
-    return taken.select(*kept, "n_tokens", "weight", "epoch", block.alias("block"), F.row_number().over(permuted).alias("place"))
+    taken = dealt.withColumn("uses", uses).filter("uses > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("uses"))))
+    permuted = W.partitionBy("name", "part", "epoch").orderBy(F.xxhash64("id", F.lit(seed), "epoch"), "id", "n_tokens")
+    block = F.xxhash64("name", "part", F.lit(seed), "epoch")
+    return taken.select("row.*", "n_tokens", "weight", "epoch", block.alias("block"), F.row_number().over(permuted).alias("place"))
