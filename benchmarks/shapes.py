@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from functools import reduce
 from pathlib import Path
@@ -29,7 +30,7 @@ from sluice.plans import applicant_funnel, cohort_report, order_lifecycle, varia
 from sluice.plans.driver_setup import AS_OF, COHORT, FUNNEL, ORDERS_AS_OF, START, ZONE  # noqa: E402
 from sluice.session import session  # noqa: E402
 from sluice.sources.driver_tables import Tables  # noqa: E402
-from sluice.sources.storage import stage  # noqa: E402
+from sluice.sources.storage import Staging  # noqa: E402
 from sluice.specs import Step  # noqa: E402
 
 
@@ -79,7 +80,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     tables = Tables(spark, folder)
     applicants = tables["applicants"].select("applicant_id", "entity_id", "link", "applied_date", "first_dash_date")
-    funnel = stage(applicant_funnel.applicant_funnel(tables, FUNNEL))
+    stage = Staging(spark, tempfile.mkdtemp(prefix="shapes-"))
+    funnel = stage(applicant_funnel.applicant_funnel(tables, FUNNEL, stage))
     rows = stage(cohort_report.segmented_rows(funnel, tables, COHORT))
     conversions = tables["order_conversions"]
     filtered = F.col("all_waitlist_flag") == "No Waitlist"

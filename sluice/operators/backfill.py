@@ -49,14 +49,14 @@ def backfill_chain(funnel: DataFrame, means: DataFrame, fills: Sequence[Fill]) -
     )
 
     def filled(fill: Fill) -> Column:
-        kept = wall_clock(F.col(f"{fill.kept or fill.step}_raw"))
-        if not fill.following:
-            return kept
+        own, kept = (wall_clock(F.col(f"{c}_raw")) for c in (fill.step, fill.kept or fill.step))
         following = wall_clock(F.coalesce(*[F.col(c) for c in fill.following]))
         imputed = minus_minutes(following, F.col("_means")[fill.lag])
         if fill.kept is None:
-            return F.coalesce(kept, imputed)
-        return F.when(F.col(f"{fill.step}_raw").isNull() & following.isNotNull(), imputed).otherwise(kept)
+            value = F.coalesce(kept, imputed)
+        else:
+            value = F.when(own.isNull() & following.isNotNull(), imputed).otherwise(kept)
+        return value if fill.applies is None else F.when(F.expr(fill.applies), value).otherwise(own)
 
     # Each fill may name the ones before it in the same select.
     return raw.select("*", *[filled(fill).alias(fill.step) for fill in fills]).drop("_means")

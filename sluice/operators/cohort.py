@@ -120,6 +120,18 @@ def _activation_weeks(funnel: DataFrame, entity: str, activation: str, quirks: Q
     return weeks.groupBy(entity).agg(F.min("_week").alias("_week"), F.lit(1).cast("bigint").alias("_rows"))
 
 
+def _in_activation_weeks(facts: DataFrame, weeks: DataFrame, entity: str) -> DataFrame:
+    """The facts of an entity's activation weeks.
+
+    The first and last such week bound the facts first, as scalar subqueries that cost two numbers. The semi-join on
+    entity and week then leaves about one week of years of facts to be aggregated; a hot entity's part of it can be
+    split, since rows are only dropped.
+    """
+    ends = weeks.agg(F.struct(F.min("_week").alias("low"), F.max("_week").alias("high"))).scalar()
+    near = facts.filter(F.col(entity).isNotNull() & F.col("_week").between(ends["low"], ends["high"]))
+    return near.join(weeks.select(entity, "_week"), [entity, "_week"], "left_semi")
+
+
 def activation_week_access(
     access: DataFrame,
     funnel: DataFrame,
@@ -129,15 +141,15 @@ def activation_week_access(
 ) -> DataFrame:
     """Impressions, flagged impressions and their ratio in the entity's activation week.
 
-    The facts are reduced to one row per entity and week before the join, so an entity holding many of
-    them is already small when it is shuffled. Grain: one row per entity with facts in that week.
+    Facts of other weeks are dropped before they are aggregated; see ``_in_activation_weeks``.
+    Grain: one row per entity with facts in that week.
     """
-    weekly = (
-        access.filter(F.col(entity).isNotNull())
-        .groupBy(entity, week_start(F.col("active_date")).alias("_week"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.sum("is_dash_now").alias("_flagged"))
+    weeks = _activation_weeks(funnel, entity, activation, quirks)
+    facts = access.select(entity, week_start(F.col("active_date")).alias("_week"), "is_dash_now")
+    weekly = _in_activation_weeks(facts, weeks, entity).groupBy(entity, "_week").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("is_dash_now").alias("_flagged")
     )
-    joined = weekly.join(_activation_weeks(funnel, entity, activation, quirks), [entity, "_week"])
+    joined = weekly.join(weeks, [entity, "_week"])
     totals = joined.groupBy(entity).agg(
         F.sum(F.col("_n") * F.col("_rows")).alias("n_impressions"),
         F.sum(F.col("_flagged") * F.col("_rows")).alias("n_dash_now_impressions"),
@@ -160,12 +172,13 @@ def activation_week_assignments(
     Grain: one row per entity with assignments in that week.
     """
     accepted = F.col("accepted_at").isNotNull() & F.col("unassigned_at").isNull()
-    weekly = (
-        assignments.filter(F.col(entity).isNotNull() & F.col("created_at").isNotNull())
-        .groupBy(entity, week_start(local_time(F.col("created_at"), zone)).alias("_week"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.count(F.when(accepted, F.lit(1))).alias("_accepted"))
+    weeks = _activation_weeks(funnel, entity, activation, quirks)
+    created = week_start(local_time(F.col("created_at"), zone)).alias("_week")
+    facts = assignments.select(entity, created, accepted.alias("_kept"))
+    weekly = _in_activation_weeks(facts, weeks, entity).groupBy(entity, "_week").agg(
+        F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("_kept"), F.lit(1))).alias("_accepted")
     )
-    joined = weekly.join(_activation_weeks(funnel, entity, activation, quirks), [entity, "_week"])
+    joined = weekly.join(weeks, [entity, "_week"])
     totals = joined.groupBy(entity).agg(
         F.sum(F.col("_n") * F.col("_rows")).alias("assignment_creation_cnt"),
         F.sum(F.col("_accepted") * F.col("_rows")).alias("_accepted"),
@@ -187,13 +200,15 @@ def cohort_conversion(
     measures: Sequence[Measure],
     delivery: Column,
     activated: Column,
+    parts: bool = False,
 ) -> DataFrame:
     """Distinct converting applicants per segment and week, with the additive activation-week facts.
 
     Two levels: one row per segment and id, where a measure is 0 or 1, then sums. A hot segment is
     pre-aggregated on the map side and no row is multiplied by the number of distinct counts. First
     deliveries count entities instead of applicants (K18): a delivered row adds a second row under its
-    entity id, which carries that measure alone. Facts are summed per row (K19).
+    entity id, which carries that measure alone. Facts are summed per row (K19). With ``parts`` the mean rate comes
+    with its sum and number of rows, for ``cohort_conversion_rollup``.
     Grain: one row per combination of ``segments``.
     """
     flags = {m.name: in_week(F.expr(m.value)) & (F.expr(m.extra) if m.extra else F.lit(True)) for m in measures}
@@ -229,16 +244,22 @@ def cohort_conversion(
             "dash_now_access_rate"
         ),
         F.count(F.when(F.col("delivered") & F.col("id").isNotNull(), F.lit(1))).alias("first_delivery"),
+        *([F.sum(F.when(once, F.col("_rate"))).alias(RATE_SUM), F.sum(F.when(once, F.col("_rates"))).alias(RATE_ROWS)] if parts else []),
     )
 
 
-def cohort_conversion_rollup(conversions: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
-    """Conversions by the published keys with the acceptance rate.
+RATE_SUM, RATE_ROWS = "dash_now_access_rate_sum", "dash_now_access_rate_rows"
 
-    The published keys determine the segments of ``cohort_conversion`` (K20), so nothing is left to
-    aggregate: the roll-up is a projection. Grain: the input's.
-    """
-    measures = [c for c in conversions.columns if c not in {k for k in keys if isinstance(k, str)}]
-    rate = safe_ratio(F.col("assignment_accepted_cnt"), F.col("assignment_creation_cnt"))
-    return conversions.select(*keys, *measures).withColumn("acceptance_rate", rate)
 
+def cohort_conversion_rollup(conversions: DataFrame, keys: Sequence[str | Column], measures: Sequence[str]) -> DataFrame:
+    """Conversions by ``keys``: the sums of ``measures``, the acceptance rate and the mean access rate.
+
+    The keys may be coarser than the segments of ``cohort_conversion``, which has to keep its ``parts``: the mean is taken
+    over the rows behind it, not over segments. Grain: one row per combination of ``keys``.
+    """
+    sums = conversions.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in [*measures, RATE_SUM, RATE_ROWS]])
+    rates = {
+        "dash_now_access_rate": F.try_divide(F.col(RATE_SUM), F.col(RATE_ROWS)),
+        "acceptance_rate": safe_ratio(F.col("assignment_accepted_cnt"), F.col("assignment_creation_cnt")),
+    }
+    return sums.withColumns(rates).drop(RATE_SUM, RATE_ROWS)

@@ -57,10 +57,12 @@ def gated_impressions(
     qualifying = events.join(gates, "gate_id").filter(
         local_time(F.col("at"), compare_zone) >= local_time(F.col("_milestone"), compare_zone)
     )
-    firsts = qualifying.groupBy("source", "entity_id").agg(
+    # One row per busyness first: that aggregate hashes, and few rows are left to be sorted for the first one.
+    by_value = qualifying.groupBy("source", "entity_id", "busyness").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("_n"))
+    firsts = by_value.groupBy("source", "entity_id").agg(
         F.min(F.struct("at", "busyness")).alias("_first"),
-        F.count(F.when(F.col("busyness").isin(*busy), F.lit(1))).alias("busy_impression_freq"),
-        F.count(F.lit(1)).alias("total_impression_freq"),
+        F.sum(F.when(F.col("busyness").isin(*busy), F.col("_n")).otherwise(0)).alias("busy_impression_freq"),
+        F.sum("_n").alias("total_impression_freq"),
     )
     return firsts.select(
         "source",

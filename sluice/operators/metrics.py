@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from sluice.functions import month_start, safe_ratio, week_start
 from sluice.specs import REPRODUCE, Metric, Quirks
@@ -112,10 +113,21 @@ def metric_long(base: DataFrame, metrics: Sequence[Metric] = METRICS) -> DataFra
     return base.select("cohort", "week_start", F.inline(F.array(*cells)))
 
 
+def exact_mean(value: Column, over: WindowSpec | None = None) -> Column:
+    """Mean of doubles that doesn't depend on the order of its additions: the sum is taken in decimals.
+
+    Twenty-four decimal places hold every digit of a rate, so the mean of equal values is that value.
+    """
+    total, rows = F.sum(value.cast("decimal(38,24)")), F.count(value)
+    if over is not None:
+        total, rows = total.over(over), rows.over(over)
+    return (total / F.nullif(rows, F.lit(0)).cast("decimal(3,0)")).cast("double")
+
+
 def metric_monthly_avg(long: DataFrame) -> DataFrame:
     """Mean of every metric over the weeks starting in a month. Grain: (cohort, month, metric)."""
     return long.groupBy("cohort", month_start(F.col("week_start")).alias("week_month"), "metric_number", "metric_name").agg(
-        F.avg("metric_value").alias("metric_value_monthly_avg")
+        exact_mean(F.col("metric_value")).alias("metric_value_monthly_avg")
     )
 
 
@@ -136,7 +148,7 @@ def metric_prev_month(lagged: DataFrame) -> DataFrame:
     before = W.partitionBy(*SERIES).orderBy("_month").rangeBetween(-1, -1)
     return (
         lagged.withColumn("_month", month)
-        .withColumn("metric_value_last_month_avg", F.avg("metric_value").over(before))
+        .withColumn("metric_value_last_month_avg", exact_mean(F.col("metric_value"), before))
         .drop("_month")
     )
 
@@ -145,15 +157,15 @@ def metric_diffs(compared: DataFrame, quirks: Quirks = REPRODUCE) -> DataFrame:
     """Week-over-week and versus-last-month differences and decline flags. Grain: the input's.
 
     A percentage is null over a zero or missing baseline. The last-month flag tests the percentage (K11);
-    corrected, it tests the difference like the weekly flag. A mean of doubles depends on the order of its
-    additions in the last digits, so the flags test nine of them.
+    corrected, it tests the difference like the weekly flag. Both tests are exact: the weekly difference is of two
+    single values, and the mean does not depend on the order of its additions.
     """
 
     def change(baseline: str) -> Column:
         return safe_ratio(F.col("metric_value"), F.nullif(F.col(baseline), F.lit(0.0))) - 1
 
     def declined(difference: str) -> Column:
-        return F.when(F.round(F.col(difference), 9) < 0, 1).otherwise(0)
+        return F.when(F.col(difference) < 0, 1).otherwise(0)
 
     month_basis = "metric_lm_avg_diff_pct" if quirks.mixed_decline_basis else "metric_lm_avg_diff"
     return compared.withColumns(

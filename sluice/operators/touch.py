@@ -99,16 +99,23 @@ def status_summary(
     """First, first approved, first declined and last entry of a status history.
 
     Rows without a time cannot be first or last. Equal times are decided by ``tie_break``, then by the
-    status. Grain: one row per key.
+    status. The history is first reduced to one row per key, status and tie-breaking value, with its first and
+    last time: that aggregate hashes, where the end rows themselves, which hold text, would have to be sorted.
+    Grain: one row per key.
     """
     at = F.col(updated_at)
-    order = F.when(at.isNotNull(), F.struct(at, *[F.col(c) for c in tie_break], F.col(status)))
+    short = history.filter(F.col(key).isNotNull()).groupBy(key, status, *tie_break).agg(F.min(at).alias("_from"), F.max(at).alias("_to"))
+
+    def end(time: str) -> Column:
+        order = F.struct(F.col(time).alias(updated_at), *[F.col(c) for c in tie_break], F.col(status))
+        return F.when(F.col(time).isNotNull(), order)
+
     first_zone = None if quirks.first_status_in_utc else zone
-    summary = history.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.min(order).alias("_first"),
-        F.min(F.when(F.col(status) == approved, at)).alias("_approved"),
-        F.min(F.when(F.col(status) == declined, at)).alias("_declined"),
-        F.max(order).alias("_last"),
+    summary = short.groupBy(key).agg(
+        F.min(end("_from")).alias("_first"),
+        F.min(F.when(F.col(status) == approved, F.col("_from"))).alias("_approved"),
+        F.min(F.when(F.col(status) == declined, F.col("_from"))).alias("_declined"),
+        F.max(end("_to")).alias("_last"),
     )
     return summary.select(
         key,
@@ -152,13 +159,17 @@ def first_last_attribute(
     """Attribute values at the first and at the last qualifying event of each key.
 
     Adds ``<attribute>_first`` and ``<attribute>_last``. All attributes come from the same event, so two
-    aggregation buffers serve any number of them. Grain: one row per key.
+    aggregation buffers serve any number of them. The events are first reduced by a hash aggregate to one row per key
+    and combination of values, with its first and last time. Grain: one row per key.
     """
     used = events.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
     if where is not None:
         used = used.filter(F.expr(where))
-    row = F.struct(*[F.col(c) for c in [ts, *tie_break, *attributes]])
-    ends = used.groupBy(key).agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
+    values = [*tie_break, *attributes]
+    short = used.groupBy(key, *values).agg(F.min(ts).alias("_from"), F.max(ts).alias("_to"))
+    ends = short.groupBy(key).agg(
+        *[end(F.struct(F.col(time).alias("_at"), *values)).alias(name) for end, time, name in ((F.min, "_from", "_first"), (F.max, "_to", "_last"))]
+    )
     return ends.select(
         key,
         *[F.col("_first")[a].alias(f"{a}_first") for a in attributes],

@@ -7,9 +7,9 @@ applicant, self-joins for streaks. Shared pieces are named relations; a statemen
 from __future__ import annotations
 
 import re
+from datetime import date, timedelta
 
 from sluice.sources.driver_tables import TABLES, derivation_sql
-from sluice.sources.holidays import US_FEDERAL_HOLIDAYS
 
 
 def local(value: str) -> str:
@@ -23,10 +23,18 @@ def looked_up(source: str, key: str, condition: str, outer: str = "a.link", ts:
 
 def tidy(body: str, *doubles: str) -> str:
     """Doubles rounded, zero without a sign."""
-    rounded = ", ".join(f"CASE WHEN round({c}, 6) = 0 THEN 0.0::DOUBLE ELSE round({c}, 6) END AS {c}" for c in doubles)
+    rounded = ", ".join(f"CASE WHEN round({c}, 9) = 0 THEN 0.0::DOUBLE ELSE round({c}, 9) END AS {c}" for c in doubles)
     return f"SELECT * REPLACE ({rounded}) FROM ({body}) tidied"
 
 
+# The mean of doubles without an order of additions: the sum of their shortest texts as decimals, divided as whole numbers of
+# 24 decimal places and rounded half up, and the digits read as a double.
+_DIGITS = "CAST(replace(CAST(sum(CAST(CAST(metric_value AS VARCHAR) AS DECIMAL(30, 24))) AS VARCHAR), '.', '') AS HUGEINT)"
+_QUOTIENT = f"((2 * {_DIGITS} + count(metric_value)) // (2 * nullif(count(metric_value), 0)))"
+_ONE = "1000000000000000000000000::HUGEINT"
+_MEAN = f"CAST(({_QUOTIENT} // {_ONE})::VARCHAR || '.' || lpad(({_QUOTIENT} % {_ONE})::VARCHAR, 24, '0') AS DOUBLE)"
+
+
 def div0(a: str, b: str) -> str:
     return f"(CASE WHEN ({b}) = 0 AND ({a}) IS NOT NULL THEN 0 ELSE ({a})::DOUBLE / nullif(({b}), 0)::DOUBLE END)"
 
@@ -70,7 +78,7 @@ RULES = {
 }
 DEVICE_LABEL = """CASE WHEN os_first IS NULL AND os_last IS NULL THEN NULL
     WHEN 'iOS' IN (os_first, os_last) THEN 'iOS'
-    WHEN os_first || os_last = 'AndroidAndroid' THEN 'Android' ELSE os_first || '-' || os_last END"""
+    WHEN os_first = 'Android' AND os_last = 'Android' THEN 'Android' ELSE os_first || '-' || os_last END"""
 VERSION_LABEL = "CASE WHEN v_first = v_last THEN v_last ELSE v_first || '-' || v_last END"
 
 PARTS: dict[str, str] = {name: derivation_sql(name) for name in TABLES}
@@ -341,7 +349,7 @@ def _variance_parts(prefix: str, source: str, before: str) -> dict[str, str]:
         f"{prefix}_long": long,
         f"{prefix}_monthly": f"""
 SELECT cohort, CAST(date_trunc('month', week_start) AS DATE) AS week_month, metric_number, metric_name,
-       avg(metric_value) AS metric_value_monthly_avg
+       {_MEAN} AS metric_value_monthly_avg
 FROM {prefix}_long GROUP BY ALL""",
         f"{prefix}_indexed": f"""
 SELECT l.*, (row_number() OVER (PARTITION BY cohort, metric_number ORDER BY week_start))::INTEGER AS week_index FROM {prefix}_long l""",
@@ -361,7 +369,7 @@ SELECT r.*, metric_value - metric_value_pw AS metric_wow_diff, {change.format('m
     metric_value - metric_value_last_month_avg AS metric_lm_avg_diff,
     {change.format('metric_value_last_month_avg')} AS metric_lm_avg_diff_pct,
     coalesce((metric_value < metric_value_pw)::INTEGER, 0) AS w1_decline_flag,
-    coalesce((round({change.format('metric_value_last_month_avg')}, 9) < 0)::INTEGER, 0) AS lm_avg_decline_flag
+    coalesce(({change.format('metric_value_last_month_avg')} < 0)::INTEGER, 0) AS lm_avg_decline_flag
 FROM {prefix}_compared r""",
         f"{prefix}_opened": f"""
 SELECT r.*, (SELECT max(p.week_index) FROM {prefix}_diffs p WHERE {at} AND p.week_index <= r.week_index AND p.w1_decline_flag = 0) AS opened_at,
@@ -405,8 +413,31 @@ FROM {prefix}_cumulated""",
 
 PARTS |= _variance_parts("v", "order_conversions", "2029-06-18")
 PARTS |= _variance_parts("x", "o_rollup", "2024-01-29")
+# Holidays by their legal rules: the n-th weekday of a month (n = 5: the last), or a day that moves to Friday from Saturday.
+_FLOATING = [
+    (1, 0, 3, "Martin Luther King Jr. Day"), (2, 0, 3, "Presidents'' Day"), (5, 0, 5, "Memorial Day"), (9, 0, 1, "Labor Day"),
+    (10, 0, 2, "Columbus Day"), (11, 3, 4, "Thanksgiving Day"),
+]
+_FIXED = [
+    (1, 1, "New Year''s Day"), (6, 19, "Juneteenth National Independence Day"), (7, 4, "Independence Day"), (11, 11, "Veterans Day"),
+    (12, 25, "Christmas Day"),
+]
+
+
+def _holiday_rows() -> list[tuple[date, str]]:
+    rows = []
+    for year in (2024, 2025, 2026):
+        for month, weekday, nth, name in _FLOATING:
+            days = [d for d in (date(year, month, 1) + timedelta(n) for n in range(31)) if d.month == month and d.weekday() == weekday]
+            rows.append((days[-1] if nth == 5 else days[nth - 1], name))
+        for month, day, name in _FIXED:
+            on = date(year, month, day)
+            rows.append((on - timedelta(1), f"{name} (Observed)") if on.weekday() == 5 else (on, name))
+    return rows
+
+
 PARTS["o_holidays"] = "SELECT CAST(d AS DATE) AS holiday_date, n AS holiday_name FROM (VALUES " + ", ".join(
-    "('{}', '{}')".format(d, n.replace("'", "''")) for d, n in US_FEDERAL_HOLIDAYS
+    f"('{d}', '{n}')" for d, n in _holiday_rows()
 ) + ") h(d, n)"
 _HOLIDAY = """coalesce((SELECT string_agg(holiday_name, ', ' ORDER BY holiday_date) FROM o_holidays
     WHERE holiday_date BETWEEN {0} AND {0} + 6), 'Not a Holiday') AS c8_is_a_holiday_week"""

@@ -17,7 +17,7 @@ from sluice.operators.touch import (
     resolve_identity,
     status_summary,
 )
-from sluice.sources.storage import stage
+from sluice.sources.storage import Staging
 from sluice.specs import Fill, FunnelSpec, Lag, Step
 
 IDV_IDS = ("link", "reference_id", "user_id")
@@ -92,9 +92,10 @@ def fills(spec: FunnelSpec) -> tuple[Fill, ...]:
     quirks = spec.quirks
     intl = Fill(
         "bgc_submit_intl",
-        ("account_activation",) if quirks.intl_filled_for_all else (),
+        ("account_activation",),
         "check_to_activation",
         kept="bgc_submit" if quirks.intl_falls_back_to_domestic else None,
+        applies=None if quirks.intl_filled_for_all else spec.intl_applies,
     )
     return (
         Fill("account_activation", ("first_dash_date",), "activation_to_dash"),
@@ -218,6 +219,6 @@ def backfilled_funnel(funnel: DataFrame, spec: FunnelSpec) -> DataFrame:
     return backfill_chain(funnel, means, fills(spec)).withColumn("backfilled", backfill_flag(STEPS))
 
 
-def applicant_funnel(tables: dict[str, DataFrame], spec: FunnelSpec) -> DataFrame:
-    """The published funnel table. The wide funnel is written once, then read for the means and the fill."""
-    return funnel_publish(backfilled_funnel(stage(all_steps(tables, spec)), spec), PUBLISHED, spec.as_of)
+def applicant_funnel(tables: dict[str, DataFrame], spec: FunnelSpec, staging: Staging) -> DataFrame:
+    """The published funnel table. The wide funnel is written to ``staging``, then read for the means and the fill."""
+    return funnel_publish(backfilled_funnel(staging(all_steps(tables, spec)), spec), PUBLISHED, spec.as_of)

@@ -85,20 +85,26 @@ FUNNEL_COLUMNS = (
 def segmented_rows(funnel: DataFrame, tables: dict[str, DataFrame], spec: CohortSpec) -> DataFrame:
     """Cohort members with their segment labels and activation-week facts.
 
-    The cohort filter comes first, so every join carries only applicants of the measured weeks.
+    The cohort filter comes first: the inputs of labels, flags and facts are cut to the members before they are
+    aggregated. Only shared contacts are counted over all applicants.
     Grain: the funnel's, filtered, times the applicants, labels and flags sharing a key.
     """
     members = cohort_assign_l7d(funnel, spec.start, spec.as_of, quirks=spec.quirks).select(
         "week_start", "week_end", "cohort", *FUNNEL_COLUMNS
     )
     applicants = tables["applicants"]
+
+    def of_members(df: DataFrame, key: str) -> DataFrame:
+        return df.join(members.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_semi")
+
+    flagged = of_members(applicants.select("applicant_id", "link"), "applicant_id")
     waitlist = (
-        membership_flag(applicants.select("applicant_id", "link"), tables["step_rendered"], "link", spec.memberships)
+        membership_flag(flagged, tables["step_rendered"], "link", spec.memberships)
         .select("applicant_id", "all_waitlist_flag")
         .distinct()
     )
     attributes = duplicate_flag(
-        applicants.filter(F.col("link").isNotNull()).select(
+        of_members(applicants, "link").select(
             "link",
             F.col("entity_id").alias("applied_entity_id"),
             "phone",
@@ -110,9 +116,11 @@ def segmented_rows(funnel: DataFrame, tables: dict[str, DataFrame], spec: Cohort
         ),
         shared_contacts(applicants),
     ).drop("phone", "applied_date")
-    risk = risk_bucket(tables["risk_linkage"], "applicant_id", spec.risk_rules)
-    access = activation_week_access(tables["access_daily"], funnel, quirks=spec.quirks)
-    assigned = activation_week_assignments(tables["assignments"], funnel, spec.zone, quirks=spec.quirks)
+    risk = risk_bucket(of_members(tables["risk_linkage"], "applicant_id"), "applicant_id", spec.risk_rules)
+    # All activations of the members' entities: an entity's facts are summed over its activation weeks (K19).
+    activations = of_members(funnel.select("entity_id", "account_activation"), "entity_id")
+    access = activation_week_access(tables["access_daily"], activations, quirks=spec.quirks)
+    assigned = activation_week_assignments(tables["assignments"], activations, spec.zone, quirks=spec.quirks)
 
     ids = ("applicant_id", "entity_id", "link")
     joined = left_join_all(members, "link", [attributes], ids)
@@ -131,7 +139,7 @@ def segmented_rows(funnel: DataFrame, tables: dict[str, DataFrame], spec: Cohort
     )
 
 
-def weekly_conversions(rows: DataFrame, spec: CohortSpec) -> DataFrame:
+def weekly_conversions(rows: DataFrame, spec: CohortSpec, parts: bool = False) -> DataFrame:
     """Conversions per segment and week. Grain: one row per combination of ``SEGMENTS``."""
     return cohort_conversion(
         rows,
@@ -141,11 +149,12 @@ def weekly_conversions(rows: DataFrame, spec: CohortSpec) -> DataFrame:
         measures(spec.zone, spec.quirks),
         delivery=F.coalesce(F.col("first_dash_date").between(F.col("week_start"), F.col("week_end")), F.lit(False)),
         activated=in_week(F.col("account_activation")),
+        parts=parts,
     )
 
 
 def rolled_up(conversions: DataFrame, spec: CohortSpec) -> DataFrame:
-    """Conversions by the published keys, with country region and acceptance rate."""
+    """Conversions, with the parts of their means, by the published keys, with country region and acceptance rate."""
     country_region = region_label(
         F.col("applied_country_id"), F.col("applied_country_name"), F.col("applied_submarket_id"), spec.region
     ).alias("country_region")
@@ -165,10 +174,11 @@ def rolled_up(conversions: DataFrame, spec: CohortSpec) -> DataFrame:
             "applied_submarket_name",
             "phone_duplicate_flag",
         ],
-    ).drop("pr_flag")
+        ["applicants", *[m.name for m in measures(spec.zone, spec.quirks)], "assignment_creation_cnt", "assignment_accepted_cnt", "first_delivery"],
+    )
 
 
 def cohort_report(funnel: DataFrame, tables: dict[str, DataFrame], spec: CohortSpec) -> DataFrame:
     """The published weekly cohort table. ``funnel`` is read three times and should be a written table."""
-    return rolled_up(weekly_conversions(segmented_rows(funnel, tables, spec), spec), spec)
+    return rolled_up(weekly_conversions(segmented_rows(funnel, tables, spec), spec, parts=True), spec)
 

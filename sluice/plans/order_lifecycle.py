@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sluice.operators.assemble import wide_funnel
 from sluice.operators.backfill import backfill_chain, backfill_flag, step_lag_means
 from sluice.operators.touch import first_touch
-from sluice.sources.storage import stage
+from sluice.sources.storage import Staging
 from sluice.specs import Fill, Lag, Step
 
 STEPS = (
@@ -30,9 +30,9 @@ def spine(orders: DataFrame) -> DataFrame:
     return orders.select("o_orderkey", F.col("o_orderdate").alias("ordered"))
 
 
-def order_lifecycle(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def order_lifecycle(orders: DataFrame, lineitem: DataFrame, staging: Staging) -> DataFrame:
     """Orders with first, possibly imputed, shipping times. Grain: one row per distinct order."""
     shipped = first_touch(lineitem, "l_orderkey", STEPS, "l_shipdate").withColumnRenamed("l_orderkey", "o_orderkey")
-    wide = stage(wide_funnel(spine(orders), {"o_orderkey": [shipped]}))
+    wide = staging(wide_funnel(spine(orders), {"o_orderkey": [shipped]}))
     filled = backfill_chain(wide, step_lag_means(wide, LAGS, "ordered", SAMPLES_FROM), FILLS)
     return filled.withColumn("backfilled", backfill_flag([f.step for f in FILLS]))

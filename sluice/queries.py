@@ -31,12 +31,12 @@ from sluice.plans.verification_funnel import verification_funnel
 from sluice.plans.waitlist_report import waitlist_report
 from sluice.sources.driver_tables import Tables, derived, driver_table
 from sluice.sources.holidays import holidays
-from sluice.sources.storage import stage
+from sluice.sources.storage import conform, publish, session_staging
 from sluice.specs import Step
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-DIGITS = 6
+DIGITS = 9
 
 
 def query(fn: Query) -> Query:
@@ -144,7 +144,7 @@ def event_type_pivot_funnel(spark, folder):
 
 
 def _staged_funnel(spark, folder):
-    return stage(funnel_plan.all_steps(Tables(spark, folder), FUNNEL))
+    return session_staging(spark)(funnel_plan.all_steps(Tables(spark, folder), FUNNEL))
 
 
 @query
@@ -177,13 +177,13 @@ def backfill_flag(spark, folder):
 
 @query
 def funnel_publish(spark, folder):
-    return funnel_plan.applicant_funnel(Tables(spark, folder), FUNNEL)
+    return funnel_plan.applicant_funnel(Tables(spark, folder), FUNNEL, session_staging(spark))
 
 
 @query
 def order_lifecycle_funnel(spark, folder):
     tables = Tables(spark, folder)
-    return order_lifecycle(tables["orders"], tables["lineitem"])
+    return order_lifecycle(tables["orders"], tables["lineitem"], session_staging(spark))
 
 
 # C. Segmentation
@@ -243,7 +243,8 @@ def device_bucket(spark, folder):
 
 
 def _published_funnel(spark, folder):
-    return stage(funnel_plan.applicant_funnel(Tables(spark, folder), FUNNEL))
+    staging = session_staging(spark)
+    return staging(funnel_plan.applicant_funnel(Tables(spark, folder), FUNNEL, staging))
 
 
 @query
@@ -280,6 +281,10 @@ def _weekly(spark, folder):
     return cohort_plan.weekly_conversions(rows, COHORT)
 
 
+def _rolled_up(spark, folder):
+    return cohort_plan.cohort_report(_published_funnel(spark, folder), Tables(spark, folder), COHORT)
+
+
 @query
 def cohort_conversion(spark, folder):
     return comparable(_weekly(spark, folder))
@@ -287,7 +292,7 @@ def cohort_conversion(spark, folder):
 
 @query
 def cohort_conversion_rollup(spark, folder):
-    return comparable(cohort_plan.rolled_up(_weekly(spark, folder), COHORT))
+    return comparable(_rolled_up(spark, folder))
 
 
 # E. Variance monitoring
@@ -414,7 +419,7 @@ def variance_report(spark, folder):
 @query
 def cohort_variance_report(spark, folder):
     """The three published tables in a row: funnel, weekly conversions, variances."""
-    conversions = cohort_plan.rolled_up(_weekly(spark, folder), COHORT)
+    conversions = _rolled_up(spark, folder)
     return comparable(
         variance_plan.variance_report(
             conversions, AS_OF, F.col("all_waitlist_flag") == "No Waitlist", metrics=METRICS

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
-# Runtime re-planning: merge small shuffle partitions, split skewed ones (also where that needs one more
-# shuffle), and keep scan tasks at a size that fits an executor's memory share.
+# Runtime re-planning: merge small shuffle partitions, and split skewed ones also where that needs one more shuffle.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -15,11 +16,44 @@ SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Switch the settings on in a session made elsewhere."""
+    """Switches the settings on in a session made elsewhere, for all of its later work.
+
+    The queries are lazy, so the settings have to last until the caller runs them; ``untuned`` takes them back.
+    """
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) != value:
+            _before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
     return spark
 
+
+_before: dict[str, str | None] = {}
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder for staged tables: ``spark.checkpoint.dir``, or else the context's own checkpoint folder.
+
+    A local session without any gets a new one, as in tests. On a cluster without one there is none.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder and context.master.startswith("local["):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="sluice-"))
+        folder = context.getCheckpointDir()
+    return folder
+
+
+def untuned(spark: SparkSession) -> SparkSession:
+    """The session with the settings it had before ``tune``."""
+    for key, value in _before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+    _before.clear()
+    return spark
+
+
 # For a session of our own: plans with many stages generate more classes than are kept by default, and
 # recording the Python line of every expression takes longer than building the expression.
 STARTUP = {

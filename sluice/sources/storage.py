@@ -2,29 +2,39 @@
 
 from __future__ import annotations
 
-import logging
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-log = logging.getLogger(__name__)
+from sluice.session import shared_folder
 
-_own_dir: str | None = None
 
+def read_table(spark: SparkSession, folder: str | None, name: str, schema: str | T.StructType | None = None) -> DataFrame:
+    """The parquet table ``name`` under ``folder``, or the catalog table ``name`` without a folder.
+
+    With ``schema`` only its columns are read. A column that the table lacks or holds with another type is an error: a
+    schema given to the parquet reader itself would turn a missing column into nulls.
+    """
+    found = spark.read.table(name) if folder is None else spark.read.parquet(f"{folder}/{name}.parquet")
+    if schema is None:
+        return found
+    return conform(found, T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
-def read_table(spark: SparkSession, folder: str, name: str, schema: str | T.StructType | None = None) -> DataFrame:
-    """The parquet table ``name`` under ``folder``, with the columns of ``schema`` if given."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{folder}/{name}.parquet")
 
+def publish(df: DataFrame, target: str, schema: T.StructType | None = None) -> DataFrame:
+    """Replaces the table at ``target`` and returns it as read back: a path if it has a slash, else a catalog table.
 
-def publish(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
-    """Replace the parquet table at ``path``. With ``schema``, the result has to match it by name and type."""
+    With ``schema``, the result has to match it by name and type.
+    """
     if schema is not None:
         df = conform(df, schema)
-    df.write.mode("overwrite").parquet(path)
+    if "/" in target:
+        df.write.mode("overwrite").parquet(target)
+        return df.sparkSession.read.schema(df.schema).parquet(target)
+    df.write.mode("overwrite").format("parquet").saveAsTable(target)
+    return df.sparkSession.read.table(target)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -36,30 +46,39 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*schema.names)
 
 
-def shared_dir(spark: SparkSession) -> str | None:
-    """The cluster's checkpoint folder; on a local session without one, a folder of our own."""
-    global _own_dir
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if spark.conf.get("spark.master", "").startswith("local"):
-        _own_dir = _own_dir or tempfile.mkdtemp(prefix="sluice-")
-        return _own_dir
-    return None
+class Staging:
+    """Writes relations that are read several times below a folder that all executors share.
 
+    Losing an executor then costs no recomputation, and later reads prune the written columns. ``close`` deletes all
+    that was written; it is called at the end of a ``with`` block. What the plans return reads the staged tables, so
+    the block has to hold the action too.
+    """
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write a relation that is read several times, and return the written table.
+    def __init__(self, spark: SparkSession, folder: str | None):
+        if not folder:
+            raise ValueError("staging needs a folder that all executors share")
+        self.spark, self.path = spark, f"{folder.rstrip('/')}/sluice-{uuid.uuid4().hex}"
 
-    The table lives in the shared checkpoint folder, so losing an executor costs no recomputation, and
-    later reads prune its columns. Without such a folder on a cluster the relation is returned as it is:
-    it is then computed once per use.
-    """
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if folder is None:
-        log.warning("spark.checkpoint.dir is not set; the relation is not written and will be recomputed per use")
-        return df
-    path = f"{folder.rstrip('/')}/sluice-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = f"{self.path}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        context = self.spark.sparkContext
+        if context._jsc is not None and not context._jsc.sc().isStopped():
+            place = context._jvm.org.apache.hadoop.fs.Path(self.path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.close()
+
+
+def session_staging(spark: SparkSession) -> Staging:
+    """Staging in the session's shared folder, deleted when the application ends. On a cluster without one it is an error."""
+    staging = Staging(spark, shared_folder(spark))
+    atexit.register(staging.close)
+    return staging

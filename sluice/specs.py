@@ -32,14 +32,15 @@ class Lag:
 class Fill:
     """How a missing ``step`` is imputed: first non-null of ``following`` minus the mean of ``lag``.
 
-    ``kept`` names the column returned when nothing is imputed (by default the step itself). Without
-    ``following`` the step is never imputed.
+    ``kept`` names the column returned when nothing is imputed (by default the step itself). ``applies`` is a condition
+    on the row, where ``<step>_raw`` are the input values: elsewhere the step keeps its own input value.
     """
 
     step: str
     following: tuple[str, ...]
     lag: str
     kept: str | None = None
+    applies: str | None = None
 
 
 @dataclass(frozen=True)
@@ -150,6 +151,7 @@ class FunnelSpec:
     first_lag_bound: int = 2000
     lag_bound: int = 600
     last_lag_bound: int = 1000
+    intl_applies: str = "bgc_submit_intl_raw IS NOT NULL"  # whose intl submit is imputed when K15 is corrected
     quirks: Quirks = REPRODUCE
 
 

@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="6g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     spark.sparkContext.setLogLevel("ERROR")
     yield spark

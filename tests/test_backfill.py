@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, timedelta
 from itertools import product
 
@@ -91,13 +92,24 @@ def test_intl_submit_quirks(table):
     )
     means = means_row(table)
 
-    def intl(quirks):
-        spec = FUNNEL.__class__(**{**FUNNEL.__dict__, "quirks": quirks})
+    def intl(quirks, **more):
+        spec = FUNNEL.__class__(**{**FUNNEL.__dict__, "quirks": quirks, **more})
         filled = backfill_chain(funnel, means, fills(spec)).orderBy("applicant_id")
         return [r["bgc_submit_intl"] for r in filled.collect()]
 
     assert intl(FUNNEL.quirks) == [ts("2024-01-01 06:00"), ts("2024-01-01 23:50")]
     assert intl(CORRECTED) == [ts("2024-01-01 00:00"), None]
+    # One of both corrected: K1 only, then K15 only.
+    assert intl(replace(FUNNEL.quirks, intl_falls_back_to_domestic=False)) == [ts("2024-01-01 00:00"), ts("2024-01-01 23:50")]
+    assert intl(replace(FUNNEL.quirks, intl_filled_for_all=False)) == [ts("2024-01-01 06:00"), None]
+    # A condition of the caller's own, for whom the step applies.
+    assert intl(CORRECTED, intl_applies="applicant_id = 2") == [ts("2024-01-01 00:00"), ts("2024-01-01 23:50")]
+
+
+def test_a_domestic_applicant_gets_no_intl_submit(table):
+    funnel = funnel_rows(table, [{"applicant_id": 1, "account_activation": "2024-01-02 00:00:00", "bgc_submit": "2024-01-01 06:00:00"}])
+    spec = FUNNEL.__class__(**{**FUNNEL.__dict__, "quirks": replace(FUNNEL.quirks, intl_filled_for_all=False)})
+    assert backfill_chain(funnel, means_row(table), fills(spec)).first()["bgc_submit_intl"] is None
 
 
 def test_approve_lag_quirk():

@@ -168,12 +168,19 @@ def test_conversions_equal_distinct_counts(spark):
     assert [tuple(r) for r in found.orderBy("segment").collect()] == [tuple(r) for r in expected.orderBy("segment").collect()]
 
 
-def test_rollup_adds_the_acceptance_rate(table):
+def test_rollup_sums_and_takes_the_rates_anew(table):
+    """The keys are coarser than the segments: two segments of one week give one row."""
     conversions = table(
-        "week_start date, applicants bigint, assignment_creation_cnt bigint, assignment_accepted_cnt double",
-        [("2024-01-01", 3, 4, 1.0), ("2024-01-08", 3, 0, 0.0), ("2024-01-15", 3, None, None)],
-    )
-    rates = [r["acceptance_rate"] for r in cohort_conversion_rollup(conversions, ["week_start"]).orderBy("week_start").collect()]
-    assert rates == [0.25, 0.0, None]
+        "week_start date, segment string, applicants bigint, assignment_creation_cnt bigint, assignment_accepted_cnt double, "
+        "dash_now_access_rate double, dash_now_access_rate_sum double, dash_now_access_rate_rows bigint",
+        [
+            ("2024-01-01", "a", 3, 4, 1.0, 0.5, 1.0, 2), ("2024-01-01", "b", 2, 4, 3.0, 0.2, 1.6, 8), ("2024-01-08", "a", 3, 0, 0.0, None, None, 0),
+            ("2024-01-15", "a", 3, None, None, None, None, None),
+        ],
+    )
+    counts = ["applicants", "assignment_creation_cnt", "assignment_accepted_cnt"]
+    found = cohort_conversion_rollup(conversions, ["week_start"], counts).orderBy("week_start")
+    assert found.columns == ["week_start", *counts, "dash_now_access_rate", "acceptance_rate"]
+    assert [tuple(r)[1:] for r in found.collect()] == [(5, 8, 4.0, 0.26, 0.5), (3, 0, 0.0, None, 0.0), (3, None, None, None, None)]
 
 

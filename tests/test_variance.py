@@ -34,6 +34,24 @@ MONDAY = date(2024, 1, 1)
 LONG = "cohort string, week_start date, metric_number string, metric_name string, metric_value double"
 
 
+@pytest.mark.parametrize("quirks", [REPRODUCE, CORRECTED])
+def test_decline_flags_are_exact(table, quirks):
+    """A change in the tenth digit is a decline, and equal weeks are none, whatever their digits."""
+    third, tenth = 1 / 3, 0.1
+    weeks = [third, third, third, third, third, third, third - 1e-10, tenth, tenth, tenth, tenth, tenth]
+    found = metric_diffs(metric_prev_month(metric_lags(series(table, weeks))), quirks).orderBy("week_start").collect()
+    assert [r["w1_decline_flag"] for r in found] == [0, 0, 0, 0, 0, 0, 1, 1, 0, 0, 0, 0]
+    assert [r["lm_avg_decline_flag"] for r in found] == [0, 0, 0, 0, 0, 0, 1, 1, 1, 1, 1, 1]
+    big = [49_999 / 50_000, 49_998 / 49_999]
+    assert [r["w1_decline_flag"] for r in metric_diffs(metric_prev_month(metric_lags(series(table, big)))).orderBy("week_start").collect()] == [0, 1]
+
+
+def test_mean_of_equal_weeks_is_their_value(table):
+    for value in (0.1, 1 / 3, 2 / 7, 0.7, 1e-7 / 3):
+        row = metric_monthly_avg(series(table, [value] * 5)).first()
+        assert row["metric_value_monthly_avg"] == value
+
+
 def series(table, values, cohort="c", number="R0", name="cvr_0_apply_to_fd", start=MONDAY):
     return table(LONG, [(cohort, start + timedelta(weeks=i), number, name, v) for i, v in enumerate(values)])
 
