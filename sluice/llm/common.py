@@ -20,13 +20,14 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``. Only a local session without one gets a folder of its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder in ``spark.checkpoint.dir``, or the context's own. Only a local session without any gets a new one."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.conf.get("spark.master", "").startswith("local["):
+        if not context.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir is not set: tables that are read again need a shared folder")
-        folder = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
