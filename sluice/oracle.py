@@ -607,6 +607,14 @@ FROM (SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, count(*) AS eve
 }
 
 
+STATEMENTS |= {
+    "published_funnel": STATEMENTS["funnel_publish"],
+    "published_conversions": STATEMENTS["cohort_conversion_rollup"],
+    "published_variances": STATEMENTS["variance_report"],
+    "published_verification": STATEMENTS["event_type_pivot_funnel"],
+}
+
+
 def statement(name: str) -> str:
     """The statement of a query, with the named relations it uses, directly or through others."""
     order = list(PARTS)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice import schemas
 from sluice.functions import week_start
 from sluice.operators import backfill, cohort, impressions, metrics, segments, touch, variance
 from sluice.operators.joins import left_join_all
@@ -31,7 +32,7 @@ from sluice.plans.verification_funnel import verification_funnel
 from sluice.plans.waitlist_report import waitlist_report
 from sluice.sources.driver_tables import Tables, derived, driver_table
 from sluice.sources.holidays import holidays
-from sluice.sources.storage import conform, publish, session_staging
+from sluice.sources.storage import publish, session_staging
 from sluice.specs import Step
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -425,3 +426,30 @@ def cohort_variance_report(spark, folder):
             conversions, AS_OF, F.col("all_waitlist_flag") == "No Waitlist", metrics=METRICS
         )
     )
+
+
+# The published tables, written with their declared schemas and read back
+
+
+def _published(df: DataFrame, name: str, schema) -> DataFrame:
+    return publish(df, f"{session_staging(df.sparkSession).path}/{name}", schema)
+
+
+@query
+def published_funnel(spark, folder):
+    return _published(funnel_publish(spark, folder), "funnel", schemas.FUNNEL)
+
+
+@query
+def published_conversions(spark, folder):
+    return comparable(_published(_rolled_up(spark, folder), "conversions", schemas.CONVERSIONS))
+
+
+@query
+def published_variances(spark, folder):
+    return _published(variance_report(spark, folder), "variances", schemas.VARIANCES)
+
+
+@query
+def published_verification(spark, folder):
+    return _published(event_type_pivot_funnel(spark, folder), "verification", schemas.VERIFICATION)
