@@ -163,10 +163,17 @@ SELECT a.applicant_id, a.entity_id, a.link, a.applied_date, a.first_dash_date,
 FROM (SELECT DISTINCT applicant_id, entity_id, link, applied_date, first_dash_date FROM applicants) a
 LEFT JOIN o_impressions i ON i.entity_id = a.entity_id"""
 _DELTA = "date_diff('minute', {0}::TIMESTAMP, {1}::TIMESTAMP)"
-PARTS["o_lags"] = "SELECT applicant_id, " + ", ".join(
-    f"CASE WHEN {_DELTA.format(a, b)} BETWEEN 0 AND 20000 AND applied_date >= DATE '2024-01-01' THEN {_DELTA.format(a, b)} END AS {name}"
-    for name, (a, b) in LAGS.items()
-) + " FROM o_wide"
+
+
+def _lag_samples(bound: dict[str, int], other: int) -> str:
+    """Minutes of each lag within its bound."""
+    return "SELECT applicant_id, " + ", ".join(
+        f"CASE WHEN {_DELTA.format(a, b)} BETWEEN 0 AND {bound.get(name, other)} AND applied_date >= DATE '2024-01-01' THEN {_DELTA.format(a, b)} END AS {name}"
+        for name, (a, b) in LAGS.items()
+    ) + " FROM o_wide"
+
+
+PARTS["o_lags"] = _lag_samples({}, 20000)
 PARTS["o_means"] = "SELECT " + ", ".join(f"(SELECT avg({n}) FROM o_lags WHERE {n} IS NOT NULL) AS {n}" for n in LAGS)
 
 
@@ -226,7 +233,7 @@ _BUCKET = "CASE WHEN device_type LIKE '%iOS%' THEN '1-iOS' WHEN device_type LIKE
 
 PARTS["o_weeks"] = """
 SELECT CAST(d AS DATE) AS week_start, CAST(d AS DATE) + 6 AS week_end
-FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 7 DAY) g(d)"""
+FROM generate_series(TIMESTAMP '2023-12-04', TIMESTAMP '2024-01-31', INTERVAL 7 DAY) g(d)"""
 PARTS["o_cohorts"] = """
 SELECT w.*, f.*, CASE WHEN f.first_dash_date < w.week_start THEN 'Unmapped'
     WHEN f.applied_date BETWEEN w.week_start AND w.week_end THEN '1. Applied L7D'
@@ -524,6 +531,7 @@ SELECT link, os_first AS os_name_first, v_first AS app_version_first, os_last AS
     )
     + " FROM applicants a LEFT JOIN o_devices d ON d.link = a.link) WHERE inquiry_created IS NOT NULL",
     "step_lag_samples": "SELECT * FROM o_lags",
+    "step_lag_samples_default": _lag_samples({"apply_to_profile": 2000, "activation_to_dash": 1000}, 600),
     "step_lag_means": tidy("SELECT * FROM o_means", *LAGS),
     "backfill_chain": "SELECT applicant_id, first_dash_date, " + ", ".join(f"f_{s} AS {s}" for s in STEPS) + " FROM o_filled",
     "backfill_flag": "SELECT applicant_id, " + ", ".join(f"{s}_raw" for s in STEPS) + ", backfilled FROM o_funnel",

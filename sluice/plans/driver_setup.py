@@ -12,6 +12,8 @@ from sluice.specs import CohortSpec, FunnelSpec, RegionRule, Rule, SubFunnelSpec
 ZONE = "America/Los_Angeles"
 START = date(2024, 1, 1)
 AS_OF = date(2024, 1, 31)
+# The cohort weeks begin in the month before, so that the weeks of January have a baseline.
+COHORT_START = date(2023, 12, 4)
 # Last day the moved order weeks are monitored on; the weeks from here on count as not completed.
 ORDERS_AS_OF = date(2029, 6, 20)
 
@@ -39,6 +41,9 @@ FUNNEL = FunnelSpec(
     last_lag_bound=20000,
 )
 
+# The same funnel with the bounds of the monitored process.
+FUNNEL_DEFAULT_BOUNDS = replace(FUNNEL, first_lag_bound=2000, lag_bound=600, last_lag_bound=1000)
+
 MEMBERSHIPS = (
     Rule("legacy_top", "page_id = 'waitlist'"),
     Rule("legacy_bottom", "page_id = 'check' and coalesce(in_experiment, false)"),
@@ -68,7 +73,7 @@ RISK_RULES = {
 }
 
 REGION = RegionRule(1, (1, 11, 21), "US - Puerto Rico", "US - Other Region")
-COHORT = CohortSpec(ZONE, START, AS_OF, MEMBERSHIPS, RISK_RULES, REGION)
+COHORT = CohortSpec(ZONE, COHORT_START, AS_OF, MEMBERSHIPS, RISK_RULES, REGION)
 VERIFICATION = SubFunnelSpec(ZONE, ("template-a", "template-b"), VERIFICATION_STEPS, "inquiry_created", "vehicle")
 
 # Some forty orders a week call for thresholds a thousandth of the default ones.

@@ -17,7 +17,9 @@ from sluice.plans import variance_report as variance_plan
 from sluice.plans.driver_setup import (
     AS_OF,
     COHORT,
+    COHORT_START,
     FUNNEL,
+    FUNNEL_DEFAULT_BOUNDS,
     MEMBERSHIPS,
     METRICS,
     ORDERS_AS_OF,
@@ -156,6 +158,15 @@ def step_lag_samples(spark, folder):
     )
 
 
+@query
+def step_lag_samples_default(spark, folder):
+    """Samples within the default bounds of the monitored process."""
+    wide = funnel_plan.all_steps(Tables(spark, folder), FUNNEL_DEFAULT_BOUNDS)
+    return backfill.step_lag_samples(
+        wide, funnel_plan.lags(FUNNEL_DEFAULT_BOUNDS), ["applicant_id"], "applied_date", FUNNEL_DEFAULT_BOUNDS.samples_from
+    )
+
+
 @query
 def step_lag_means(spark, folder):
     wide = funnel_plan.all_steps(Tables(spark, folder), FUNNEL)
@@ -256,12 +267,12 @@ def week_spine(spark, folder):
 
 @query
 def cohort_assign_all(spark, folder):
-    return cohort.cohort_assign_all(_published_funnel(spark, folder), START, AS_OF)
+    return cohort.cohort_assign_all(_published_funnel(spark, folder), COHORT_START, AS_OF)
 
 
 @query
 def cohort_assign_l7d(spark, folder):
-    members = cohort.cohort_assign_l7d(_published_funnel(spark, folder), START, AS_OF)
+    members = cohort.cohort_assign_l7d(_published_funnel(spark, folder), COHORT_START, AS_OF)
     return members.select("week_start", "week_end", "cohort", "applicant_id", "applied_date", "first_dash_date")
 
 

@@ -24,6 +24,7 @@ TABLES: dict[str, str] = {
                concat('en', c_custkey) AS entity_id,
                CASE WHEN c_custkey % 40 <> 11 THEN concat('lk', c_custkey) END AS link,
                CASE WHEN c_custkey % 29 = 8 THEN DATE '2023-06-01' + CAST(c_custkey % 23 AS INT)
+                    WHEN c_custkey % 29 = 9 THEN DATE '2023-12-04' + CAST(c_custkey % 23 AS INT)
                     WHEN c_custkey % 9 <> 4 THEN DATE '2024-01-01' + CAST(c_custkey % 23 AS INT) END AS applied_date,
                CASE WHEN c_custkey % 17 = 5 THEN DATE '2023-12-10' + CAST(c_custkey % 23 AS INT)
                     WHEN c_custkey % 3 = 0 THEN DATE '2024-01-01' + CAST(c_custkey % 23 + c_custkey % 9 AS INT)

@@ -24,6 +24,8 @@ from sluice.sources.driver_tables import Tables
 from sluice.specs import Measure, Step
 
 FOLDER = "/root/testdata/sf0.001"
+#: Queries whose plans hold no written stage.
+PLANNED = ("wide_funnel", "step_lag_means", "metric_diffs", "guardrails", "variance_report", "duplicate_flag", "risk_bucket")
 
 
 def plan(df) -> str:
@@ -124,12 +126,52 @@ def test_declines_share_one_partitioning(spark):
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_no_query_pairs_rows_or_leaves_the_engine(spark, name):
-    """No cartesian product or nested loop, no Python stage, no single-partition window or collect."""
+    """No cartesian product or nested loop, and no Python stage."""
     text = plan(QUERIES[name](spark, FOLDER))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "ArrowEval"):
         assert unwanted not in text, f"{unwanted} in {name}"
 
 
+def first_below(text: str, node: str, stop: tuple[str, ...]) -> list[str]:
+    """For each ``node`` of the initial plan, what of ``stop`` comes first below it."""
+    lines = initial(text).splitlines()
+    depth = [len(line) - len(line.lstrip(" :|+-*()0123456789")) for line in lines]
+    found = []
+    for i, line in enumerate(lines):
+        if node in line:
+            below = []
+            for j in range(i + 1, len(lines)):
+                if depth[j] <= depth[i]:
+                    break
+                below.append(lines[j])
+            found.append(next((s for x in below for s in stop if s in x), ""))
+    return found
+
+
+@pytest.mark.parametrize("name", ["status_summary", "first_last_attribute", "gated_impressions", "attribute_reconcile"])
+def test_raw_events_are_hashed_not_sorted(spark, name):
+    text = plan(QUERIES[name](spark, FOLDER))
+    assert "HashAggregate" in first_below(text, "Exchange hashpartitioning", ("HashAggregate", "FileScan"))
+    below = first_below(text, "SortAggregate", ("Exchange", "FileScan"))
+    assert below and set(below) == {"Exchange"}
+
+
+def test_facts_are_cut_to_activation_weeks_before_they_are_aggregated(spark):
+    text = initial(plan(QUERIES["activation_week_access"](spark, FOLDER)))
+    assert "LeftSemi" in text
+    # Above the scan of the facts: the bounds of the weeks, the semi-join, and only then an aggregate of them.
+    place = [text.index(x) for x in ("partial_count(1)", "LeftSemi", "Subquery")]
+    assert place[0] < place[1]
+
+
+def test_no_task_takes_all_rows(spark):
+    """A single partition only ever holds the one row of an aggregate without keys."""
+    for name in PLANNED:
+        text = plan(QUERIES[name](spark, FOLDER))
+        for below in first_below(text, "SinglePartition", ("Aggregate", "FileScan", "Join", "Window")):
+            assert below == "Aggregate", name
+
+
 SKEW = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",

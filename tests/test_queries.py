@@ -30,3 +30,11 @@ def test_query_equals_statement(spark, connection, name):
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_data_reaches_every_branch(spark):
+    """Rows that the comparison above would not miss if they were gone."""
+    chained = QUERIES["cohort_variance_report"](spark, FOLDER).collect()
+    assert any(r["metric_value_last_month_avg"] is not None for r in chained)
+    default = QUERIES["step_lag_samples_default"](spark, FOLDER).collect()
+    assert any(v is not None for r in default for v in r[1:])
