@@ -16,8 +16,8 @@ arrays, not rows. Among the sets that are left, shingles of one set only come fi
 shared shingles of the prefix go into inverted lists. A list is scanned in size classes whose members differ by less than 4/3:
 each member is paired with its class's leader and that of the class below, which is linear in the list. Pairs are
 verified exactly on the sets, and links joined to components. Lists that still hold several components are scanned
-again, once with other leaders, and at last for all pairs across components that size and position allow, so no link
-between components is lost. A group of near copies is one component by then, and its pairs are never listed.
+again, once with other leaders, and at last for all pairs across components that size, position and a bound on the
+difference from the sets' bits allow, so no link between components is lost. A group of near copies is one component by then, and its pairs are never listed.
 """
 
 from __future__ import annotations
@@ -83,6 +83,26 @@ def smallest_large(b: int) -> int:
     return min(n for n in range(1, b + 2) if overlap(n, b + 1) <= n)
 
 
+def parity(found: np.ndarray) -> bytes:
+    """Bits of a set: each shingle turns one of at least 2n bits, a power of two. Folded in halves by exclusive or, they
+    are the bits of that smaller size. Sets that differ in d shingles differ in at most d bits."""
+    size = max(64, 1 << (2 * len(found) - 1).bit_length())
+    return np.packbits(np.bincount((found & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1, bitorder="little").tobytes()
+
+
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Rows of 64-bit words, folded to ``words`` of them."""
+    while bits.shape[-1] > words:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
+def differing(n: int, m: int) -> int:
+    """Shingles in one of two linked sets only, at most."""
+    return n + m - 2 * overlap(n, m)
+
+
 def _documents(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     return documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
@@ -179,7 +199,7 @@ def _possible_classes(documents: DataFrame, meta: DataFrame, least: int) -> Data
 
 
 def _fetched(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """key, n, shingles of the wanted classes, from the documents that stand for them.
+    """key, n, shingles, bits of the wanted classes, from the documents that stand for them.
 
     A filter of ``FILTER_BITS`` bits, whatever the number of documents, tells most other documents before their
     sets are made; the join decides.
@@ -197,13 +217,14 @@ def _fetched(documents: DataFrame, wanted: DataFrame) -> DataFrame:
             batch = batch.filter(pa.array((held.value[bits >> 5] >> (bits & 31).astype(np.uint32)) & 1 == 1))
             sets = shingle_sets(utf8(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([set_hash(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "shingles"]
+                [pa.array([set_hash(s) for s in sets], pa.int64()), *(pa.array([f(s) for s in sets], pa.binary()) for f in (np.ndarray.tobytes, parity))],
+                names=["key", "shingles", "bits"],
             )
 
     place = documents.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
-    found = place.withColumn("bit", bit).mapInArrow(fetch, "key long, shingles binary")
+    found = place.withColumn("bit", bit).mapInArrow(fetch, "key long, shingles binary, bits binary")
     return found.join(wanted.select("key", "n"), "key", "left_semi").dropDuplicates(["key"]).select(
-        "key", (F.octet_length("shingles") / 8).cast("int").alias("n"), "shingles"
+        "key", (F.octet_length("shingles") / 8).cast("int").alias("n"), "shingles", "bits"
     )
 
 
@@ -289,19 +310,31 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by token and size -> all pairs of a list in different components that size and place allow."""
+    """Rows sorted by token and size -> all pairs of a list in different components that size, place and bits allow."""
     for batch in _whole(batches, "token"):
         token, key, n, place, part = (batch.column(x).to_numpy() for x in ("token", "key", "n", "place", "component"))
+        bits = [np.frombuffer(x, np.uint64) for x in batch.column("bits").to_pylist()]
+        words = np.array([len(x) for x in bits])
         starts = np.append(np.flatnonzero(np.append(True, token[1:] != token[:-1])), len(token)).tolist()
         found: list[np.ndarray] = []
         for start, stop in zip(starts, starts[1:]):
             if stop - start < 2 or (part[start:stop] == part[start]).all():
                 continue
+            width, rows = 0, np.empty((0, 0), np.uint64)
             for i in range(start, stop - 1):
-                j = np.arange(i + 1, stop)
+                if words[i] != width:  # all that may pair with sets of this width, folded to it
+                    width = words[i]
+                    last = start + int(np.searchsorted(words[start:stop], 2 * width, "right"))
+                    rows = np.stack([_folded(x, width) for x in bits[i:last]])
+                    base = i
+                j = np.arange(i + 1, last)
                 j = j[: np.searchsorted(n[j], n[i] * WHOLE // PART, "right")]
                 needs = -(-PART * (n[i] + n[j]) // (PART + WHOLE))
-                j = j[(part[j] != part[i]) & (np.minimum(n[i] - place[i], n[j] - place[j]) >= needs)]
+                good = (part[j] != part[i]) & (np.minimum(n[i] - place[i], n[j] - place[j]) >= needs)
+                j, needs = j[good], needs[good]
+                if len(j):
+                    apart = np.bitwise_count(rows[j - base] ^ rows[i - base]).sum(axis=1)
+                    j = j[apart <= n[i] + n[j] - 2 * needs]
                 if len(j):
                     found.append(np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])], axis=1))
                 if len(found) > 10_000:
@@ -316,6 +349,17 @@ def _pairs(found: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], names=["a", "b"])
 
 
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs that their bits allow."""
+    for batch in batches:
+        good = []
+        for x, y, n, m in zip(*(batch.column(c).to_pylist() for c in ("left", "right", "n", "m"))):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            width = min(len(x), len(y))
+            good.append(int(np.bitwise_count(_folded(x, width) ^ _folded(y, width)).sum()) <= differing(n, m))
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
@@ -327,10 +371,19 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link."""
-    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("right"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(_verified, "a long, b long")
+    """The pairs (a, b) whose sets link: first by their bits, a thirtieth of the sets, then exactly by the sets.
+
+    Pairs are written before they are joined: Spark then knows when they are few enough not to shuffle the sets.
+    """
+
+    def sides(column: str) -> tuple[DataFrame, DataFrame]:
+        left = sets.select(F.col("key").alias("a"), F.col(column).alias("left"), "n")
+        return left, sets.select(F.col("key").alias("b"), F.col(column).alias("right"), F.col("n").alias("m"))
+
+    for column, check in (("bits", _near), ("shingles", _verified)):
+        left, right = sides(column)
+        pairs = staged(pairs).join(left, "a").join(right, "b").mapInArrow(check, "a long, b long")
+    return pairs
 
 
 def _subset_pairs(small: DataFrame, most: int) -> DataFrame:
@@ -383,7 +436,7 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     links = staged(links.unionByName(_subset_pairs(small, limit)).distinct())
     for salt in (1, None):
         named = lists.join(components(links), "key", "left").withColumn("component", F.coalesce("component", "key"))
-        pairs = _across_of(named, many) if salt is None else _stars_of(named, many, salt)
+        pairs = _across_of(named, sets, many) if salt is None else _stars_of(named, many, salt)
         links = staged(links.unionByName(verified(pairs, sets)).distinct())
 
     named = classes.join(components(links), "key", "left").withColumn("component", F.coalesce("component", "key"))
@@ -409,7 +462,7 @@ def _stars_of(named: DataFrame, many: int, salt: int) -> DataFrame:
     return rows.select("token", "class", "key", "n", "component").mapInArrow(_stars, "a long, b long").distinct()
 
 
-def _across_of(named: DataFrame, many: int) -> DataFrame:
-    rows = _several(named).select("token", "key", "n", "place", "component")
+def _across_of(named: DataFrame, sets: DataFrame, many: int) -> DataFrame:
+    rows = _several(named).join(sets.select("key", "bits"), "key").select("token", "key", "n", "place", "component", "bits")
     rows = rows.repartition(many, "token").sortWithinPartitions("token", "n", "key")
     return rows.mapInArrow(_across, "a long, b long").distinct()

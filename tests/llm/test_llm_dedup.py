@@ -12,7 +12,7 @@ import pytest
 
 from sluice.llm.components import components
 from sluice.llm.exact_dedup import duplicate_groups, without_duplicates
-from sluice.llm.jaccard import boundary, near_duplicates, overlap, subset_sizes
+from sluice.llm.jaccard import _folded, boundary, near_duplicates, overlap, parity, subset_sizes
 from sluice.llm.line_dedup import PerfectHash, line_dedup
 
 #: Columns whose names clash with those the operators use inside.
@@ -175,7 +175,8 @@ def test_overlap_and_subsets():
     assert boundary({1: 1000, 2: 1000}, 50.0) >= 2
 
 
-def test_components_equal_union_find(spark):
+@pytest.mark.parametrize("share", [200_000, 60, 7])
+def test_components_equal_union_find(spark, share):
     pick = random.Random(4)
     links = [(pick.randrange(300), pick.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(70)] + [(5000, 6000 + i) for i in range(100)]
     root = {x: x for pair in links for x in pair}
@@ -188,6 +189,16 @@ def test_components_equal_union_find(spark):
     for a, b in links:
         low, high = sorted((find(a), find(b)))
         root[high] = low
-    found = {r.key: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    found = {r.key: r.component for r in components(spark.createDataFrame(links, "a long, b long").repartition(30), share).collect()}
     alone = {a for a, b in links if a == b}
     assert all(found.get(x, x) == find(x) for x in root) and set(found) >= {x for x in root if x not in alone}
+
+
+def test_bits_bound_the_difference():
+    pick = np.random.default_rng(3)
+    for n, m, both in [(1, 1, 1), (30, 33, 25), (32, 33, 30), (500, 600, 450), (1000, 1100, 990), (3, 200, 1)]:
+        tokens = pick.integers(0, 1 << 63, n + m - both).astype(np.uint64)
+        x, y = (np.frombuffer(parity(np.sort(s)), np.uint64) for s in (tokens[:n], tokens[n - both :]))
+        width = min(len(x), len(y))
+        assert np.bitwise_count(_folded(x, width) ^ _folded(y, width)).sum() <= n + m - 2 * both
+        assert (_folded(x, len(x)) == x).all() and len(x) * 64 >= 2 * n

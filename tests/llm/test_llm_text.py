@@ -293,7 +293,7 @@ def test_index_of_odd_vectors(spark):
 
 
 def test_many_equal_vectors(spark):
-    rows = [(i, [1.0, 1.0] if i % 3 == 0 else [float(i), float(i * i % 17)]) for i in range(600)]
+    rows = [(i, [1.0, 1.0] if i % 3 == 0 else [float(i), float(i * i % 17 + 2)]) for i in range(600)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     found = vamana.nearest(table, table.filter("vec_id = 300")).orderBy("rank").collect()
     assert [(r.vec_id, r.score) for r in found] == [(3 * i, 0.0) for i in range(10)]
