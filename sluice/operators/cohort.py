@@ -120,18 +120,6 @@ def _activation_weeks(funnel: DataFrame, entity: str, activation: str, quirks: Q
     return weeks.groupBy(entity).agg(F.min("_week").alias("_week"), F.lit(1).cast("bigint").alias("_rows"))
 
 
-def _in_activation_weeks(facts: DataFrame, weeks: DataFrame, entity: str) -> DataFrame:
-    """The facts of an entity's activation weeks.
-
-    The first and last such week bound the facts first, as scalar subqueries that cost two numbers. The semi-join on
-    entity and week then leaves about one week of years of facts to be aggregated; a hot entity's part of it can be
-    split, since rows are only dropped.
-    """
-    ends = weeks.agg(F.struct(F.min("_week").alias("low"), F.max("_week").alias("high"))).scalar()
-    near = facts.filter(F.col(entity).isNotNull() & F.col("_week").between(ends["low"], ends["high"]))
-    return near.join(weeks.select(entity, "_week"), [entity, "_week"], "left_semi")
-
-
 def activation_week_access(
     access: DataFrame,
     funnel: DataFrame,
@@ -141,18 +129,15 @@ def activation_week_access(
 ) -> DataFrame:
     """Impressions, flagged impressions and their ratio in the entity's activation week.
 
-    Facts of other weeks are dropped before they are aggregated; see ``_in_activation_weeks``.
-    Grain: one row per entity with facts in that week.
+    The join on entity and week comes first: of years of facts it leaves about one week for the aggregate, whose rows
+    are combined before they are shuffled by entity. A hot entity's facts come straight from a shuffle to the join, so
+    AQE can split them. Grain: one row per entity with facts in that week.
     """
-    weeks = _activation_weeks(funnel, entity, activation, quirks)
-    facts = access.select(entity, week_start(F.col("active_date")).alias("_week"), "is_dash_now")
-    weekly = _in_activation_weeks(facts, weeks, entity).groupBy(entity, "_week").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("is_dash_now").alias("_flagged")
-    )
-    joined = weekly.join(weeks, [entity, "_week"])
+    facts = access.filter(F.col(entity).isNotNull()).select(entity, week_start(F.col("active_date")).alias("_week"), "is_dash_now")
+    joined = facts.join(_activation_weeks(funnel, entity, activation, quirks), [entity, "_week"])
     totals = joined.groupBy(entity).agg(
-        F.sum(F.col("_n") * F.col("_rows")).alias("n_impressions"),
-        F.sum(F.col("_flagged") * F.col("_rows")).alias("n_dash_now_impressions"),
+        F.sum("_rows").alias("n_impressions"),
+        F.sum(F.col("is_dash_now") * F.col("_rows")).alias("n_dash_now_impressions"),
     )
     return totals.withColumn(
         "dash_now_impression_rate", safe_ratio(F.col("n_dash_now_impressions"), F.col("n_impressions"))
@@ -172,16 +157,12 @@ def activation_week_assignments(
     Grain: one row per entity with assignments in that week.
     """
     accepted = F.col("accepted_at").isNotNull() & F.col("unassigned_at").isNull()
-    weeks = _activation_weeks(funnel, entity, activation, quirks)
     created = week_start(local_time(F.col("created_at"), zone)).alias("_week")
-    facts = assignments.select(entity, created, accepted.alias("_kept"))
-    weekly = _in_activation_weeks(facts, weeks, entity).groupBy(entity, "_week").agg(
-        F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("_kept"), F.lit(1))).alias("_accepted")
-    )
-    joined = weekly.join(weeks, [entity, "_week"])
+    facts = assignments.filter(F.col(entity).isNotNull() & F.col("created_at").isNotNull()).select(entity, created, accepted.alias("_kept"))
+    joined = facts.join(_activation_weeks(funnel, entity, activation, quirks), [entity, "_week"])
     totals = joined.groupBy(entity).agg(
-        F.sum(F.col("_n") * F.col("_rows")).alias("assignment_creation_cnt"),
-        F.sum(F.col("_accepted") * F.col("_rows")).alias("_accepted"),
+        F.sum("_rows").alias("assignment_creation_cnt"),
+        F.sum(F.when(F.col("_kept"), F.col("_rows")).otherwise(0)).alias("_accepted"),
     )
     rate = safe_ratio(F.col("_accepted"), F.col("assignment_creation_cnt"))
     return totals.select(entity, "assignment_creation_cnt", rate.alias("acceptance_rate"))
