@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text of one slice that a Python function holds at a time, in bytes.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import parts, slices, staged, utf8
+from sluice.llm.common import SLICE_BYTES, parts, slices, staged, utf8
 from sluice.llm.components import components
 from sluice.llm.shingles import set_hash, shingle_sets
 
@@ -126,7 +126,7 @@ def _packed(blocks: int, least: int):
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 * SLICE_BYTES):
             for start in range(0, batch.num_rows, 1 << 15):
                 sets = {set_hash(s): s for s in shingle_sets(utf8(batch.column("text").slice(start, 1 << 15))) if len(s) >= least}
                 if not sets:

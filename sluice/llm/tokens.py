@@ -61,7 +61,7 @@ class _Shown(dict):
 class Pieces(dict):
     """Pre-token -> ``measure`` of its ids, encoded when first met; at most ``most`` entries besides those it began with."""
 
-    def __init__(self, encode: Callable[[str], object], frequent: dict | None = None, most: int = 500_000):
+    def __init__(self, encode: Callable[[str], object], frequent: dict | None = None, most: int = 300_000):
         super().__init__(frequent or {})
         self.encode, self.frequent, self.most = encode, frequent or {}, most
 
