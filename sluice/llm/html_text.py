@@ -1,6 +1,7 @@
 """Main text of web pages by paths that the pages of a host agree on.
 
-A page's containers are scored by the text that stands in them outside links. The best one votes for its path, the
+A page's containers are scored by the text that stands in them outside links. The article that encloses the best one, or
+else the highest container that adds more than links to it, votes for its path, the
 tags and classes from the root with digits generalised, so that ``post-17`` and ``post-18`` are one class. Votes are
 counted for each host in Spark, and every page of the host is extracted again from the winning path. A page that has
 no such path is extracted from its own best container.
@@ -25,6 +26,7 @@ BLOCK = frozenset(
     "header hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 CONTAINER = frozenset("body article main section div td center".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that an opening tag of these ends, if open.
 ENDS_P = BLOCK - {"body", "html", "caption", "option", "optgroup"}
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -125,7 +127,53 @@ class Page(HTMLParser):
                     share *= 0.5
                 at = at.parent
         top = max(scored.values(), key=lambda x: (x.score * (1.5 if x.tag in ("article", "main") else 1.0), x.path), default=None)
-        return (top.path, max(top.score, 0.0)) if top else ("", 0.0)
+        return (self._enclosing(top).path, max(top.score, 0.0)) if top else ("", 0.0)
+
+    def _enclosing(self, top: _Node) -> _Node:
+        """The container that the best one is a part of: the outermost article around it, or else main.
+
+        Where there is neither, and from an article on to main, it is the highest container whose text outside the one
+        below is not mostly links. ``body`` and the root hold the page's furniture too: a single word outside that is
+        no heading doesn't lead there.
+        """
+        chain = [top]
+        while (above := chain[-1].parent) is not None:
+            chain.append(above)
+        article = max((i for i, x in enumerate(chain) if x.tag == "article"), default=None)
+        main = next((i for i, x in enumerate(chain) if x.tag == "main"), None)
+        last = len(chain) - 1 if main is None else main
+        if article is not None and (main is None or main < article):
+            return chain[article]
+        if article is None and main is not None:
+            return chain[main]
+        # Of each element of the chain, the characters outside and inside links, words and headings that the one below lacks.
+        place = {id(x): i for i, x in enumerate(chain)}
+        joins: dict[int, tuple[int, bool, bool]] = {}
+        plain, linked, words, headed = ([0] * len(chain) for _ in range(4))
+        for node, _, data in self.runs:
+            if node.dropped or not (n := len(data.strip())):
+                continue
+            if (found := joins.get(id(node))) is None:
+                at, heading, title = node, False, False
+                while id(at) not in place:
+                    heading, title, at = heading or at.tag in HEADINGS, title or at.tag == "h1", at.parent
+                found = joins[id(node)] = (place[id(at)], heading, node.link and not title)
+            i, heading, link = found
+            linked[i] += n * link
+            plain[i] += n * (not link)
+            words[i] += len(data.split())
+            headed[i] |= heading
+        at = article or 0
+        more = [0, 0, 0, 0]  # what stands between the container chosen so far and the one looked at
+        for i in range(at + 1, last + 1):
+            more = [more[0] + plain[i], more[1] + linked[i], more[2] + words[i], more[3] | headed[i]]
+            whole = chain[i].tag == "body" or chain[i].parent is None
+            if not (chain[i].tag in CONTAINER or whole) or not more[0] + more[1]:
+                continue
+            if more[1] > more[0] or whole and more[2] < 2 and not more[3]:
+                break
+            at, more = i, [0, 0, 0, 0]
+        return chain[at]
 
     def text(self, path: str) -> str | None:
         """The blocks of the elements at ``path``, or None if there is no text."""

@@ -189,6 +189,41 @@ def test_template_pages(spark):
         assert "".join(r.text.split()) == "".join(inside.split())
 
 
+LONG = "<p>" + "A sentence of the body, with words and commas, that goes on. " * 40 + "</p>"
+LINKS = "<div class=list>" + "<a href=x>Another story of this site</a> " * 200 + "</div>"
+#: Between body and its end; each text of ``whole`` belongs to the article.
+NESTED = [
+    "<article><h1>Title</h1><p>Lead.</p><div class=content>{}</div></article>",
+    "<article><header><h1>Title</h1></header><section>Lead. {}</section><section>Last.</section></article>",
+    "<article><div class=top><h1>Title</h1></div><div class=intro>Lead.</div><div class=content>{}</div><div class=end>Last.</div></article>",
+    "<main><h1>Title</h1><div class=text><div class=content>{}</div></div><div class=end>Last.</div></main>",
+    "<main><h1>Title</h1><article><div class=content>{}</div></article></main>",
+    "<div class=post><h1><a href=y>Title</a></h1><div class=inner><div class=content>{}</div><div class=end>Last.</div></div></div>",
+    "<h1>Title</h1><div class=content>{}</div>",
+    "<div class=intro><h1>Title</h1>Lead.</div><div class=content>{}</div><div class=end>Last.</div>",
+]
+
+
+@pytest.mark.parametrize("page", NESTED)
+def test_whole_article_around_its_inner_part(page):
+    text = pages.extracted(f"<html><body>{page.format(LONG)}</body></html>", None)
+    assert text.count("A sentence") == 40
+    assert [x in text for x in ("Title", "Lead.", "Last.")] == [x in page for x in ("Title", "Lead.", "Last.")]
+    assert text == pages.extracted("<html><body><nav>N</nav>" + page.format(LONG), None)
+
+
+def test_links_beside_the_article_stay_out():
+    for page in (f"<div class=post><h1>Title</h1><div class=content>{LONG}</div></div>{LINKS}", f"<main><article><h1>Title</h1>{LONG}</article>{LINKS}</main>"):
+        text = pages.extracted(f"<html><body>{page}</body></html>", None)
+        assert text.startswith("Title") and "Another" not in text and text.count("A sentence") == 40
+
+
+def test_pages_of_a_host_vote_for_the_whole_article(spark):
+    rows = [(n, "http://h.org/", f"<html><body>{NESTED[2].format(LONG)}</body></html>") for n in range(3)]
+    for r in pages.html_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        assert r.text.startswith("Title\n\nLead.") and r.text.endswith("Last.")
+
+
 def mixed_tokens(rows):
     used = Counter()
     for r in rows:
