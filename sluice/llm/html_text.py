@@ -32,37 +32,74 @@ ENDS_P = BLOCK - {"body", "html", "caption", "option", "optgroup"}
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: What is never part of the article.
 NOT_TEXT = frozenset(
-    "head title script style noscript template nav footer aside form button select textarea iframe object svg canvas menu dialog audio video".split()
+    "head title script style noscript template nav footer aside button select textarea iframe object svg canvas menu dialog audio video".split()
 )
 BOILERPLATE = frozenset(
     "ad ads adbox advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus "
     "footer gdpr header masthead menu menubar modal nav navbar navigation newsletter notice notices notification pagination pager popup promo promoted "
     "promotion recommended related replies reply respond share sharing sidebar signup social sponsor sponsored sponsors subscribe toolbar widget".split()
 )
+#: Of these, the ones that name what stands beside an article; the others also name layouts that hold one.
+BESIDE = frozenset(
+    "comment comments consent cookie cookies disqus gdpr newsletter promo promoted promotion recommended related replies reply respond signup "
+    "sponsor sponsored sponsors subscribe".split()
+)
+#: What follows or precedes these in a name is a property of the element, as in ``has-sidebar`` and ``ad-free``.
+HAS, FREE = frozenset("has have with without no not hide".split()), frozenset("free open closed enabled disabled off".split())
+#: With ``header`` in a name, the article's own.
+OF_ARTICLE = frozenset("article content entry post single story".split())
+#: What may stand in head; anything else ends it.
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 WORD = re.compile("[A-Z]?[a-z]+|[A-Z]+")
 DIGITS = re.compile(r"\d+")
 
 
+def _names(text: str, article: bool) -> set[str]:
+    """The words of BOILERPLATE that a class or id says the element is."""
+    found: set[str] = set()
+    for name in text.split():
+        words = [w.lower() for w in WORD.findall(name)]
+        if not words or words[-1] in FREE:
+            continue
+        own = article or not OF_ARTICLE.isdisjoint(words)
+        for word in words:
+            if word in HAS:
+                break
+            if word in BOILERPLATE and not (word == "header" and own):
+                found.add(word)
+    return found
+
+
 class _Node:
-    __slots__ = ("tag", "parent", "path", "dropped", "link", "score")
+    """An element. ``hard``: never text, with all that stands in it; ``soft``: the innermost element, itself included,
+    that its form tag or role, class or id tells not to be, unless it turns out to hold the article; ``beside``: its
+    name is one of BESIDE; ``article``: the outermost article or main that it stands in."""
+
+    __slots__ = ("tag", "parent", "path", "hard", "soft", "beside", "holds", "chars", "article", "dropped", "link", "score")
 
     def __init__(self, tag: str, parent: _Node | None, attrs: dict[str, str]):
         classes = sorted({DIGITS.sub("N", c) for c in attrs.get("class", "").split()})
-        names = {w.lower() for w in WORD.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}")}
+        names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
         self.tag, self.parent, self.score = tag, parent, 0.0
         self.path = f"{parent.path if parent else ''}/{'.'.join([tag, *classes])}"
-        article_header = tag == "header" and parent is not None and "/article" in parent.path
+        within = parent.article if parent else None
+        self.article = within or (self if tag in ("article", "main") else None)
+        article_header = tag == "header" and (within is not None or not OF_ARTICLE.isdisjoint(w.lower() for w in WORD.findall(names)))
+        said = set() if tag in ("body", "html", "article", "main") or article_header else _names(names, within is not None)
+        role = attrs.get("role")
         own = (
             tag in NOT_TEXT
             or tag == "header" and not article_header
-            or tag not in ("body", "html", "article", "main") and not article_header and not names.isdisjoint(BOILERPLATE)
-            or attrs.get("role") in ROLES
+            or role in ROLES and role != "form"
             or "hidden" in attrs
             or attrs.get("aria-hidden") == "true"
             or "display:none" in attrs.get("style", "").replace(" ", "")
         )
-        self.dropped = own or (parent is not None and parent.dropped)
+        self.hard = own or (parent is not None and parent.hard)
+        self.soft = self if tag == "form" or role == "form" or said else parent.soft if parent else None
+        self.beside = not said.isdisjoint(BESIDE)
+        self.holds, self.chars, self.dropped = set(), 0, False
         self.link = tag == "a" or (parent is not None and parent.link)
 
 
@@ -73,10 +110,49 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.open = [_Node("", None, {})]
         self.open[0].path = ""
+        self.nodes = self.open[:]
         self.block = 0
+        self.headed = False
         self.runs: list[tuple[_Node, int, str]] = []
         self.feed(html)
         self.close()
+        self._drop()
+
+    def _drop(self) -> None:
+        """Marks what is not text. A form, or an element with a word of BOILERPLATE, is text if it holds the article.
+
+        That is: it holds main; or, where no other article has text outside such elements, it holds an article or most of
+        the text, of the article that it stands in or else of the page. One that is named after what stands beside an
+        article is text only with main or with all of the text.
+        """
+        softs = [x for x in self.nodes if x.soft is x and not x.hard]
+        kept: set[int] = set()
+        if softs:
+            for node in self.nodes:
+                if node.tag in ("article", "main") and not node.hard:
+                    at = node.soft
+                    while at is not None:
+                        at.holds.add(node.tag)
+                        at = at.parent.soft
+            total, free, within = 0, False, {}
+            for node, _, data in self.runs:
+                if node.hard or node.link or not (n := len(data.strip())):
+                    continue
+                total += n
+                free |= node.soft is None and node.article is not None
+                if node.article is not None:
+                    within[id(node.article)] = within.get(id(node.article), 0) + n
+                at = node.soft
+                while at is not None:
+                    at.chars += n
+                    at = at.parent.soft
+            for x in softs:
+                inside = x.article is not None
+                most = within.get(id(x.article), 0) if inside else total
+                if "main" in x.holds or (x.chars == most > 0 if x.beside else (inside or not free) and ("article" in x.holds or 2 * x.chars > most)):
+                    kept.add(id(x))
+        for node in self.nodes:
+            node.dropped = node.hard or node.soft is node and id(node) not in kept or node.parent is not None and node.parent.dropped
 
     def _end(self, tags: tuple[str, ...], within: frozenset[str]) -> None:
         """Ends the innermost open element of ``tags`` and all inside it, unless one of ``within`` stands between."""
@@ -92,6 +168,11 @@ class Page(HTMLParser):
             self._end(("p",), CONTAINER)
         for old in ENDS.get(tag, ()):
             self._end((old,), frozenset(("ul", "ol", "dl", "table", "select", "tr" if old in ("td", "th") and tag != "tr" else "table")))
+        if tag == "head" and (self.headed or self.open[-1].tag not in ("", "html")):
+            return  # there is one head, before the body
+        self.headed |= tag == "head"
+        if tag == "body" or self.open[-1].tag == "head" and tag not in IN_HEAD:
+            self._end(("head",), frozenset())
         if tag in BLOCK:
             self.block += 1
         if tag == "br":
@@ -100,6 +181,7 @@ class Page(HTMLParser):
             return
         if tag not in VOID:
             self.open.append(_Node(tag, self.open[-1], {k: v or "" for k, v in attrs}))
+            self.nodes.append(self.open[-1])
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # a slash ends no element that has content
@@ -111,6 +193,8 @@ class Page(HTMLParser):
             self._end((tag,), CONTAINER - {tag} if tag not in BLOCK else frozenset())
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1].tag == "head" and data.strip():
+            del self.open[-1]
         self.runs.append((self.open[-1], self.block, data))
 
     def best(self) -> tuple[str, float]:

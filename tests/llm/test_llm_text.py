@@ -218,6 +218,43 @@ def test_links_beside_the_article_stay_out():
         assert text.startswith("Title") and "Another" not in text and text.count("A sentence") == 40
 
 
+#: Pages whose article stands in an element that would be dropped; a title, a long body and maybe furniture.
+WRAPPED = [
+    "<html><head><title>T</title><body><article><h1>Title</h1>{}</article>",
+    "<html><head><title>T</title><article><h1>Title</h1>{}</article>",
+    "<html><head><meta charset=x><link href=y>Title {}",
+    "<html><head><title>T</title></head><body><form id=aspnetForm><div class=page><h1>Title</h1>{}</div></form>",
+    "<body><form role=form><article><h1>Title</h1>{}</article></form>",
+    "<body><article><h1>Title</h1>{}</article><form><p>Your, long, comment, here</p></form>",
+    "<body><div class='content has-sidebar'><h1>Title</h1>{}</div><div class=sidebar>Furniture</div>",
+    "<body><div class='page with-banner'><article><h1>Title</h1>{}</article></div>",
+    "<body><div class=ad-free><article><h1>Title</h1>{}</article></div>",
+    "<body><div id=sidebar-layout><main><h1>Title</h1>{}</main><div class=sidebar>Furniture</div></div>",
+    "<body><div class='banner wrap'><h1>Title</h1>{}<div class=ad>Furniture</div></div><div>Small print here</div>",
+    "<body><article><div class=post-header><h1>Title</h1></div>{}</article>",
+    "<body><article><div class='header'><h1>Title</h1></div><form>{}</form></article>",
+    "<body><div class=post><header class=entry-header><h1>Title</h1></header>{}</div>",
+    "<body><main><header><h1>Title</h1></header>{}</main>",
+]
+
+
+@pytest.mark.parametrize("page", WRAPPED)
+def test_wrapped_articles_are_not_dropped(page):
+    text = pages.extracted(page.format(LONG), None)
+    assert text.split()[0] == "Title" and text.count("A sentence") == 40 and "Furniture" not in text and "Your" not in text
+
+
+def test_what_stands_beside_the_article_is_dropped():
+    short = "<p>The article, a short one, in a sentence or two.</p>"
+    for beside in ("<div id=comments><article class=comment>{}</article></div>", "<div class=related><article>{}</article></div>", "<div class=cookie-notice>{}</div>"):
+        for page in (f"<div class=post><h1>Title</h1>{short}{beside.format(LONG)}</div>", f"<article><h1>Title</h1>{short}</article>{beside.format(LONG)}"):
+            assert pages.extracted(f"<html><body>{page}", None) == "Title\n\nThe article, a short one, in a sentence or two."
+    for form in ("<form>{}</form>", "<div class=sidebar>{}</div>"):
+        assert pages.extracted(f"<article>{short}</article>{form.format(LONG)}", None).endswith("two.")
+    assert pages.extracted("<head><noscript><img src=x></noscript><title>T</title></head><p>text", None) == "text"
+    assert pages.extracted("<p>text</p><head><p>more", None) == "text\n\nmore"
+
+
 def test_pages_of_a_host_vote_for_the_whole_article(spark):
     rows = [(n, "http://h.org/", f"<html><body>{NESTED[2].format(LONG)}</body></html>") for n in range(3)]
     for r in pages.html_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
