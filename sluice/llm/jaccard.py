@@ -158,7 +158,8 @@ def _packed(blocks: int, least: int):
 
 
 def _shared(group: pa.Table) -> pa.Table:
-    """A block: for each slice, how many shingles of each of its sets another set holds too. Other rows pass."""
+    """A block: for each slice, how many shingles of each of its sets another set holds too, in 16 bits or, where one
+    needs them, 32. Other rows pass."""
     if group.column("block")[0].as_py() < 0:
         return group.select(["slice", "docs", "data"]).append_column("header", pa.array([True] * group.num_rows))
     data, docs = [x.as_py() for x in group.column("data")], group.column("docs").to_pylist()
@@ -172,7 +173,8 @@ def _shared(group: pa.Table) -> pa.Table:
     out, start = [], 0
     for x, n, d in zip(data, counts, docs):
         owner = np.frombuffer(x, np.uint16, n, 5 * n)
-        out.append(np.bincount(owner[held[start : start + n]], minlength=d).astype(np.uint16).tobytes())
+        shared = np.bincount(owner[held[start : start + n]], minlength=d)
+        out.append(shared.astype(np.uint16 if shared.max() < 1 << 16 else np.uint32).tobytes())
         start += n
     return pa.table({"slice": group.column("slice"), "docs": group.column("docs"), "data": pa.array(out, pa.binary()), "header": pa.array([False] * len(out))})
 
@@ -184,7 +186,7 @@ def _possible(group: pa.Table) -> pa.Table:
         if is_header:
             header = data
         else:
-            total = total + np.frombuffer(data, np.uint16).astype(np.int64)
+            total = total + np.frombuffer(data, f"u{len(data) // docs}").astype(np.int64)
     keys, n = np.frombuffer(header, np.int64, docs), np.frombuffer(header, np.int32, docs, 8 * docs)
     least = -(-PART * n // WHOLE)  # the smallest set that may link with it
     enough = total >= np.maximum(1, least // 8)

@@ -161,6 +161,15 @@ def test_chains_of_near_copies_are_one_component(spark):
     assert {r.component_id for r in found} == {0}
 
 
+def test_very_long_near_copies_link(spark):
+    """Of 200,000 shingles the copies share 75,000 first ones in one block, more than 16 bits count."""
+    words = [f"w{i}" for i in range(200_004)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:-1], "other"])), (3, " ".join(words[:100])), (4, " ".join(words[1:102]))]
+    found = near_duplicates(clashing(spark, rows)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == joined_brute(rows)
+    assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 1, 3: 3, 4: 3}
+
+
 def test_jaccard_join_of_nothing(spark):
     assert near_duplicates(clashing(spark, [])).count() == 0
 
