@@ -50,7 +50,11 @@ def grams(text: str) -> np.ndarray:
 
 def ranked(text: str, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
     """The text's n-grams of rank up to ``size`` and their ranks."""
-    found, n = np.unique(grams(text), return_counts=True)
+    return _ranked(grams(text), size)
+
+
+def _ranked(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    found, n = np.unique(codes, return_counts=True)
     more = len(n) - np.searchsorted(np.sort(n), n, "right")
     top = more < size
     return found[top], more[top] + 1
@@ -89,16 +93,22 @@ class Profiles:
 
     def closest(self, text: str) -> tuple[str, float]:
         """The language with the least distance (ties: the first by name), and 1 - distance / the most it can be."""
-        found, rank = ranked(text, self.size)
+        return self.measured(text)[:2]
+
+    def measured(self, text: str) -> tuple[str, float, int]:
+        """The same, and the text's length class: by powers of four of its number of n-grams."""
+        codes = grams(text)
+        found, rank = _ranked(codes, self.size)
+        length = len(codes).bit_length() // 2
         if not len(found) or not self.names:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, length
         at = np.searchsorted(self.grams, found)
         known = np.append(self.grams, -1)[at] == found
         theirs = self.ranks[np.where(known, at, len(self.grams))]
         places = np.where(theirs > 0, np.minimum(np.abs(theirs - rank[:, None]), self.size), self.size)
         distance = places.sum(axis=0)
         best = int(distance.argmin())
-        return self.names[best], 1.0 - float(distance[best]) / (self.size * len(found))
+        return self.names[best], 1.0 - float(distance[best]) / (self.size * len(found)), length
 
 
 def fitted(documents: DataFrame, lang: str = "lang", text: str = "text", size: int = SIZE, most: int = 1000) -> Profiles:
@@ -109,23 +119,51 @@ def fitted(documents: DataFrame, lang: str = "lang", text: str = "text", size: i
     return Profiles(rows, size)
 
 
-def predicted(documents: DataFrame, found: Profiles, text: str = "text", language: str = "lang_pred", score: str = "score") -> DataFrame:
+def predicted(documents: DataFrame, found: Profiles, text: str = "text", language: str = "lang_pred", score: str = "score", length: str | None = None) -> DataFrame:
     """All columns and rows of ``documents`` with the predicted language and its score from 0 to 1.
 
     A text that is null or has no letter is ``und`` with score 0. Columns named like the new ones are replaced.
+    ``length`` names a column for the length class, if wanted.
     """
     table = documents.sparkSession.sparkContext.broadcast(found)
-    kept = documents.drop(language, score)
+    new = {language: "string", score: "double", **({length: "int"} if length else {})}
+    kept = documents.drop(*new)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
-            best = [table.value.closest(x or "") for x in batch.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([x for x, _ in best], pa.string()), pa.array([x for _, x in best], pa.float64())],
-                names=[*batch.schema.names, language, score],
-            )
+            best = [table.value.measured(x or "") for x in batch.column(text).to_pylist()]
+            columns = [pa.array([x[i] for x in best], t) for i, t in enumerate((pa.string(), pa.float64(), pa.int32()))][: len(new)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *new])
+
+    return kept.mapInArrow(predict, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), *(f"{k} {v}" for k, v in new.items())]))
+
+
+def usual_scores(documents: DataFrame, found: Profiles, lang: str = "lang", text: str = "text", share: float = 0.05) -> dict[int, float]:
+    """By length class, the score that all but ``share`` of the labelled texts reach, in the language where that is least.
 
-    return kept.mapInArrow(predict, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), f"{language} string", f"{score} double"]))
+    Every text counts whole and with its beginnings of 8, 32, 128 and so on characters, so that short classes are known
+    too. Scores of long texts rise as they fill the profile; a class gets no more than the class below it.
+    """
+    table = documents.sparkSession.sparkContext.broadcast(found)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            out = []
+            for name, x in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                cuts, n = [x], 8
+                while n < len(x):
+                    cuts.append(x[:n])
+                    n *= 4
+                out += [(name, length, score) for best, score, length in map(table.value.measured, cuts) if best != UNKNOWN]
+            columns = list(zip(*out)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.float64()))], names=["lang", "length", "score"])
+
+    learn = documents.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    scores = learn.mapInArrow(measure, "lang string, length int, score double").groupBy("lang", "length").agg(F.percentile_approx("score", share).alias("score"))
+    least: dict[int, float] = {}
+    for r in scores.groupBy("length").agg(F.min("score").alias("score")).orderBy("length").collect():
+        least[r.length] = min([r.score, *least.values()])
+    return least
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import os
+import random
 import sys
 import zlib
 from collections import Counter, defaultdict
@@ -102,6 +103,26 @@ def test_pipeline_equals_brute_force(spark):
     assert max(held.values()) <= llm.SEQUENCE
 
 
+def test_language_stage_rejects_what_no_labelled_text_is_like(spark):
+    pick = random.Random(3)
+    noise = [" ".join("".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=pick.randint(2, 9))) for _ in range(n)) for n in (12, 50, 200, 3000)]
+    other = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı",
+        "Все люди рождаются свободными", "12 . 34",
+    ]
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    clean = [r.text for r in documents.filter("lang IS NOT NULL").orderBy("doc_id").limit(60).collect()]
+    short = [x[:n] for x in clean for n in (40, 150, 600)] + ["All human beings are born free and equal in dignity and rights."]
+    rows = [(10**6 + i, x, None, "s", len(x)) for i, x in enumerate(noise + other + short)]
+    planted = documents.unionByName(spark.createDataFrame(rows, documents.schema))
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, planted, SF).select("doc_id").collect()}
+    bad = len(noise + other)
+    assert [x for i, x, *_ in rows[:bad] if i in kept] == [] and [x for i, x, *_ in rows[bad:] if i not in kept] == []
+    letters = documents.filter("lang IS NOT NULL AND text RLIKE '[A-Za-z]'").select("doc_id").collect()
+    assert kept >= {r.doc_id for r in letters}
+
+
 def test_entry_without_this_part(monkeypatch):
     """The entry points work when the part and the pipeline are deleted, and only then hide a missing module."""
     import importlib
