@@ -32,7 +32,7 @@ def connection():
 
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert [n.split("_")[0] for n in names if n.split("_")[0][2:].isdigit()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names if n.split("_")[0][2:].isdigit()] == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in entry.queries() and set(llm.STATEMENTS) <= set(llm.QUERIES)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "exact_dedup", "jaccard_join", "temperature_mix", "best_fit_packing"]
 
