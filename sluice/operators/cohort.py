@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sluice.functions import local_time, safe_ratio, week_start
@@ -18,6 +19,8 @@ APPLIED_HALF_YEAR_BEFORE = "3. Applied 30D-180D"
 APPLIED_EARLIER = "4. Applied 180D+"
 APPLIED_LATER = "Applied After Measurement Period"
 UNMAPPED = "Unmapped"
+#: The published funnel's folders: the month of the applied date.
+APPLIED_MONTH = "applied_month"
 
 
 def week_sequence(start: date, as_of: date) -> Column:
@@ -57,7 +60,12 @@ def cohort_label(week: Column, applied: Column, converted: Column) -> Column:
     return F.when(_not_converted(week, converted), age_classes).otherwise(UNMAPPED)
 
 
-def cohort_assign_all(
+def _first_monday(day: Column) -> Column:
+    """The first Monday on or after a day."""
+    return week_start(F.date_add(day, 6))
+
+
+def cohort_changes(
     funnel: DataFrame,
     start: date,
     as_of: date,
@@ -65,26 +73,137 @@ def cohort_assign_all(
     converted: str = "first_dash_date",
     entity: str = "applicant_id",
 ) -> DataFrame:
-    """Applicants per week and cohort, for every week and every cohort.
-
-    A cohort depends on nothing but the applied and the conversion time, and on the week only through
-    date boundaries. Applicants are therefore counted per combination of both first, and only these
-    counts meet the weeks. An applied time inside a day counts as the end of that day, which is on the
-    same side of every midnight boundary except its own. Grain: one row per week and cohort.
+    """By how much the applicants of each cohort change in each week.
+
+    An applicant's cohort depends on the applied and the conversion time only, and over the weeks it changes a few
+    times: from "later" to "in week", and so on, until the conversion. Applicants are counted per combination of both
+    times, and each combination gives a change for the first week of a cohort and one for the week after its last:
+    at most ten rows, however many weeks are asked for. An applied time inside a day is on the same side of every
+    midnight as the end of that day, so a class ends a day earlier for it, and the day between two classes is in none.
+    Grain: week and cohort with a change. ``pairs`` counts combinations, ``applicants`` those with an id.
     """
     day = F.col(applied).cast("date")
     counts = (
         funnel.select(entity, day.alias("_day"), (F.col(applied) > day).alias("_later"), F.col(converted))
         .distinct()
         .groupBy("_day", "_later", converted)
-        .agg(F.count(entity).alias("_n"))
+        .agg(F.count(entity).alias("applicants"))
+    )
+    mondays = week_sequence(start, as_of)
+    first, behind = F.try_element_at(mondays, F.lit(1)), F.date_add(F.try_element_at(mondays, F.lit(-1)), 7)
+    late = F.when(F.col("_later"), 1).otherwise(0)
+
+    def after(days: int, inside: bool = False) -> Column:
+        return F.date_add(F.col("_day"), (F.lit(days) + late).cast("int") if inside else F.lit(days))
+
+    # The days on which a week may start, first and last, for each class. None: without an end on that side.
+    spans = {
+        APPLIED_LATER: (None, after(-7, True)),
+        APPLIED_IN_WEEK: (after(-6, True), after(0)),
+        APPLIED_MONTH_BEFORE: (after(1, True), after(30)),
+        APPLIED_HALF_YEAR_BEFORE: (after(31, True), after(180)),
+        APPLIED_EARLIER: (after(181), None),
+    }
+    until = F.col(converted).cast("date")
+
+    def change(week: Column, cohort: str, sign: int) -> Column:
+        return F.struct(
+            week.alias("week_start"), F.lit(cohort).alias("cohort"), (F.col("applicants") * sign).alias("applicants"), F.lit(sign).cast("bigint").alias("pairs")
+        )
+
+    changes = []
+    for cohort, (low, high) in spans.items():
+        opens = first if low is None else F.greatest(_first_monday(low), first)
+        # ``least`` ignores nulls: without a conversion, and without an end, a class lasts to the last week.
+        ends = [F.date_add(d, 1) for d in (high, until) if d is not None]
+        closes = F.least(*[_first_monday(d) for d in ends], behind)
+        there = first.isNotNull() & F.col("_day").isNotNull() & (opens < closes)
+        changes.append(F.when(there, F.array(change(opens, cohort, 1), change(closes, cohort, -1))).otherwise(F.array()))
+    all_weeks = F.when(first.isNotNull(), F.array(change(first, UNMAPPED, 1))).otherwise(F.array())
+    listed = counts.select("applicants", F.concat(*changes, all_weeks).alias("_changes"))
+    moved = listed.select(F.inline("_changes")).groupBy("week_start", "cohort").agg(F.sum("applicants").alias("applicants"), F.sum("pairs").alias("pairs"))
+    # Whoever comes into a cohort leaves those without one.
+    other = F.struct(F.col("week_start"), F.lit(UNMAPPED).alias("cohort"), (-F.col("applicants")).alias("applicants"), (-F.col("pairs")).alias("pairs"))
+    own = F.struct("week_start", "cohort", "applicants", "pairs")
+    both = moved.select(F.inline(F.when(F.col("cohort") == UNMAPPED, F.array(own)).otherwise(F.array(own, other))))
+    return both.groupBy("week_start", "cohort").agg(F.sum("applicants").alias("applicants"), F.sum("pairs").alias("pairs"))
+
+
+def cohort_assign_all(
+    funnel: DataFrame,
+    start: date,
+    as_of: date,
+    applied: str = "applied_date",
+    converted: str = "first_dash_date",
+    entity: str = "applicant_id",
+) -> DataFrame:
+    """Applicants per week and cohort, for every week and every cohort.
+
+    A sweep: the changes of ``cohort_changes`` are summed up over the weeks. What meets the weeks are the six cohorts,
+    not the applicants or their dates. Grain: one row per week and cohort that has members.
+    """
+    changes = cohort_changes(funnel, start, as_of, applied, converted, entity)
+    # From each change to the next one of the cohort its numbers stand; the last change stands to the last week.
+    series = W.partitionBy("cohort").orderBy("week_start")
+    so_far = series.rowsBetween(W.unboundedPreceding, W.currentRow)
+    last = F.try_element_at(week_sequence(start, as_of), F.lit(-1))
+    states = changes.select(
+        "cohort", "week_start", F.lead("week_start").over(series).alias("_next"),
+        F.sum("applicants").over(so_far).alias("applicants"), F.sum("pairs").over(so_far).alias("_pairs"),
+    )
+    stands = F.least(F.date_sub("_next", 7), last)
+    weeks = F.sequence(F.col("week_start"), stands, F.expr("interval 7 days"))
+    present = states.filter((F.col("_pairs") > 0) & (F.col("week_start") <= stands))
+    return present.select(F.explode(weeks).alias("week_start"), "cohort", "applicants")
+
+
+def cohort_events(
+    funnel: DataFrame,
+    measures: Sequence[Measure],
+    start: date,
+    as_of: date,
+    applied: str = "applied_date",
+    converted: str = "first_dash_date",
+    entity: str = "applicant_id",
+) -> DataFrame:
+    """The weeks in which each applicant reaches a measure, with the cohort that the applicant is in then.
+
+    A measure's time lies in one week, so the week is computed from it and never looked up: as many rows as times.
+    Grain: funnel row and measure with a time in a measured week.
+    """
+    applied_at, converted_on = F.col(applied), F.col(converted)
+    cells = [
+        F.struct(F.lit(m.name).alias("measure"), week_start(F.expr(m.value)).alias("week_start"), (F.expr(m.extra) if m.extra else F.lit(True)).alias("_counts"))
+        for m in measures
+    ]
+    times = funnel.select(entity, applied_at.alias("_applied"), converted_on.alias("_converted"), F.inline(F.array(*cells)))
+    measured = times.filter(F.col("week_start").between(F.lit(start), F.lit(as_of)) & F.col("_counts") & F.col(entity).isNotNull())
+    label = cohort_label(F.col("week_start"), F.col("_applied"), F.col("_converted"))
+    return measured.select("week_start", label.alias("cohort"), "measure", entity)
+
+
+def cohort_conversion_all(
+    funnel: DataFrame,
+    measures: Sequence[Measure],
+    start: date,
+    as_of: date,
+    applied: str = "applied_date",
+    converted: str = "first_dash_date",
+    entity: str = "applicant_id",
+) -> DataFrame:
+    """Applicants of every week and cohort, and how many of them reached each measure in that week.
+
+    The members come from the sweep of ``cohort_assign_all``, the conversions from ``cohort_events``: distinct
+    applicants are counted in two levels, one row per applicant and measure first. No row meets a week it has no
+    event in. Grain: one row per week and cohort that has members.
+    """
+    members = cohort_assign_all(funnel, start, as_of, applied, converted, entity)
+    events = cohort_events(funnel, measures, start, as_of, applied, converted, entity)
+    reached = events.distinct().groupBy("week_start", "cohort").agg(
+        *[F.count(F.when(F.col("measure") == m.name, F.lit(1))).alias(m.name) for m in measures]
     )
-    applied_at = F.when(
-        F.col("_later"), F.timestamp_add("HOUR", F.lit(12), F.col("_day").cast("timestamp_ntz"))
-    ).otherwise(F.col("_day").cast("timestamp_ntz"))
-    weekly = counts.withColumn("week_start", F.explode(week_sequence(start, as_of)))
-    labelled = weekly.withColumn("cohort", cohort_label(F.col("week_start"), applied_at, F.col(converted)))
-    return labelled.groupBy("week_start", "cohort").agg(F.sum("_n").alias("applicants"))
+    joined = members.join(reached, ["week_start", "cohort"], "left")
+    return joined.select("week_start", "cohort", "applicants", *[F.coalesce(m.name, F.lit(0).cast("bigint")).alias(m.name) for m in measures])
 
 
 def cohort_assign_l7d(
@@ -98,8 +217,12 @@ def cohort_assign_l7d(
     """Funnel rows with the week they applied in, unless converted before that week.
 
     An applicant applies in exactly one week, so the week is computed from the applied time instead of
-    meeting every week of the calendar: no join and no shuffle. Grain: the funnel's, filtered.
+    meeting every week of the calendar: no join and no shuffle. Of a funnel laid out by applied month only the months that
+    the weeks touch are read. Grain: the funnel's, filtered.
     """
+    if APPLIED_MONTH in funnel.columns:
+        months = (F.trunc(F.lit(start), "month"), F.trunc(F.date_add(F.lit(as_of), 6), "month"))
+        funnel = funnel.filter(F.col(APPLIED_MONTH).between(*months)).drop(APPLIED_MONTH)
     week = week_start(F.col(applied))
     at = F.col(applied) if quirks.applied_keeps_time else F.col(applied).cast("date")
     weekly = funnel.withColumns({"week_start": week, "week_end": F.date_add(week, 6), "cohort": F.lit(APPLIED_IN_WEEK)})

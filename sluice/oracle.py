@@ -560,6 +560,22 @@ SELECT w AS week_start, w + 6 AS week_end FROM (SELECT DISTINCT CAST(date_trunc(
 WHERE w BETWEEN DATE '1996-01-01' AND DATE '2000-01-01'""",
     "cohort_assign_all": """
 SELECT week_start, cohort, count(DISTINCT applicant_id)::BIGINT AS applicants FROM o_cohorts GROUP BY ALL""",
+    "cohort_conversion_all": f"""
+SELECT c.week_start, c.cohort, count(DISTINCT c.applicant_id)::BIGINT AS applicants,
+    {_converted('c.profile_submit')} AS profile_submit,
+    {_converted('c.vehicle_type_submit')} AS vehicle_submit,
+    {_converted('c.idv_submit')} AS idv_submit,
+    {_converted(local('c.idv_approve'))} AS idv_approve,
+    {_converted('c.bgc_submit')} AS bgc_submit,
+    {_converted('c.account_activation')} AS account_activation,
+    {_converted('coalesce(c.first_impression_time, c.first_shift_creation)')} AS first_impression_time,
+    {_converted('coalesce(c.first_shift_creation, c.first_shift_check_in)')} AS first_shift_creation,
+    {_converted('coalesce(c.first_shift_check_in, c.first_dash_date)')} AS first_shift_check_in,
+    {_converted('coalesce(c.vehicle_type_rendered, c.vehicle_type_submit)')} AS vehicle_type_rendered,
+    {_converted('coalesce(c.idv_render, c.idv_submit)')} AS idv_render,
+    {_converted('coalesce(c.bgc_form_rendered, c.bgc_submit)')} AS bgc_form_rendered,
+    {_converted('c.first_dash_date')} AS first_dash
+FROM o_cohorts c GROUP BY c.week_start, c.cohort""",
     "cohort_assign_l7d": """
 SELECT week_start, week_end, cohort, applicant_id, applied_date, first_dash_date FROM o_cohorts WHERE cohort LIKE '1.%'""",
     "activation_week_access": tidy("SELECT * FROM o_access_week", "dash_now_impression_rate"),

@@ -35,7 +35,7 @@ from sluice.plans.waitlist_report import waitlist_report
 from sluice.sources.driver_tables import Tables, derived, driver_table
 from sluice.sources.holidays import holidays
 from sluice.sources.storage import publish, session_staging
-from sluice.specs import Step
+from sluice.specs import Measure, Step
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -256,7 +256,8 @@ def device_bucket(spark, folder):
 
 def _published_funnel(spark, folder):
     staging = session_staging(spark)
-    return staging(funnel_plan.applicant_funnel(Tables(spark, folder), FUNNEL, staging))
+    funnel = funnel_plan.applicant_funnel(Tables(spark, folder), FUNNEL, staging)
+    return publish(funnel, f"{staging.path}/funnel", schemas.FUNNEL, schemas.BY_APPLIED_MONTH)
 
 
 @query
@@ -270,6 +271,15 @@ def cohort_assign_all(spark, folder):
     return cohort.cohort_assign_all(_published_funnel(spark, folder), COHORT_START, AS_OF)
 
 
+@query
+def cohort_conversion_all(spark, folder):
+    """Every cohort's conversions in every week, not only of those who applied in it."""
+    reached = [m for m in cohort_plan.measures(ZONE, COHORT.quirks) if m.extra is None]
+    return cohort.cohort_conversion_all(
+        _published_funnel(spark, folder), [*reached, Measure("first_dash", "first_dash_date")], COHORT_START, AS_OF
+    )
+
+
 @query
 def cohort_assign_l7d(spark, folder):
     members = cohort.cohort_assign_l7d(_published_funnel(spark, folder), COHORT_START, AS_OF)
@@ -442,23 +452,23 @@ def cohort_variance_report(spark, folder):
 # The published tables, written with their declared schemas and read back
 
 
-def _published(df: DataFrame, name: str, schema) -> DataFrame:
-    return publish(df, f"{session_staging(df.sparkSession).path}/{name}", schema)
+def _published(df: DataFrame, name: str, schema, layout=None) -> DataFrame:
+    return publish(df, f"{session_staging(df.sparkSession).path}/{name}", schema, layout).select(*schema.names)
 
 
 @query
 def published_funnel(spark, folder):
-    return _published(funnel_publish(spark, folder), "funnel", schemas.FUNNEL)
+    return _published(funnel_publish(spark, folder), "funnel", schemas.FUNNEL, schemas.BY_APPLIED_MONTH)
 
 
 @query
 def published_conversions(spark, folder):
-    return comparable(_published(_rolled_up(spark, folder), "conversions", schemas.CONVERSIONS))
+    return comparable(_published(_rolled_up(spark, folder), "conversions", schemas.CONVERSIONS, schemas.BY_WEEK))
 
 
 @query
 def published_variances(spark, folder):
-    return _published(variance_report(spark, folder), "variances", schemas.VARIANCES)
+    return _published(variance_report(spark, folder), "variances", schemas.VARIANCES, schemas.BY_WEEK)
 
 
 @query

@@ -1,4 +1,4 @@
-"""The declared schemas of the four published tables."""
+"""The declared schemas of the four published tables, and the layouts that later jobs prune by."""
 
 from __future__ import annotations
 
@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import types as T
 
+from sluice.operators.cohort import APPLIED_MONTH
 from sluice.plans import applicant_funnel, variance_report
 from sluice.plans.verification_funnel import EVENT_TYPES
+from sluice.sources.storage import Layout
 
 TIME = "timestamp_ntz"
 TYPES = {
@@ -71,3 +73,7 @@ VERIFICATION = _schema(
         app_version="string",
     )
 )
+
+#: The cohort report reads the months that its weeks touch, the variance report the completed weeks.
+BY_APPLIED_MONTH = Layout(APPLIED_MONTH, "cast(trunc(cast(applied_date as date), 'month') as date)")
+BY_WEEK = Layout("week_start")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.session import shared_folder
@@ -23,18 +25,36 @@ def read_table(spark: SparkSession, folder: str | None, name: str, schema: str |
     return conform(found, T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
 
-def publish(df: DataFrame, target: str, schema: T.StructType | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Layout:
+    """How a published table is cut into folders, so that later jobs read those they need: by ``column``, which is one of
+    the table or, with ``value``, an SQL expression over it that is stored beside the declared columns."""
+
+    column: str
+    value: str | None = None
+
+
+def publish(df: DataFrame, target: str, schema: T.StructType | None = None, layout: Layout | None = None) -> DataFrame:
     """Replaces the table at ``target`` and returns it as read back: a path if it has a slash, else a catalog table.
 
-    With ``schema``, the result has to match it by name and type.
+    With ``schema``, the result has to match it by name and type. With ``layout`` the rows are dealt by its column before they
+    are written, so that a folder has few files; AQE cuts a large folder's rows over several tasks. The layout's own
+    column stands last in what is returned, for filters on it.
     """
     if schema is not None:
         df = conform(df, schema)
+    names = df.columns
+    if layout is not None:
+        if layout.value is not None:
+            df = df.withColumn(layout.column, F.expr(layout.value))
+            names = [*names, layout.column]
+        df = df.hint("rebalance", layout.column)
+    writer = df.write.mode("overwrite") if layout is None else df.write.mode("overwrite").partitionBy(layout.column)
     if "/" in target:
-        df.write.mode("overwrite").parquet(target)
-        return df.sparkSession.read.schema(df.schema).parquet(target)
-    df.write.mode("overwrite").format("parquet").saveAsTable(target)
-    return df.sparkSession.read.table(target)
+        writer.parquet(target)
+        return df.sparkSession.read.schema(df.schema).parquet(target).select(*names)
+    writer.format("parquet").saveAsTable(target)
+    return df.sparkSession.read.table(target).select(*names)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

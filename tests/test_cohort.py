@@ -3,20 +3,25 @@ from __future__ import annotations
 import random
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
+from sluice import schemas
 from sluice.operators.cohort import (
     APPLIED_IN_WEEK,
     activation_week_access,
     activation_week_assignments,
     cohort_assign_all,
     cohort_assign_l7d,
+    cohort_changes,
     cohort_conversion,
+    cohort_conversion_all,
     cohort_conversion_rollup,
     cohort_label,
     week_sequence,
     week_spine,
 )
+from sluice.sources.storage import publish
 from sluice.specs import CORRECTED, Measure
 
 START, AS_OF = date(2024, 1, 1), date(2024, 3, 13)
@@ -184,3 +189,62 @@ def test_rollup_sums_and_takes_the_rates_anew(table):
     assert [tuple(r)[1:] for r in found.collect()] == [(5, 8, 4.0, 0.26, 0.5), (3, 0, 0.0, None, 0.0), (3, None, None, None, None)]
 
 
+
+
+def test_changes_do_not_grow_with_the_weeks(spark, table):
+    """A combination of dates changes its cohort a few times, over a month of weeks or a century."""
+    funnel = random_funnel(table)
+    pairs = funnel.select("applied_date", "first_dash_date").distinct().count()
+    few = cohort_changes(funnel, START, AS_OF)
+    century = cohort_changes(funnel, date(1970, 1, 1), date(2070, 1, 1))
+    assert few.count() <= 6 * len(spark.range(1).select(F.explode(week_sequence(START, AS_OF))).collect()) + 6
+    assert century.agg(F.sum(F.abs("pairs"))).first()[0] <= 2 * 10 * pairs + 1
+    # All who ever are in a cohort leave it, but for the last ones.
+    assert century.filter("cohort <> 'Unmapped'").agg(F.sum("pairs")).first()[0] >= 0
+
+
+@pytest.mark.parametrize(("start", "as_of"), [(START, AS_OF), (date(2023, 6, 1), date(2024, 9, 3)), (date(2024, 1, 3), date(2024, 1, 4)), (date(2024, 2, 1), date(2024, 1, 1))])
+def test_sweep_at_every_boundary(spark, table, start, as_of):
+    """Applied and converted at midnight, inside a day, on all days around the classes' limits, with and without ids."""
+    days = [date(2024, 1, 1) + timedelta(days=d) for d in (-190, -182, -181, -180, -179, -38, -37, -32, -31, -30, -8, -7, -2, -1, 0, 1, 5, 6, 7, 8, 30, 60)]
+    rows = []
+    for i, d in enumerate(days):
+        for hour in (0, 10):
+            for converted in (None, d, d + timedelta(days=3), d + timedelta(days=40), date(2023, 1, 1)):
+                rows.append((None if i == 3 else len(rows) // 2, f"{d}T{hour:02}:00:00", None if converted is None else str(converted)))
+    rows += [(900, None, None), (901, None, "2024-01-05"), (None, None, None)]
+    funnel = table(FUNNEL, rows)
+    weeks = spark.range(1).select(F.explode(week_sequence(start, as_of)).alias("week_start"))
+    label = cohort_label(F.col("week_start"), F.col("applied_date"), F.col("first_dash_date"))
+    found = cohort_assign_all(funnel, start, as_of)
+    # One applicant may have several rows here, so ids are counted per row on both sides.
+    naive = weeks.crossJoin(funnel.distinct()).withColumn("cohort", label).groupBy("week_start", "cohort").agg(F.count("applicant_id").alias("applicants"))
+    assert same(found, naive)
+
+
+def test_conversions_of_all_cohorts_equal_every_week_against_every_applicant(spark, table):
+    pick = random.Random(5)
+    funnel = random_funnel(table).select("*", *[(F.col("applied_date") + F.make_dt_interval(F.lit(pick.randint(0, 50)))).alias(c) for c in ("a", "b")])
+    funnel = funnel.withColumn("b", F.when(F.col("applicant_id") % 3 > 0, F.col("b")))
+    measures = [Measure("a", "a"), Measure("either", "coalesce(b, a)"), Measure("both", "a", "b is not null")]
+    label = cohort_label(F.col("week_start"), F.col("applied_date"), F.col("first_dash_date"))
+    weekly = spark.range(1).select(F.explode(week_sequence(START, AS_OF)).alias("week_start")).crossJoin(funnel).withColumn("cohort", label)
+    inside = {m.name: F.expr(m.value).cast("date").between(F.col("week_start"), F.date_add("week_start", 6)) & (F.expr(m.extra) if m.extra else F.lit(True)) for m in measures}
+    naive = weekly.groupBy("week_start", "cohort").agg(
+        F.count_distinct("applicant_id").alias("applicants"), *[F.count_distinct(F.when(c, F.col("applicant_id"))).alias(name) for name, c in inside.items()]
+    )
+    found = cohort_conversion_all(funnel, measures, START, AS_OF)
+    assert same(found, naive) and found.agg(F.sum("either")).first()[0] > 20
+    assert found.filter("cohort <> '1. Applied L7D' AND a > 0").count() > 0
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Cross" not in text and "Join Inner" not in text  # weeks meet cohorts, never applicants
+
+
+def test_funnel_by_month_is_pruned(spark, table, tmp_path):
+    funnel = random_funnel(table)
+    laid_out = publish(funnel, f"{tmp_path}/funnel", layout=schemas.BY_APPLIED_MONTH)
+    found = cohort_assign_l7d(laid_out, START, AS_OF)
+    assert "PartitionFilters: [isnotnull(applied_month" in found._jdf.queryExecution().executedPlan().toString()
+    assert same(found, cohort_assign_l7d(funnel, START, AS_OF))
+    assert sorted(laid_out.columns) == sorted([*funnel.columns, "applied_month"])
+    assert same(laid_out.drop("applied_month"), funnel)
