@@ -35,6 +35,26 @@ def impression_events(
     )
 
 
+#: Consecutive impressions of a scan that one list of times may come from.
+CHUNK_BITS = 20
+
+
+def daily_impressions(events: DataFrame, zone: str | None = None) -> DataFrame:
+    """The impressions of an id, busyness and local day in one row: how many, the first, and all times as one list.
+
+    A raw impression is then eight bytes of a list instead of a row of its own. Rows are combined where they are read:
+    a list holds times of one chunk of ``2 ** CHUNK_BITS`` consecutive rows of a scan task, so that it is bounded
+    for an id with any number of impressions. Grain: source, gate id, entity, busyness, day and chunk.
+    """
+    chunk = F.shiftright(F.monotonically_increasing_id(), CHUNK_BITS)
+    dated = events.withColumns({"day": local_time(F.col("at"), zone).cast("date"), "_chunk": chunk})
+    return (
+        dated.groupBy("source", "gate_id", "entity_id", "busyness", "day", "_chunk")
+        .agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("n"), F.collect_list("at").alias("times"))
+        .drop("_chunk")
+    )
+
+
 def gated_impressions(
     events: DataFrame,
     entities: DataFrame,
@@ -45,20 +65,27 @@ def gated_impressions(
 ) -> DataFrame:
     """First time, first busyness, busy count and count of the impressions at or after ``milestone``.
 
-    ``events`` stacks all sources, so the milestones are shuffled once. One entity may hold a large part
-    of the impressions: the join is on the gate id and the grouping on source and entity, so a shuffle of
-    pre-aggregated rows follows the join anyway and AQE is free to split a hot id. Of several impressions
+    ``events`` stacks all sources, so the milestones are shuffled once. Impressions are combined by day before they are
+    shuffled to the milestones: a day after the milestone's counts as a whole, a day before it not at all, and the single
+    times are looked at on the day itself. One entity may hold a large part of the impressions: what meets the
+    milestones is one row for each of its days and chunks of the scan, and the grouping that follows shuffles
+    pre-aggregated rows anyway, so AQE is free to split a hot id. Of several impressions
     at the first time, the smallest busyness is taken. Grain: one row per source and entity.
     """
-    gates = entities.filter(F.col(milestone).isNotNull()).select(
-        F.trim(F.col("entity_id").cast("string")).alias("gate_id"), F.col(milestone).alias("_milestone")
-    )
     compare_zone = zone if quirks.compare_in_local_time else None
-    qualifying = events.join(gates, "gate_id").filter(
-        local_time(F.col("at"), compare_zone) >= local_time(F.col("_milestone"), compare_zone)
+    reached = local_time(F.col(milestone), compare_zone)
+    gates = entities.filter(F.col(milestone).isNotNull()).select(
+        F.trim(F.col("entity_id").cast("string")).alias("gate_id"), reached.alias("_milestone"), reached.cast("date").alias("_day")
     )
+    joined = daily_impressions(events, compare_zone).join(gates, "gate_id").filter(F.col("day") >= F.col("_day"))
+    on_the_day = F.filter("times", lambda t: local_time(t, compare_zone) >= F.col("_milestone"))
+    qualifying = joined.withColumn("times", F.when(F.col("day") == F.col("_day"), on_the_day)).select(
+        "source", "entity_id", "busyness",
+        F.when(F.col("times").isNull(), F.col("at")).otherwise(F.array_min("times")).alias("at"),
+        F.when(F.col("times").isNull(), F.col("n")).otherwise(F.size("times")).alias("_n"),
+    ).filter("_n > 0")
     # One row per busyness first: that aggregate hashes, and few rows are left to be sorted for the first one.
-    by_value = qualifying.groupBy("source", "entity_id", "busyness").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("_n"))
+    by_value = qualifying.groupBy("source", "entity_id", "busyness").agg(F.min("at").alias("at"), F.sum("_n").alias("_n"))
     firsts = by_value.groupBy("source", "entity_id").agg(
         F.min(F.struct("at", "busyness")).alias("_first"),
         F.sum(F.when(F.col("busyness").isin(*busy), F.col("_n")).otherwise(0)).alias("busy_impression_freq"),
