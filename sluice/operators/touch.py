@@ -177,6 +177,51 @@ def first_last_attribute(
     )
 
 
+def touches_with_ends(
+    sources: Sequence[tuple[DataFrame, str, Sequence[Step], str]],
+    key: str,
+    ended: int,
+    attributes: Sequence[str],
+    where: str,
+    zone: str | None = None,
+) -> DataFrame:
+    """First touch over several sources, and the first and last attributes of one of them, from one scan of each.
+
+    ``sources`` as for ``first_touch_sources``; the attributes are those of source number ``ended``, at its first and
+    last event with ``where``. An event row carries its step times and, where it qualifies, its time and attributes. Rows
+    are first reduced by a hash aggregate to one per key and combination of attributes, which keeps the earliest time of
+    every step and both ends of the event times; only those few rows are sorted for the ends. What has no attributes is one
+    combination more. Grain: one row per key; ``<attribute>_first`` and ``<attribute>_last`` as by ``first_last_attribute``.
+    """
+    marked = []
+    for i, (events, source_key, steps, ts) in enumerate(sources):
+        if i != ended:
+            marked.append(step_columns(events, source_key, steps, ts, key))
+            continue
+        qualifies = F.expr(where) & F.col(ts).isNotNull()
+        wanted = _wanted(steps)
+        used = F.col(source_key).isNotNull() & (qualifies | (F.lit(True) if wanted is None else wanted))
+        times = [(F.col(ts) if s.where is None else F.when(F.expr(s.where), F.col(ts))).alias(s.name) for s in steps]
+        ends = [F.when(qualifies, F.col(ts)).alias("_at"), *[F.when(qualifies, F.col(a)).alias(f"_{a}") for a in attributes]]
+        marked.append(events.filter(used).select(F.col(source_key).alias(key), *times, *ends))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
+    names = [s.name for _, _, steps, _ in sources for s in steps]
+    values = [f"_{a}" for a in attributes]
+    earliest_of = [F.min(name).alias(name) for name in names]
+    short = stacked.groupBy(key, *values).agg(*earliest_of, F.min("_at").alias("_from"), F.max("_at").alias("_to"))
+
+    def end(time: str) -> Column:
+        return F.when(F.col(time).isNotNull(), F.struct(F.col(time), *values))
+
+    whole = short.groupBy(key).agg(*earliest_of, F.min(end("_from")).alias("_first"), F.max(end("_to")).alias("_last"))
+    return whole.select(
+        key,
+        *[local_time(F.col(name), zone).alias(name) for name in names],
+        *[F.col("_first")[f"_{a}"].alias(f"{a}_first") for a in attributes],
+        *[F.col("_last")[f"_{a}"].alias(f"{a}_last") for a in attributes],
+    )
+
+
 def device_type(first: Column, last: Column) -> Column:
     """iOS when either end is iOS, Android when both are, otherwise ``first-last``; null without a device."""
     return (
@@ -192,10 +237,13 @@ def version_label(first: Column, last: Column) -> Column:
     return F.when(first == last, last).otherwise(F.concat(first, F.lit("-"), last))
 
 
-def attribute_reconcile(ends: DataFrame, key: str, os: str = "os_name", version: str = "app_version") -> DataFrame:
-    """One device type and one app version per key from their first and last values."""
+def attribute_reconcile(
+    ends: DataFrame, key: str, os: str = "os_name", version: str = "app_version", keep: Sequence[str] = ()
+) -> DataFrame:
+    """One device type and one app version per key from their first and last values, with the columns ``keep``."""
     return ends.select(
         key,
+        *keep,
         device_type(F.col(f"{os}_first"), F.col(f"{os}_last")).alias("device_type"),
         version_label(F.col(f"{version}_first"), F.col(f"{version}_last")).alias("app_version"),
     )

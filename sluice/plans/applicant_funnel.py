@@ -16,6 +16,7 @@ from sluice.operators.touch import (
     latest_status_gate,
     resolve_identity,
     status_summary,
+    touches_with_ends,
 )
 from sluice.sources.storage import Staging
 from sluice.specs import Fill, FunnelSpec, Lag, Step
@@ -112,8 +113,11 @@ def fills(spec: FunnelSpec) -> tuple[Fill, ...]:
     )
 
 
-def step_touches(tables: dict[str, DataFrame], spec: FunnelSpec) -> DataFrame:
-    """First touch of every step, over all sources keyed by the applicant's link. Grain: one row per link."""
+Source = tuple[DataFrame, str, list[Step], str]
+
+
+def step_sources(tables: dict[str, DataFrame], spec: FunnelSpec) -> dict[str, Source]:
+    """Events, key column, steps and time column of every source keyed by the applicant's link."""
 
     def page(name: str, value: str) -> Step:
         return Step(name, f"page_id = '{value}'")
@@ -136,17 +140,31 @@ def step_touches(tables: dict[str, DataFrame], spec: FunnelSpec) -> DataFrame:
         page("bgc_submit", spec.check_page),
         page("bgc_submit_intl", spec.check_status_page),
     ]
-    return first_touch_sources(
-        [
-            (tables["profile_submitted"], "user_id", [Step("profile_submit")], "ts"),
-            (tables["step_rendered"], "link", rendered, "ts"),
-            (tables["step_submitted"], "link", submitted, "ts"),
-            (identified, "any_id", verified, "ts"),
-            (tables["activated"], "link", [Step("account_activation")], "ts"),
-        ],
-        "link",
-        spec.zone,
-    )
+    return {
+        "profile_submitted": (tables["profile_submitted"], "user_id", [Step("profile_submit")], "ts"),
+        "step_rendered": (tables["step_rendered"], "link", rendered, "ts"),
+        "step_submitted": (tables["step_submitted"], "link", submitted, "ts"),
+        "idv_steps": (identified, "any_id", verified, "ts"),
+        "activated": (tables["activated"], "link", [Step("account_activation")], "ts"),
+    }
+
+
+def step_touches(tables: dict[str, DataFrame], spec: FunnelSpec) -> DataFrame:
+    """First touch of every step, over all sources keyed by the applicant's link. Grain: one row per link."""
+    return first_touch_sources(list(step_sources(tables, spec).values()), "link", spec.zone)
+
+
+def touches_and_devices(tables: dict[str, DataFrame], spec: FunnelSpec) -> DataFrame:
+    """First touch of every step, device type and app version, from one scan of each source. Grain: one row per link.
+
+    The device is that of the vehicle step's submits, which the steps read too.
+    """
+    sources = step_sources(tables, spec)
+    found = touches_with_ends(
+        list(sources.values()), "link", list(sources).index("step_submitted"), ["os_name", "app_version"],
+        device_events(spec.vehicle_page), spec.zone,
+    )
+    return attribute_reconcile(found, "link", keep=[s.name for _, _, steps, _ in sources.values() for s in steps])
 
 
 def approvals(tables: dict[str, DataFrame], spec: FunnelSpec) -> DataFrame:
@@ -163,11 +181,14 @@ def approvals(tables: dict[str, DataFrame], spec: FunnelSpec) -> DataFrame:
     return gated.withColumnRenamed("reference_id", "link")
 
 
+def device_events(vehicle_page: str) -> str:
+    """The submits that tell an applicant's device."""
+    return f"page_id = '{vehicle_page}' and os_name is not null"
+
+
 def devices(submitted: DataFrame, vehicle_page: str) -> DataFrame:
     """Device type and app version at the vehicle step. Grain: one row per link."""
-    ends = first_last_attribute(
-        submitted, "link", ["os_name", "app_version"], where=f"page_id = '{vehicle_page}' and os_name is not null"
-    )
+    ends = first_last_attribute(submitted, "link", ["os_name", "app_version"], where=device_events(vehicle_page))
     return attribute_reconcile(ends, "link")
 
 
@@ -204,9 +225,8 @@ def all_steps(tables: dict[str, DataFrame], spec: FunnelSpec) -> DataFrame:
         spine,
         {
             "link": [
-                step_touches(tables, spec),
+                touches_and_devices(tables, spec),
                 approvals(tables, spec),
-                devices(tables["step_submitted"], spec.vehicle_page),
             ],
             "entity_id": [impressions(tables, spec), shifts],
         },

@@ -13,6 +13,7 @@ from sluice.operators.touch import (
     latest_status_gate,
     resolve_identity,
     status_summary,
+    touches_with_ends,
     version_label,
 )
 from sluice.specs import CORRECTED, Step
@@ -129,3 +130,29 @@ def test_reconcile_names(table):
     ends = table("link string, os_name_first string, app_version_first string, os_name_last string, app_version_last string",
                  [("a", "iOS", "1", "iOS", "2")])
     assert rows(attribute_reconcile(ends, "link")) == [("a", "iOS", "1-2")]
+
+
+def test_ends_come_with_the_touches(table):
+    """One aggregate gives what the first touches and the ends give by themselves."""
+    submitted = table(
+        "link string, page string, ts timestamp_ntz, os string, version string",
+        [
+            ("a", "v", "2024-01-02 10:00:00", "iOS", "1"), ("a", "v", "2024-01-01 10:00:00", "Android", None), ("a", "c", "2023-12-01 10:00:00", "Web", "9"),
+            ("a", "other", "2023-11-01 10:00:00", "Web", "0"), ("b", "v", "2024-01-01 10:00:00", None, "1"), ("b", "v", None, "iOS", "3"), ("c", "c", "2024-01-03 10:00:00", "iOS", "1"),
+            ("d", "v", "2024-01-01 10:00:00", "x", "2"), ("d", "v", "2024-01-01 10:00:00", "x", "1"), (None, "v", "2024-01-01 10:00:00", "x", "1"), ("e", "other", "2024-01-01 10:00:00", "iOS", "1"),
+        ],
+    )
+    rendered = table("id string, ts timestamp_ntz", [("a", "2024-01-05 00:00:00"), ("f", "2024-01-04 00:00:00"), (None, "2024-01-01 00:00:00")])
+    steps = [Step("v", "page = 'v'"), Step("c", "page = 'c'")]
+    where = "page = 'v' and os is not null"
+    sources = [(rendered, "id", [Step("seen")], "ts"), (submitted, "link", steps, "ts")]
+    found = touches_with_ends(sources, "link", 1, ["os", "version"], where, LA)
+    separate = first_touch_sources(sources, "link", LA).join(first_last_attribute(submitted, "link", ["os", "version"], where=where), "link", "left")
+    assert found.columns == separate.columns and rows(found, "link") == rows(separate, "link")
+    assert {r["link"]: (r["os_first"], r["version_first"], r["os_last"], r["version_last"]) for r in found.collect()}["a"] == ("Android", None, "iOS", "1")
+
+
+def test_ends_may_be_of_events_that_no_step_takes(table):
+    submitted = table("link string, page string, ts timestamp_ntz, os string", [("a", "v", "2024-01-02 10:00:00", "iOS"), ("b", "w", "2024-01-02 10:00:00", "x")])
+    found = touches_with_ends([(submitted, "link", [Step("w", "page = 'w'")], "ts")], "link", 0, ["os"], "page = 'v'")
+    assert rows(found, "link") == [("a", None, "iOS", "iOS"), ("b", ts("2024-01-02 10:00"), None, None)]
