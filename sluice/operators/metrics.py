@@ -8,7 +8,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
 
 from sluice.functions import month_start, safe_ratio, week_start
 from sluice.specs import REPRODUCE, Metric, Quirks
@@ -100,8 +99,21 @@ def metric_base(conversions: DataFrame, as_of: date, where: Column | None = None
     return sums.withColumns({name: safe_ratio(F.col(n), F.col(d)) for name, (n, d) in RATES.items()})
 
 
+def with_base(base: DataFrame, quirks: Quirks = REPRODUCE) -> DataFrame:
+    """The weekly base with ``_bases``, the base rows that translate a row's differences into conversions.
+
+    Those are all of the row's week, of every cohort (K8), and corrected the row itself. They travel with the metrics
+    and their windows, so the base is computed once and never joined to itself. Grain: the base's.
+    """
+    own = F.struct(*[F.col(c) for c in base.columns if c not in ("cohort", "week_start")])
+    if not quirks.monitor_ignores_cohort:
+        return base.withColumn("_bases", F.array(own))
+    return base.withColumn("_bases", F.collect_list(own).over(W.partitionBy("week_start")))
+
+
 def metric_long(base: DataFrame, metrics: Sequence[Metric] = METRICS) -> DataFrame:
-    """One row per cohort, week and metric, from a single pass over the base. Grain: (cohort, week, metric)."""
+    """One row per cohort, week and metric, from a single pass over the base, with the ``_bases`` if it has any.
+    Grain: (cohort, week, metric)."""
     cells = [
         F.struct(
             F.lit(m.number).alias("metric_number"),
@@ -110,25 +122,56 @@ def metric_long(base: DataFrame, metrics: Sequence[Metric] = METRICS) -> DataFra
         )
         for m in metrics
     ]
-    return base.select("cohort", "week_start", F.inline(F.array(*cells)))
+    carried = [c for c in base.columns if c == "_bases"]
+    return base.select("cohort", "week_start", *carried, F.inline(F.array(*cells)))
+
 
+#: Binary digits of one long sum, and the number of such sums: values are summed to 256 bits below the group's largest.
+DIGIT_BITS, DIGITS = 32, 8
 
-def exact_mean(value: Column, over: WindowSpec | None = None) -> Column:
-    """Mean of doubles that doesn't depend on the order of its additions: the sum is taken in decimals.
 
-    Twenty-four decimal places hold every digit of a rate, so the mean of equal values is that value.
+def exact_mean(df: DataFrame, value: str, into: str, group: Sequence[str]) -> DataFrame:
+    """Adds the mean of the group's doubles, which doesn't depend on the order of its additions.
+
+    Every value is scaled by the power of two above the group's largest and cut into ``DIGITS`` whole numbers of
+    ``DIGIT_BITS`` binary digits, without rounding. Each is summed as a long, exactly, and the sums are divided by
+    the number of rows digit by digit with the remainder carried on. The mean of equal values is therefore that value.
+    What lies more than 256 bits below the largest value is cut off. A value that is no finite number makes the mean
+    what the usual one is. A group may have 2 ** 30 rows. Grain: the input's.
     """
-    total, rows = F.sum(value.cast("decimal(38,24)")), F.count(value)
-    if over is not None:
-        total, rows = total.over(over), rows.over(over)
-    return (total / F.nullif(rows, F.lit(0)).cast("decimal(3,0)")).cast("double")
+    over, column = W.partitionBy(*group), F.col(value)
+    size = F.abs(column)
+    finite = size < float("inf")
+    power = F.pow(F.lit(2.0), F.floor(F.log2(F.max(F.when(finite & (size > 0), size)).over(over))))
+    scaled = df.withColumn("_scale", F.coalesce(power, F.lit(1.0)))
+    unit = F.when(finite, column) / F.col("_scale") / 4
+
+    def whole(k: int) -> Column:
+        moved = unit * 2.0 ** (DIGIT_BITS * k)
+        return moved - moved % 1
+
+    def digit(k: int) -> Column:
+        return (whole(k) - whole(k - 1) * 2.0**DIGIT_BITS).cast("bigint")
+
+    summed = scaled.withColumns(
+        {f"_digit{k}": F.sum(digit(k)).over(over) for k in range(1, DIGITS + 1)}
+        | {"_rows": F.count(column).over(over), "_usual": F.avg(F.when(~finite, column)).over(over)}
+    )
+    rows = F.nullif(F.col("_rows"), F.lit(0).cast("bigint"))
+    carried, mean = F.lit(0).cast("bigint"), F.lit(0.0)
+    for k in range(1, DIGITS + 1):
+        current = carried * 2**DIGIT_BITS + F.col(f"_digit{k}")
+        mean = mean + F.call_function("div", current, rows).cast("double") * 2.0 ** (-DIGIT_BITS * k)
+        carried = current % rows
+    dropped = [f"_digit{k}" for k in range(1, DIGITS + 1)]
+    return summed.withColumn(into, F.coalesce("_usual", mean * 4 * F.col("_scale"))).drop("_scale", "_rows", "_usual", *dropped)
 
 
 def metric_monthly_avg(long: DataFrame) -> DataFrame:
     """Mean of every metric over the weeks starting in a month. Grain: (cohort, month, metric)."""
-    return long.groupBy("cohort", month_start(F.col("week_start")).alias("week_month"), "metric_number", "metric_name").agg(
-        exact_mean(F.col("metric_value")).alias("metric_value_monthly_avg")
-    )
+    group = ("cohort", "week_month", "metric_number", "metric_name")
+    monthly = long.withColumn("week_month", month_start(F.col("week_start")))
+    return exact_mean(monthly, "metric_value", "metric_value_monthly_avg", group).select(*group, "metric_value_monthly_avg").distinct()
 
 
 def metric_lags(long: DataFrame) -> DataFrame:
@@ -141,16 +184,13 @@ def metric_lags(long: DataFrame) -> DataFrame:
 def metric_prev_month(lagged: DataFrame) -> DataFrame:
     """Mean of the metric over the previous calendar month, null without one.
 
-    The mean is a window over the month number, one month back, in the partitioning the lags already
-    use: no monthly table and no join. Grain: the input's.
+    The mean of each row's own month comes first; that of the month before is then a window over the month number, one
+    month back. Both are in the partitioning that the lags already use: no monthly table and no join. Grain: the input's.
     """
     month = F.year("week_start") * 12 + F.month("week_start")
     before = W.partitionBy(*SERIES).orderBy("_month").rangeBetween(-1, -1)
-    return (
-        lagged.withColumn("_month", month)
-        .withColumn("metric_value_last_month_avg", exact_mean(F.col("metric_value"), before))
-        .drop("_month")
-    )
+    means = exact_mean(lagged.withColumn("_month", month), "metric_value", "_month_mean", [*SERIES, "_month"])
+    return means.withColumn("metric_value_last_month_avg", F.max("_month_mean").over(before)).drop("_month", "_month_mean")
 
 
 def metric_diffs(compared: DataFrame, quirks: Quirks = REPRODUCE) -> DataFrame:

@@ -16,6 +16,15 @@ from sluice.specs import REPRODUCE, Metric, Quirks
 MAX_DECLINE_WEEKS = 4
 
 
+def series_partitioning(long: DataFrame, quirks: Quirks = REPRODUCE) -> DataFrame:
+    """The long metrics, partitioned so that no window from the lags to the cumulative impact shuffles them again.
+
+    The cumulative impact runs over all cohorts of a metric (K8), so those have to meet, and every other window's
+    partitions lie within a metric's. Corrected, each series stands alone. Grain: the input's.
+    """
+    return long.repartition("metric_number") if quirks.monitor_ignores_cohort else long.repartition(*SERIES)
+
+
 def decline_streaks(diffs: DataFrame) -> DataFrame:
     """Streak number, weeks of consecutive decline and row index of every metric row.
 
@@ -77,18 +86,22 @@ def _weight(metric: Metric, quirks: Quirks) -> Column:
 
 
 def impact_translation(
-    declines: DataFrame, base: DataFrame, metrics: Sequence[Metric] = METRICS, quirks: Quirks = REPRODUCE
+    declines: DataFrame, base: DataFrame | None = None, metrics: Sequence[Metric] = METRICS, quirks: Quirks = REPRODUCE
 ) -> DataFrame:
     """Rate differences as conversions lost or won; null for count metrics.
 
-    Every difference is multiplied by one weight per row. The base is matched by week (K8); corrected, by
-    cohort and week. Its row is kept as ``_base`` for the thresholds and the cumulative rates.
-    Grain: the input's while a week has one base row.
+    Every difference is multiplied by one weight per row. The base rows are those that ``with_base`` sent along; without
+    them ``base`` is joined, by week (K8) or, corrected, by cohort and week. The row is kept as ``_base`` for the thresholds
+    and the cumulative rates. Grain: the input's while a week has one base row.
     """
-    keys = ["week_start"] if quirks.monitor_ignores_cohort else ["cohort", "week_start"]
-    rows = base.select(*keys, F.struct(*[F.col(c) for c in base.columns if c not in keys]).alias("_base"))
+    if base is None:
+        rows = declines.select(*[c for c in declines.columns if c != "_bases"], F.explode_outer("_bases").alias("_base"))
+    else:
+        keys = ["week_start"] if quirks.monitor_ignores_cohort else ["cohort", "week_start"]
+        of_week = base.select(*keys, F.struct(*[F.col(c) for c in base.columns if c not in keys]).alias("_base"))
+        rows = declines.join(of_week, keys, "left")
     weights = {m.name: _weight(m, quirks) for m in metrics if m.volume is not None}
-    weighted = declines.join(rows, keys, "left").withColumn("impact_weight", _by_metric(metrics, weights))
+    weighted = rows.withColumn("impact_weight", _by_metric(metrics, weights))
     return weighted.withColumns(
         {
             "impact_wow_diff": F.col("metric_wow_diff") * F.col("impact_weight"),
@@ -118,7 +131,8 @@ def cumulative_impact(impact: DataFrame, quirks: Quirks = REPRODUCE) -> DataFram
     """Running impact inside a streak, and as a change of the top-level rate.
 
     The summed value is the impact since the streak began (K9); corrected, the weekly impact. The window
-    leaves the cohort out (K8) unless corrected.
+    leaves the cohort out (K8) unless corrected. Where the rows are partitioned by ``series_partitioning``, as in
+    the report, it needs no shuffle either way.
     """
     keys = ["metric_number", "streak_group"] if quirks.monitor_ignores_cohort else [*SERIES, "streak_group"]
     running = W.partitionBy(*keys).orderBy("week_start").rangeBetween(W.unboundedPreceding, W.currentRow)

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 
-from sluice.operators.metrics import METRICS, metric_base, metric_diffs, metric_lags, metric_long, metric_prev_month
+from sluice.operators.metrics import METRICS, metric_base, metric_diffs, metric_lags, metric_long, metric_prev_month, with_base
 from sluice.operators.variance import (
     accumulated_decline,
     cumulative_impact,
@@ -15,6 +15,7 @@ from sluice.operators.variance import (
     guardrails,
     holiday_weeks,
     impact_translation,
+    series_partitioning,
     streak_start_value,
     variance_thresholds,
 )
@@ -68,7 +69,8 @@ def declines(long: DataFrame, quirks: Quirks = REPRODUCE) -> DataFrame:
 
 def impacts(base: DataFrame, quirks: Quirks = REPRODUCE, metrics: Sequence[Metric] = METRICS) -> DataFrame:
     """Declines as lost conversions, with thresholds and the cumulative impact."""
-    translated = impact_translation(declines(metric_long(base, metrics), quirks), base, metrics, quirks)
+    long = series_partitioning(metric_long(with_base(base, quirks), metrics), quirks)
+    translated = impact_translation(declines(long, quirks), None, metrics, quirks)
     return cumulative_impact(variance_thresholds(translated, metrics, quirks), quirks)
 
 

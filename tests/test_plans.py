@@ -83,14 +83,46 @@ def test_steps_of_all_sources_take_one_shuffle(spark):
 
 
 def test_spine_is_shuffled_once_per_key(spark):
-    """Without broadcasts: one shuffle of the spine and one of each part, for all five parts and both keys."""
+    """Without broadcasts: one shuffle of the spine and one of each part, for all four parts and both keys."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         text = plan(applicant_funnel.all_steps(Tables(spark, FOLDER), FUNNEL))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert count(text, r"Exchange hashpartitioning\(_join_key") == 2 + 5
+    assert count(text, r"Exchange hashpartitioning\(_join_key") == 2 + 4
+
+
+def test_funnel_reads_every_source_once(spark, tmp_path):
+    """Each source is scanned once, but for the applicants: they are the spine and hold the milestones."""
+    tables = Tables(spark, FOLDER)
+    names = ("profile_submitted", "step_rendered", "step_submitted", "idv_steps", "activated", "idv_inquiry", "home_loaded", "access_impressions", "shifts", "applicants")
+    written = {}
+    for name in names:
+        tables[name].write.parquet(f"{tmp_path}/{name}")
+        written[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    before = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        text = initial(plan(applicant_funnel.all_steps(written, FUNNEL)))
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", before)
+    scans = {name: len(re.findall(rf"FileScan.*{tmp_path}/{name}\b", text)) for name in names}
+    assert scans == {name: 2 if name == "applicants" else 1 for name in names}
+    found = applicant_funnel.all_steps(written, FUNNEL)
+    assert found.exceptAll(applicant_funnel.all_steps(tables, FUNNEL)).isEmpty()
+
+
+def test_impressions_are_combined_before_they_meet_the_milestones(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["gated_impressions"](spark, FOLDER))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    below = first_below(text, "Exchange hashpartitioning(gate_id", ("HashAggregate", "FileScan"))
+    assert "HashAggregate" in below and below.count("FileScan") <= 1  # the other side: the milestones
+    assert re.search(r"partial_collect_list\(at", text)
 
 
 def test_fill_is_a_projection(spark, tmp_path):

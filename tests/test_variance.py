@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import math
 import random
+from collections import Counter
 from datetime import date, timedelta
+from fractions import Fraction
 
 import pytest
 from pyspark.errors import ArithmeticException
@@ -9,12 +12,14 @@ from pyspark.sql import functions as F
 
 from sluice.operators.metrics import (
     COUNTS,
+    exact_mean,
     metric_base,
     metric_diffs,
     metric_lags,
     metric_long,
     metric_monthly_avg,
     metric_prev_month,
+    with_base,
 )
 from sluice.operators.variance import (
     accumulated_decline,
@@ -242,3 +247,68 @@ def test_report_columns(table):
         "cohort", "metric_value_p2w", "metric_value_p3w", "metric_value_p4w",
     }
     assert reproduced.count() == corrected.count() == 48
+
+
+@pytest.mark.parametrize("quirks", [REPRODUCE, CORRECTED])
+def test_carried_base_equals_the_joined_one(table, quirks):
+    """Weeks with one, two and three cohorts: what travels with the rows is what a join would find."""
+    counts = conversions(table, ROWS).union(conversions(table, ROWS[:2], "d")).union(conversions(table, ROWS[1:2], "e"))
+    base = metric_base(counts, AS_OF)
+    keys = ["cohort", "week_start", "metric_number", "impact_weight", "impact_wow_diff", "impact_acc_diff", "impact_lm_avg_diff", "_base.applicants"]
+    carried = impact_translation(declines(metric_long(with_base(base, quirks)), quirks), quirks=quirks).select(*keys)
+    joined = impact_translation(declines(metric_long(base), quirks), base, quirks=quirks).select(*keys)
+    assert Counter(map(tuple, carried.collect())) == Counter(map(tuple, joined.collect()))
+
+
+def fraction_mean(values):
+    own = [v for v in values if v is not None]
+    return float(sum(map(Fraction, own)) / len(own)) if own else None
+
+
+def means(spark, groups):
+    rows = [(g, v) for g, values in groups.items() for v in values]
+    random.Random(1).shuffle(rows)
+    found = exact_mean(spark.createDataFrame(rows, "g string, v double").repartition(3), "v", "mean", ["g"])
+    assert found.columns == ["g", "v", "mean"]
+    return {r["g"]: r["mean"] for r in found.collect()}
+
+
+def test_means_are_exact(spark):
+    pick = random.Random(2)
+    groups = {
+        "wide": [1e20, 1e-20] * 2500, "cancel": [1e20, -1e20, 1e-20], "many": [pick.uniform(-1, 1) * 10 ** pick.randint(-12, 12) for _ in range(5000)],
+        "thirds": [1 / 3] * 7, "tenths": [0.1] * 3, "large": [1.7e308] * 3, "tiny": [5e-324, 5e-324], "tiny and one": [5e-324, 1.0], "zeros": [0.0, -0.0], "none": [None, None],
+        "some": [None, 2.0, 3.0], "powers": [2.0**k for k in range(-60, 60)], "negative": [-0.7, -0.7], "one": [123456.789],
+    }
+    found = means(spark, groups)
+    for name, values in groups.items():
+        expected = fraction_mean(values)
+        if name in ("thirds", "tenths", "large", "tiny", "zeros", "none", "negative", "one", "some"):
+            assert found[name] == expected, name
+        else:
+            assert math.isclose(found[name], expected, rel_tol=4e-16), name
+    assert means(spark, {k: v[::-1] for k, v in groups.items()}) == found
+
+
+def test_means_of_what_is_no_number(spark):
+    found = means(spark, {"nan": [1.0, float("nan")], "inf": [float("inf"), 1.0], "both": [float("inf"), float("-inf"), 2.0]})
+    assert math.isnan(found["nan"]) and found["inf"] == float("inf") and math.isnan(found["both"])
+
+
+def test_equal_months_are_no_decline(spark):
+    """A rate that decimals can't hold, the same for two months."""
+    weeks = [(MONDAY + timedelta(weeks=i), "c", "R0", "cvr_0_apply_to_fd", 1 / 3) for i in range(9)]
+    long = spark.createDataFrame(weeks, "week_start date, cohort string, metric_number string, metric_name string, metric_value double")
+    found = declines(long).orderBy("week_start").collect()
+    assert {r["metric_value_last_month_avg"] for r in found} == {None, 1 / 3} and {r["lm_avg_decline_flag"] for r in found} == {0}
+
+
+def test_report_reads_once_and_shuffles_no_window_twice(spark, table, tmp_path):
+    conversions(table, ROWS).write.parquet(f"{tmp_path}/conversions")
+    written = spark.read.parquet(f"{tmp_path}/conversions")
+    for quirks in (REPRODUCE, CORRECTED):
+        text = impacts(metric_base(written, AS_OF), quirks)._jdf.queryExecution().executedPlan().toString()
+        assert text.count("FileScan") == 1 and "Join" not in text
+        # Above the exchange by series nothing is shuffled again: lags, means, streaks, cumulative impact.
+        above = text[: text.index("REPARTITION_BY_COL")]
+        assert above.count("Exchange") == 1 and above.count("Window [") >= 5
