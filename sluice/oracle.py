@@ -141,6 +141,22 @@ FROM o_source_firsts g GROUP BY g.entity_id, g.bucket"""
 _SUBSTEPS = ",\n".join(
     f"{looked_up('o_identified', 'any_id', f'''name = '{value}' ''')} AS {name}" for name, value in IDV.items()
 )
+PARTS["o_step_events"] = f"""
+SELECT user_id AS link, 'profile_submit' AS step, ts FROM profile_submitted
+UNION ALL SELECT link, CASE page_id WHEN 'vehicle' THEN 'vehicle_type_rendered' WHEN 'identity' THEN 'idv_render' WHEN 'check' THEN 'bgc_form_rendered' END, ts
+    FROM step_rendered
+UNION ALL SELECT link, CASE page_id WHEN 'vehicle' THEN 'vehicle_type_submit' WHEN 'check' THEN 'bgc_submit' WHEN 'check_status' THEN 'bgc_submit_intl' END, ts
+    FROM step_submitted
+UNION ALL SELECT user_id, 'idv_start', ts FROM idv_steps WHERE name = 'start'
+UNION ALL SELECT any_id, CASE name {" ".join(f"WHEN '{value}' THEN '{name}'" for name, value in IDV.items())} END, ts FROM o_identified
+UNION ALL SELECT link, 'account_activation', ts FROM activated"""
+_STEP_NAMES = (
+    "profile_submit", "vehicle_type_rendered", "idv_render", "bgc_form_rendered", "vehicle_type_submit", "bgc_submit", "bgc_submit_intl", "idv_start", *IDV, "account_activation",
+)
+PARTS["o_step_touches"] = (
+    "SELECT link, " + ", ".join(f"{local('min(ts) FILTER (step = ' + repr(n) + ')')} AS {n}" for n in _STEP_NAMES)
+    + " FROM o_step_events WHERE link IS NOT NULL AND step IS NOT NULL GROUP BY link"
+)
 PARTS["o_wide"] = f"""
 SELECT a.applicant_id, a.entity_id, a.link, a.applied_date, a.first_dash_date,
     {looked_up('profile_submitted', 'user_id', 'true')} AS profile_submit,
@@ -505,6 +521,8 @@ STATEMENTS: dict[str, str] = {
         for n, p in (("vehicle_type_rendered", "vehicle"), ("idv_render", "identity"), ("bgc_form_rendered", "check"))
     )
     + " FROM o_links a) WHERE coalesce(vehicle_type_rendered, idv_render, bgc_form_rendered) IS NOT NULL",
+    "step_touches": "SELECT * FROM o_step_touches",
+    "step_touches_stream": "SELECT * FROM o_step_touches",
     "first_touch_coalesced_id": "SELECT * FROM (SELECT a.any_id, "
     + ", ".join(f"{looked_up('o_identified', 'any_id', f'''name = '{v}' ''', 'a.any_id')} AS {n}" for n, v in IDV.items())
     + " FROM (SELECT DISTINCT any_id FROM o_identified) a) WHERE coalesce(" + ", ".join(IDV) + ") IS NOT NULL",
@@ -632,6 +650,7 @@ FROM (SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, count(*) AS eve
 
 
 STATEMENTS |= {
+    "first_touch_stream": STATEMENTS["first_touch"],
     "published_funnel": STATEMENTS["funnel_publish"],
     "published_conversions": STATEMENTS["cohort_conversion_rollup"],
     "published_variances": STATEMENTS["variance_report"],

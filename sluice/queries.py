@@ -32,10 +32,11 @@ from sluice.plans.driver_setup import (
 from sluice.plans.order_lifecycle import order_lifecycle
 from sluice.plans.verification_funnel import verification_funnel
 from sluice.plans.waitlist_report import waitlist_report
-from sluice.sources.driver_tables import Tables, derived, driver_table
+from sluice.sources.driver_tables import SCHEMAS, Tables, derived, driver_table
 from sluice.sources.holidays import holidays
 from sluice.sources.storage import publish, session_staging
 from sluice.specs import Measure, Step
+from sluice.streaming import first_touch as stream_touch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,6 +74,33 @@ def first_touch(spark, folder):
     return touch.first_touch(derived(spark, folder, "step_rendered"), "link", _page_steps(), zone=ZONE)
 
 
+def _streamed(spark, folder) -> Tables:
+    """The derived tables over the events as a stream of files."""
+    tables = Tables(spark, folder)
+    # A pattern, because a stream's path has to be a folder or a pattern.
+    tables["events"] = spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", 4).parquet(f"{folder}/event[s].parquet")
+    return tables
+
+
+@query
+def first_touch_stream(spark, folder):
+    """The first touches of ``first_touch``, kept by a stream."""
+    events = _streamed(spark, folder)["step_rendered"]
+    return stream_touch.first_touch_stream([(events, "link", _page_steps(), "ts")], "link", session_staging(spark).path, ZONE)
+
+
+@query
+def step_touches_stream(spark, folder):
+    """All steps of all sources of the funnel, kept by one stream."""
+    sources = list(funnel_plan.step_sources(_streamed(spark, folder), FUNNEL).values())
+    return stream_touch.first_touch_stream(sources, "link", session_staging(spark).path, ZONE)
+
+
+@query
+def step_touches(spark, folder):
+    return funnel_plan.step_touches(Tables(spark, folder), FUNNEL)
+
+
 @query
 def first_touch_coalesced_id(spark, folder):
     steps = [Step(name, f"name = '{value}'") for name, value in FUNNEL.idv_names.items() if name != "idv_start"]
