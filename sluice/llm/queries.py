@@ -118,7 +118,7 @@ LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz
 
 def _hits(terms: tuple[str, ...]) -> str:
     """The number of terms that stand alone in host and path."""
-    return " + ".join(f"CAST(regexp_matches(lower(host || path), '(^|[^a-z0-9]){t}([^a-z0-9]|$)') AS INT)" for t in terms)
+    return " + ".join(f"CAST(regexp_matches(lower(host || path), '(^|[^\\p{{L}}\\p{{N}}]){t}([^\\p{{L}}\\p{{N}}]|$)') AS INT)" for t in terms)
 
 #: Words between white space.
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"

@@ -48,7 +48,7 @@ def test_statements_of_every_kind_of_row(spark, connection, tmp_path):
         [(1, None), (2, ""), (3, "A\nlong enough line\n b"), (4, "x\n LONG enough line \t"), (5, "a\nlong ENOUGH line\n b"), (6, "a\nlong enough line\n b")], "doc_id long, text string"
     )
     pages = spark.createDataFrame(
-        [(1, None), (2, "nothing"), (3, "http://www.EXAMPLE.com/en/1"), (4, "http://a.example.com/en/?x"), (5, "a://b.net/es/"), (6, "x://casino.org"), (7, "x://a.org/free/win"), (8, "x://freewin.org"), (9, "x://h?a/b://c")],
+        [(1, None), (2, "nothing"), (3, "http://www.EXAMPLE.com/en/1"), (4, "http://a.example.com/en/?x"), (5, "a://b.net/es/"), (6, "x://casino.org"), (7, "x://a.org/free/win"), (8, "x://freewin.org"), (9, "x://h?a/b://c"), (10, "x://a.org/écasino"), (11, "x://a.org/casino٣"), (12, "x://a.org/é/casino–x"), (13, "x://a.org/_casino_")],
         "page_id long, url string",
     )
     documents.write.parquet(f"{tmp_path}/documents.parquet")
