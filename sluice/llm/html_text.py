@@ -71,18 +71,23 @@ def _names(text: str, article: bool) -> set[str]:
     return found
 
 
+NONE: frozenset[str] = frozenset()
+
+
 class _Node:
     """An element. ``hard``: never text, with all that stands in it; ``soft``: the innermost element, itself included,
     that its form tag or role, class or id tells not to be, unless it turns out to hold the article; ``beside``: its
-    name is one of BESIDE; ``article``: the outermost article or main that it stands in."""
+    name is one of BESIDE; ``article``: the outermost article or main that it stands in; ``box``: the innermost container
+    or root, itself included; ``name``: its own part of the path."""
 
-    __slots__ = ("tag", "parent", "path", "hard", "soft", "beside", "holds", "chars", "article", "dropped", "link", "score")
+    __slots__ = ("tag", "parent", "name", "box", "hard", "soft", "beside", "holds", "chars", "article", "dropped", "link", "score")
 
     def __init__(self, tag: str, parent: _Node | None, attrs: dict[str, str]):
         classes = sorted({DIGITS.sub("N", c) for c in attrs.get("class", "").split()})
         names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
         self.tag, self.parent, self.score = tag, parent, 0.0
-        self.path = f"{parent.path if parent else ''}/{'.'.join([tag, *classes])}"
+        self.name = f"/{'.'.join([tag, *classes])}" if parent else ""
+        self.box = self if tag in CONTAINER or parent is None else parent.box
         within = parent.article if parent else None
         self.article = within or (self if tag in ("article", "main") else None)
         article_header = tag == "header" and (within is not None or not OF_ARTICLE.isdisjoint(w.lower() for w in WORD.findall(names)))
@@ -99,9 +104,18 @@ class _Node:
         self.hard = own or (parent is not None and parent.hard)
         self.soft = self if tag == "form" or role == "form" or said else parent.soft if parent else None
         self.beside = not said.isdisjoint(BESIDE)
-        self.holds, self.chars, self.dropped = set(), 0, False
+        self.holds, self.chars, self.dropped = NONE, 0, False
         self.link = tag == "a" or (parent is not None and parent.link)
 
+    @property
+    def path(self) -> str:
+        """The names from the root to the element. Elements keep their own name only: a page may be nested very deeply."""
+        names, at = [], self
+        while at is not None:
+            names.append(at.name)
+            at = at.parent
+        return "".join(reversed(names))
+
 
 class Page(HTMLParser):
     """A page's text runs, each with its element and the number of its block."""
@@ -109,7 +123,6 @@ class Page(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.open = [_Node("", None, {})]
-        self.open[0].path = ""
         self.nodes = self.open[:]
         self.block = 0
         self.headed = False
@@ -132,7 +145,7 @@ class Page(HTMLParser):
                 if node.tag in ("article", "main") and not node.hard:
                     at = node.soft
                     while at is not None:
-                        at.holds.add(node.tag)
+                        at.holds |= {node.tag}
                         at = at.parent.soft
             total, free, within = 0, False, {}
             for node, _, data in self.runs:
@@ -203,15 +216,27 @@ class Page(HTMLParser):
         for node, _, data in self.runs:
             if node.dropped or not (n := len(data.strip())):
                 continue
-            worth, share, at = (-float(n) if node.link else n + 10.0 * data.count(",")), 1.0, node
+            worth, share, at = (-float(n) if node.link else n + 10.0 * data.count(",")), 1.0, node.box
             while at is not None and share > 0.2:
-                if at.tag in CONTAINER or at.parent is None:
-                    at.score += worth * share
-                    scored[id(at)] = at
-                    share *= 0.5
-                at = at.parent
-        top = max(scored.values(), key=lambda x: (x.score * (1.5 if x.tag in ("article", "main") else 1.0), x.path), default=None)
-        return (self._enclosing(top).path, max(top.score, 0.0)) if top else ("", 0.0)
+                at.score += worth * share
+                scored[id(at)] = at
+                share *= 0.5
+                at = at.parent and at.parent.box
+        if not scored:
+            return "", 0.0
+
+        def rank(node: _Node) -> float:
+            return node.score * (1.5 if node.tag in ("article", "main") else 1.0)
+
+        most = max(map(rank, scored.values()))
+        ties = {i for i, x in scored.items() if rank(x) == most}
+        above: set[int] = set()  # of ties, an element's path comes after those it stands in
+        if len(ties) > 1:
+            for node in reversed(self.nodes):
+                if node.parent is not None and (id(node) in ties or id(node) in above):
+                    above.add(id(node.parent))
+        top = max((scored[i] for i in ties - above), key=lambda x: x.path)
+        return self._enclosing(top).path, max(top.score, 0.0)
 
     def _enclosing(self, top: _Node) -> _Node:
         """The container that the best one is a part of: the outermost article around it, or else main.
@@ -233,16 +258,18 @@ class Page(HTMLParser):
         # Of each element of the chain, the characters outside and inside links, words and headings that the one below lacks.
         place = {id(x): i for i, x in enumerate(chain)}
         joins: dict[int, tuple[int, bool, bool]] = {}
+        for node in self.nodes:  # the root is in the chain, and parents come first
+            if id(node) in place:
+                joins[id(node)] = place[id(node)], False, False
+            else:
+                i, heading, title = joins[id(node.parent)]
+                joins[id(node)] = i, heading or node.tag in HEADINGS, title or node.tag == "h1"
         plain, linked, words, headed = ([0] * len(chain) for _ in range(4))
         for node, _, data in self.runs:
             if node.dropped or not (n := len(data.strip())):
                 continue
-            if (found := joins.get(id(node))) is None:
-                at, heading, title = node, False, False
-                while id(at) not in place:
-                    heading, title, at = heading or at.tag in HEADINGS, title or at.tag == "h1", at.parent
-                found = joins[id(node)] = (place[id(at)], heading, node.link and not title)
-            i, heading, link = found
+            i, heading, title = joins[id(node)]
+            link = node.link and not title
             linked[i] += n * link
             plain[i] += n * (not link)
             words[i] += len(data.split())
@@ -261,17 +288,17 @@ class Page(HTMLParser):
 
     def text(self, path: str) -> str | None:
         """The blocks of the elements at ``path``, or None if there is no text."""
-        blocks: dict[int, list[str]] = {}
+        # How much of ``path`` the names down to an element spell, -1 where they spell something else.
+        spelled: dict[int, int] = {}
         inside: dict[int, bool] = {}
+        for node in self.nodes:
+            at = 0 if node.parent is None else spelled[id(node.parent)]
+            at = at + len(node.name) if at >= 0 and path.startswith(node.name, at) else -1
+            spelled[id(node)] = at
+            inside[id(node)] = at == len(path) or node.parent is not None and inside[id(node.parent)]
+        blocks: dict[int, list[str]] = {}
         for node, block, data in self.runs:
-            if node.dropped:
-                continue
-            if (held := inside.get(id(node))) is None:
-                at = node
-                while at is not None and at.path != path:
-                    at = at.parent
-                held = inside[id(node)] = at is not None
-            if held:
+            if not node.dropped and inside[id(node)]:
                 blocks.setdefault(block, []).append(data)
         found = [x for x in (" ".join("".join(b).split()) for b in blocks.values()) if x]
         return "\n\n".join(found) if found else None
