@@ -144,6 +144,22 @@ def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy().reshape(-1, dim)
 
 
+def _centred(vectors: np.ndarray) -> tuple[np.ndarray, float]:
+    """What to subtract from vectors and divide them by before distances are made from norms and inner products.
+
+    Those lose all digits where vectors share an offset much larger than their spread, and overflow where one is huge. The
+    middle is the components' median, which a few huge vectors don't move. Distances keep their order.
+    """
+    middle = np.median(vectors / 2, axis=0) * 2
+    with np.errstate(over="ignore"):
+        largest = np.abs(vectors / 2 - middle / 2).max(initial=0.0) * 2
+    return middle, min(largest, np.finfo(float).max) or 1.0
+
+
+def _scaled(vectors: np.ndarray, middle: np.ndarray, scale: float) -> np.ndarray:
+    return (vectors / 2 - middle / 2) / (scale / 2)
+
+
 def _index(group: pa.Table) -> pa.Table:
     """A shard's row. Equal vectors are one node; its ids are ``ids[starts[node]:starts[node + 1]]``, smallest first."""
     dim = group.column("dim")[0].as_py()
@@ -155,7 +171,7 @@ def _index(group: pa.Table) -> pa.Table:
     by = np.argsort(node, kind="stable")
     by = by[np.append(True, (node[by][1:] != node[by][:-1]) | (ids[by][1:] != ids[by][:-1]))]  # a repeated row counts once
     starts = np.append(0, np.cumsum(np.bincount(node[by])))
-    edges, entry = build(x[first].astype(np.float32))
+    edges, entry = build(_scaled(x[first], *_centred(x[first])))
     row = {
         "dim": pa.array([dim], pa.int32()), "shard": group.column("shard").slice(0, 1), "ids": [ids[by].tobytes()], "starts": [starts.tobytes()],
         "vectors": [x[first].tobytes()], "edges": [edges.astype(np.int32).tobytes()], "entry": pa.array([entry], pa.int32()),
@@ -211,14 +227,15 @@ def _answers(shard: dict, part: pa.RecordBatch, k: int, beam: int) -> Iterator[p
         return
     part, dim = part.filter(pa.array(where)), shard["dim"]
     exact = np.frombuffer(shard["vectors"]).reshape(-1, dim)
-    x = exact.astype(np.float32)
+    middle, scale = _centred(exact)
+    x = _scaled(exact, middle, scale)
     norms = np.einsum("ij,ij->i", x, x)
     edges = np.frombuffer(shard["edges"], np.int32).reshape(len(x), -1).astype(np.int64)
     ids, starts = np.frombuffer(shard["ids"], np.int64), np.frombuffer(shard["starts"], np.int64)
     for start in range(0, part.num_rows, BATCH):
         some = part.slice(start, BATCH)
         own, points = some.column("vec_id").to_numpy(), _matrix(some.column("vector"), dim)
-        nodes, _ = beam_search(x, norms, edges, shard["entry"], points.astype(np.float32), min(max(beam, 2 * k), len(x)))
+        nodes, _ = beam_search(x, norms, edges, shard["entry"], np.clip(_scaled(points, middle, scale), -1e150, 1e150), min(max(beam, 2 * k), len(x)))
         out: list[tuple[int, int, float]] = []
         for q, point, row in zip(own.tolist(), points, nodes):
             row = row[row >= 0]
