@@ -82,7 +82,8 @@ def exponent(totals: DataFrame, entropy: float | None, repeats: float | None, bu
     if goal is not None:
         found.append(bisected(lambda a, z, h: h <= goal))
     if repeats is not None and budget is None:
-        found.append(max(0.0, 1.0 - math.log(max(repeats, 1.0)) / math.log(p_most / p_least)) if repeats < p_most / p_least else 0.0)
+        # The smallest source's use against the largest one's, which is used once.
+        found.append(bisected(lambda a, z, h: (p_least / p_most) ** (a - 1.0) <= max(repeats, 1.0)))
     elif repeats is not None:
         found.append(bisected(lambda a, z, h: budget / total * p_least ** (a - 1.0) / z <= repeats))
     return max(found) if len(found) > 1 else 1.0
@@ -124,29 +125,31 @@ def temperature_mix(
     document's uses from 1, blocks of an epoch come in the order of ``block``, and ``place`` is the place within one.
 
     A null source is a source. A null text has one token. Repeated rows are documents of their own. A document without
-    an id is mixed as any other. No rows give no rows.
+    an id is mixed as any other: documents are dealt by id and text, so that many rows without one, or with one id, don't
+    make one large block. No rows give no rows.
     """
     kept = [c for c in documents.columns if c.lower() not in ADDED and (keep_text or c != text)]
     # The documents' own columns travel as one, so none of their names can clash.
     rows = documents.select(
-        F.struct(*kept).alias("row"), F.col(doc_id).alias("id"), _name(F.col(source)).alias("name"), n_tokens(F.col(text).cast("string")).alias("n_tokens")
+        F.struct(*kept).alias("row"), F.col(doc_id).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("mark"), _name(F.col(source)).alias("name"),
+        n_tokens(F.col(text).cast("string")).alias("n_tokens"),
     )
     totals = staged(rows.groupBy("name").agg(F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens")))
     if budget is None and not whole:
         budget = float(totals.agg(F.sum("tokens")).first()[0] or 0)
     weights = source_weights(totals, entropy, repeats, budget)
     salted = staged(weights.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(SALTS)).cast("int")).join(salted, ["name", "salt"])
-    part = F.pmod(F.xxhash64("id", F.lit(seed), F.lit("block")), F.ceil(F.col("docs") / F.lit(block_docs)))
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("id", "mark", F.lit(seed)), F.lit(SALTS)).cast("int")).join(salted, ["name", "salt"])
+    part = F.pmod(F.xxhash64("id", "mark", F.lit(seed), F.lit("block")), F.ceil(F.col("docs") / F.lit(block_docs)))
     dealt = dealt.withColumn("part", part)
 
     group = W.partitionBy("name", "part")
-    order = group.orderBy(F.xxhash64("id", F.lit(seed), F.floor("used") + 1), "id", "n_tokens")
+    order = group.orderBy(F.xxhash64("id", "mark", F.lit(seed), F.floor("used") + 1), "id", "n_tokens")
     before = F.coalesce(F.sum("n_tokens").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     share = F.col("used") - F.floor("used")
     within = before + F.col("n_tokens") / 2 <= share * F.sum("n_tokens").over(group)
     uses = F.floor("used").cast("int") + F.when((share > 0) & within, 1).otherwise(0)
     taken = dealt.withColumn("uses", uses).filter("uses > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("uses"))))
-    permuted = W.partitionBy("name", "part", "epoch").orderBy(F.xxhash64("id", F.lit(seed), "epoch"), "id", "n_tokens")
+    permuted = W.partitionBy("name", "part", "epoch").orderBy(F.xxhash64("id", "mark", F.lit(seed), "epoch"), "id", "n_tokens")
     block = F.xxhash64("name", "part", F.lit(seed), "epoch")
     return taken.select("row.*", "n_tokens", "weight", "epoch", block.alias("block"), F.row_number().over(permuted).alias("place"))
