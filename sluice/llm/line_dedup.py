@@ -1,6 +1,6 @@
 """Line dedup with a sharded minimal perfect hash.
 
-Documents are dealt over chunks by a hash of their id. A chunk's lines give one entry for each distinct key: 128 bits
+Documents are dealt over chunks by a hash of their id and text. A chunk's lines give one entry for each distinct key: 128 bits
 of hash, the smallest and the largest id and the number of documents that hold it. Entries of all chunks are summed
 for each key, keys are dealt over shards by hash, and every shard builds a minimal perfect hash over its keys. It
 numbers the keys from 0 without gaps, so a shard is three plain arrays: fingerprint, number of documents, smallest id.
@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import parts, rows_of, slices, staged, utf8
 
-CHUNK_DOCS = 1024
+#: Documents of a chunk, and bytes of their texts, about.
+CHUNK_DOCS, CHUNK_BYTES = 1024, 1 << 24
 SHARD_ENTRIES = 200_000
 MARGIN = b" \t\n\x0b\x0c\r"
 LEAST = 10
@@ -159,8 +160,10 @@ def line_dedup(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
     names. No rows give no rows.
     """
     source = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    chunks = parts(documents.count(), chunk_docs)
-    source = source.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)))
+    size = source.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    chunks = max(parts(size.rows, chunk_docs), parts(size.bytes, CHUNK_BYTES))
+    # By the text, too: rows without an id, or with one id, may be very many. Their parts meet again in each key's ids.
+    source = source.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
     lines = source.mapInArrow(_entries, "chunk long, doc_id long, high long, low long")
     place = F.coalesce("doc_id", F.lit(NO_ID))
     entries = staged(lines.groupBy("chunk", "high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("docs")))
