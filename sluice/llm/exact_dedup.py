@@ -17,7 +17,9 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -70,18 +72,65 @@ def _parent(place: F.Column, r: int, fanout: int) -> F.Column:
     return F.col("node") + (_digit(place, r, fanout) - _digit(F.col("node"), r, fanout)) * F.lit(fanout**r)
 
 
-def _exchange(runs: DataFrame, place: F.Column, r: int, fanout: int, nodes: int, best) -> DataFrame:
+RUN = "node long, digest binary, n_bytes long, check long, keep_id long, size long"
+
+
+def _merging(keep: str):
+    """Rows sorted by node and key -> one row for each, with the winning id and the sum of sizes.
+
+    What a node gets are the sorted pieces of several runs, which Spark's sort has merged; equal keys stand next to each
+    other, so one row of state is all that goes from batch to batch.
+    """
+    worst = {"smallest": (1 << 63) - 1, "largest": -(1 << 63)}[keep]
+    best = {"smallest": np.minimum, "largest": np.maximum}[keep]
+
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """The batch with equal successive keys merged."""
+        if batch.num_rows < 2:
+            return batch
+        differs = np.zeros(batch.num_rows - 1, bool)
+        for name in ("node", *KEY):
+            column = batch.column(name)
+            differs |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        starts = np.append(0, np.flatnonzero(differs) + 1)
+        ids = batch.column("keep_id")
+        known = np.add.reduceat(pc.is_valid(ids).to_numpy(zero_copy_only=False).astype(np.int64), starts) > 0
+        winners = best.reduceat(pc.fill_null(ids, worst).to_numpy(zero_copy_only=False), starts)
+        sizes = np.add.reduceat(batch.column("size").to_numpy(), starts)
+        kept = batch.select(["node", *KEY]).take(pa.array(starts))
+        return pa.RecordBatch.from_arrays([*kept.columns, pa.array(winners, mask=~known), pa.array(sizes)], names=batch.schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            whole = batch if last is None else pa.Table.from_batches([last, batch.cast(last.schema)]).combine_chunks().to_batches()[0]
+            merged = rows(whole)
+            last = merged.slice(merged.num_rows - 1)
+            yield merged.slice(0, merged.num_rows - 1)
+        if last is not None:
+            yield last
+
+    return run
+
+
+def _merged(pieces: DataFrame, nodes: int, keep: str) -> DataFrame:
+    """Each node's run: the pieces it gets, sorted and merged. ``pieces`` has the columns of ``RUN``."""
+    names = ["node", *KEY, "keep_id", "size"]
+    met = pieces.select(*names).repartitionById(nodes, F.col("node").cast("int")).sortWithinPartitions("node", *KEY)
+    return met.mapInArrow(_merging(keep), RUN)
+
+
+def _exchange(runs: DataFrame, place: F.Column, r: int, fanout: int, nodes: int, keep: str) -> DataFrame:
     """One binomial round: nodes that differ in digit r exchange the pieces of their runs and merge what they get."""
-    sent = runs.select(_parent(place, r, fanout).alias("node"), *KEY, "keep_id", "size")
-    met = sent.repartition(nodes, "node").sortWithinPartitions("node", *KEY)
-    return met.groupBy("node", *KEY).agg(best("keep_id").alias("keep_id"), F.sum("size").alias("size"))
+    return _merged(runs.withColumn("node", _parent(place, r, fanout)), nodes, keep)
 
 
 def tree_merge(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: str = "smallest", leaf_rows: int = LEAF_ROWS, fanout: int = FANOUT
 ) -> DataFrame:
     """doc_id, digest, n_bytes, check, copies, keep_id, size: one row for each id and text, ``copies`` of which there are."""
-    best = {"smallest": F.min, "largest": F.max}[keep]
     found = staged(digests(documents, doc_id, text))
     rounds = 0
     while fanout**rounds < parts(rows_of(found), leaf_rows):
@@ -91,10 +140,10 @@ def tree_merge(
     place = F.pmod(F.conv(F.hex(F.substring("digest", 25, 7)), 16, 10).cast("long"), F.lit(nodes))
     leaf = F.pmod(F.xxhash64("doc_id", "digest"), F.lit(nodes)).alias("leaf")
     entries = staged(found.groupBy(leaf, *KEY, "doc_id").agg(F.count("*").alias("copies")))
-    run = entries.groupBy(F.col("leaf").alias("node"), *KEY).agg(best("doc_id").alias("keep_id"), F.sum("copies").alias("size"))
-    levels = [staged(run)]
+    pieces = entries.select(F.col("leaf").alias("node"), *KEY, F.col("doc_id").alias("keep_id"), F.col("copies").alias("size"))
+    levels = [staged(_merged(pieces, nodes, keep))]
     for r in range(rounds):
-        levels.append(staged(_exchange(levels[-1], place, r, fanout, nodes, best)))
+        levels.append(staged(_exchange(levels[-1], place, r, fanout, nodes, keep)))
     # Back down the tree. A group of one row needs no answer.
     answers = levels[-1].filter("size > 1")
     for r in reversed(range(rounds)):
