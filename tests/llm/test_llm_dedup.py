@@ -8,8 +8,11 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from sluice.llm import exact_dedup, jaccard
+from sluice.llm import line_dedup as line_dedup_module
 from sluice.llm.components import components
 from sluice.llm.exact_dedup import duplicate_groups, without_duplicates
 from sluice.llm.jaccard import _folded, boundary, near_duplicates, overlap, parity, subset_sizes
@@ -211,3 +214,90 @@ def test_bits_bound_the_difference():
         width = min(len(x), len(y))
         assert np.bitwise_count(_folded(x, width) ^ _folded(y, width)).sum() <= n + m - 2 * both
         assert (_folded(x, len(x)) == x).all() and len(x) * 64 >= 2 * n
+
+
+def near_but_unlinked(n: int, seed: int = 5) -> list[tuple[int, str]]:
+    """Texts that share most shingles with one origin, but not enough with each other; the origin is not among them."""
+    pick = random.Random(seed)
+    origin = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(n):
+        words = list(origin)
+        for at in (pick.randrange(4, 60), pick.randrange(60, 116)):
+            words[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_pairs_of_a_list_stay_in_its_tasks(spark, monkeypatch):
+    """What the last pass hands on is linear in the documents: links that join components, and none if there are none."""
+    made = []
+    plain = jaccard._across_of
+
+    def counted(*lists):
+        found = jaccard.staged(plain(*lists))
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "_across_of", counted)
+    for n in (100, 300):
+        rows = near_but_unlinked(n)
+        found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == joined_brute(rows)
+    assert all(m <= n for m, n in zip(made, (100, 300)))
+
+
+@pytest.mark.parametrize(("sets", "shingles"), [(16, 1 << 21), (4096, 4000), (4096, 1 << 21)])
+def test_blocks_of_a_list_lose_no_link(spark, monkeypatch, sets, shingles):
+    """Chains of near copies with a common passage, in lists that are cut into many blocks."""
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", sets)
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", shingles)
+    pick = random.Random(sets + shingles)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for c in range(12):
+        words = [f"c{c}-{i}" for i in range(50)]
+        for k in range(15):
+            at = pick.randrange(len(words) - 3)
+            words = words[:at] + [f"n{c}-{k}"] + words[at + pick.choice([0, 1, 2]) :]
+            rows.append((len(rows), " ".join(passage + words if k % 2 else words[:25] + passage + words[25:])))
+    pick.shuffle(rows)
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == joined_brute(rows)
+
+
+def test_runs_are_sorted_and_merged(spark):
+    """Each round sorts what its nodes get and merges it in one pass, in three rounds here."""
+    rows = [(i, f"text {i % 40}") for i in range(300)]
+    table = clashing(spark, rows)
+    pieces = exact_dedup.digests(table).selectExpr("doc_id % 4 node", "digest", "n_bytes", "check", "doc_id keep_id", "1L size")
+    merged = exact_dedup._merged(pieces, 4, "smallest")
+    lines = merged._jdf.queryExecution().executedPlan().toString().splitlines()
+    merge = next(i for i, x in enumerate(lines) if "_merging" in x or "MapInArrow run" in x)
+    assert any("Sort [node" in x for x in lines[merge : merge + 3])
+    found = {(r.node, r.digest): (r.keep_id, r.size) for r in merged.collect()}
+    expected = defaultdict(list)
+    for i, t in rows:
+        expected[i % 4, hashlib.sha256(t.encode()).digest()].append(i)
+    assert found == {k: (min(v), len(v)) for k, v in expected.items()}
+    for keep, best in (("smallest", min), ("largest", max)):
+        deep = duplicate_groups(table, keep=keep, leaf_rows=5, fanout=4).collect()  # 60 leaves: three rounds
+        assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.digest.hex()) for r in deep) == exact_brute(rows, best)
+
+
+def test_merging_across_batches():
+    """Groups that go over the ends of batches, ids that are missing, and groups without any."""
+    rows = [(0, b"a", 1, 1, None, 2), (0, b"a", 1, 1, 5, 1), (0, b"a", 1, 1, 3, 1), (0, b"b", 1, 1, None, 1), (0, b"b", 1, 1, None, 4), (1, b"b", 1, 1, -7, 1), (1, b"b", 1, 2, 9, 1), (1, b"b", 2, 2, 9, 1)]
+    schema = pa.schema([("node", pa.int64()), ("digest", pa.binary()), ("n_bytes", pa.int64()), ("check", pa.int64()), ("keep_id", pa.int64()), ("size", pa.int64())])
+    table = pa.table(list(map(list, zip(*rows))), schema=schema)
+    for keep, first in (("smallest", 3), ("largest", 5)):
+        for size in (1, 2, 3, 8):
+            out = pa.Table.from_batches(exact_dedup._merging(keep)(iter(table.to_batches(max_chunksize=size)))).to_pylist()
+            assert [tuple(r.values()) for r in out] == [(0, b"a", 1, 1, first, 4), (0, b"b", 1, 1, None, 5), (1, b"b", 1, 1, -7, 1), (1, b"b", 1, 2, 9, 1), (1, b"b", 2, 2, 9, 1)]
+    assert list(exact_dedup._merging("smallest")(iter([]))) == []
+
+
+def test_lines_of_rows_without_an_id_are_dealt_over_chunks(spark, monkeypatch):
+    rows = [(None if i % 3 else 7, f"a line that many share\nits own line number {i}\nanother one of {i % 50}") for i in range(240)] + [(3, "a line that many share"), (900, "long " * 3000)]
+    monkeypatch.setattr(line_dedup_module, "CHUNK_BYTES", 2000)
+    assert Counter(tuple(r) for r in line_dedup(clashing(spark, rows), chunk_docs=20).collect()) == lines_brute(rows)

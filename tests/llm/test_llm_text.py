@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -22,7 +23,8 @@ from sluice.llm import html_text as pages
 from sluice.llm import vamana
 from sluice.llm.language import SIZE, UNKNOWN, Profiles, fitted, grams, held_out, predicted, ranked
 from sluice.llm.mixing import exponent, temperature_mix
-from sluice.llm.packing import best_fit_packing, packed, patterns, token_pieces
+from sluice.llm.packing import best_fit_packing, best_patterns, by_patterns, pack, packed, token_pieces
+from sluice.llm.packing import fitted as fit_patterns
 from sluice.llm.token_counts import token_counts
 from sluice.llm.tokens import Encoder
 from sluice.llm.url_filter import RULES, fitting, host_and_path, judged_urls, term_hits
@@ -97,9 +99,47 @@ def test_any_lengths_are_packed(case):
     assert len(set(sequence.tolist())) <= 1.7 * sum(lengths) / capacity + 2
 
 
-def test_patterns_fill_a_sequence():
-    found = patterns(16)
-    assert (found.sum(axis=1) == 16).all() and len({tuple(x) for x in found}) == len(found) and [16, 0, 0] in found.tolist()
+def test_best_patterns_equal_all_patterns():
+    pick = random.Random(2)
+    for steps in (4, 9, 12):
+        worth = np.array([0.0, *(pick.uniform(-2, 3) for _ in range(steps))])
+        found = best_patterns(worth, 4)
+        for k in range(1, 5):
+            every = [p for p in itertools.combinations_with_replacement(range(1, steps + 1), k) if sum(p) == steps]
+            gain, pattern = next((g, p) for g, p in found if len(p) == k)
+            assert gain == pytest.approx(max(sum(worth[list(p)]) for p in every)) == pytest.approx(worth[pattern].sum())
+            assert pattern.sum() == steps
+
+
+def test_fit_has_the_least_distance():
+    """Against all patterns: none lowers the distance, and those that are used don't change it."""
+    pick = np.random.default_rng(4)
+    histogram = np.array([0, *pick.integers(0, 400, 16)])
+    found = fit_patterns(histogram, 6)
+    made = sum(x * np.bincount(p, minlength=17) for p, x in found)
+    residual = histogram - made
+    for k in range(1, 7):
+        for p in itertools.combinations_with_replacement(range(1, 17), k):
+            if sum(p) == 16:
+                assert residual[list(p)].sum() <= 1.01
+    assert all(x > 0 and p.sum() == 16 for p, x in found) and len(found) <= 16
+    assert all(abs(residual[p].sum()) < 0.01 for p, _ in found)
+
+
+def test_most_pieces_come_from_patterns():
+    pick = np.random.default_rng(1)
+    lengths = np.clip(pick.lognormal(6.6, 0.9, 20_000).astype(np.int64), 1, 4096)
+    sequence, offset, made = by_patterns(lengths, 4096)
+    assert (sequence >= 0).mean() > 0.95 and np.bincount(sequence[sequence >= 0], lengths[sequence >= 0], made).max() <= 4096
+    assert len(set(packed(lengths, 4096)[0].tolist())) <= 1.006 * lengths.sum() / 4096 + 1
+
+
+def test_rows_without_an_id_are_dealt_over_shards(spark, monkeypatch):
+    monkeypatch.setattr("sluice.llm.packing.SHARD_ROWS", 100)
+    documents = spark.range(400).selectExpr("cast(null as long) doc_id", "concat('text number ', id) text").unionByName(spark.range(200).selectExpr("7 doc_id", "concat('other ', id) text"))
+    rows = pack(token_pieces(documents, FILES["word_bpe_49k.json"], 1, 64).selectExpr("doc_id", "piece", "start", "length", "crc32(ids) ids_crc32").cache(), 64, 100).collect()
+    shards = Counter(r.sequence_id >> 32 for r in rows)
+    assert sum(shards.values()) == 600 and max(shards.values()) < 200
 
 
 def slow_ranks(text):
@@ -369,3 +409,60 @@ def test_many_equal_vectors(spark):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     found = vamana.nearest(table, table.filter("vec_id = 300")).orderBy("rank").collect()
     assert [(r.vec_id, r.score) for r in found] == [(3 * i, 0.0) for i in range(10)]
+
+
+@pytest.mark.parametrize("offset", [0.0, 3e3, 1e4, 1e12])
+def test_index_recall_of_vectors_with_an_offset(offset):
+    """A graph of one shard, built and searched on centred vectors; an offset or a huge vector moves no neighbour."""
+    random_rows = np.random.default_rng(3)
+    x = random_rows.normal(size=(2000, 32)) + offset
+    x[17] *= 1e20
+    middle, scale = vamana._centred(x)
+    own = vamana._scaled(x, middle, scale)
+    edges, entry = vamana.build(own)
+    queries = np.arange(0, 2000, 100)
+    found, _ = vamana.beam_search(own, np.einsum("ij,ij->i", own, own), edges, entry, own[queries], 128)
+    hits = 0
+    for q, row in zip(queries.tolist(), found):
+        with np.errstate(over="ignore"):
+            far = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        far[q] = np.inf
+        hits += len(set(np.argsort(far)[:10].tolist()) & set(row.tolist()))
+    assert hits >= 0.9 * 10 * len(queries)
+
+
+def test_index_of_several_shards_equals_brute_force(spark):
+    random_rows = np.random.default_rng(5)
+    rows = [(i, (random_rows.normal(size=8) + 5000).tolist()) for i in range(600)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index, shards = vamana.graph_index(vectors, shard_rows=100)
+    found = vamana.search(index, shards, vectors.filter("vec_id % 50 = 0"))
+    true = nearest_brute(rows, range(0, 600, 50), 10)
+    got = defaultdict(list)
+    for r in found.collect():
+        got[r.query_id].append(r.vec_id)
+    assert sum(len(set(got[q]) & {i for _, i in true[q]}) for q in got) >= 0.9 * 10 * len(got) and len(got) == 12
+
+
+def test_mix_of_rows_without_an_id_makes_no_large_block(spark):
+    rows = [(None if i % 3 else 7, f"text {i}", "a") for i in range(900)] + [(i, f"other {i}", "b") for i in range(50)]
+    mixed = temperature_mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), entropy=None, repeats=2.0, whole=True, block_docs=50).collect()
+    assert {r.text for r in mixed} == {t for _, t, _ in rows}
+    assert max(Counter((r.source, r.epoch, r.block) for r in mixed).values()) < 120
+
+
+def test_exponent_of_many_sources_meets_the_limit(spark):
+    totals = spark.createDataFrame([(f"s{i}", 10.0 ** (i % 5 + 1)) for i in range(20)], "name string, tokens double")
+    a = exponent(totals, None, 2.0)
+    assert (1e-4) ** (a - 1) == pytest.approx(2.0, rel=1e-6) and exponent(totals, None, 1e9) == 0.0
+
+
+@pytest.mark.parametrize("opening", ["<b>x ", "<div class='k1 k2'>y ", "<section><p>z "])
+def test_pages_nested_very_deeply(opening):
+    """Elements keep their own part of the path only, so the work grows with the page."""
+    n = 30_000
+    tracemalloc.start()
+    text = pages.extracted(f"<html><body>{opening * n}", None)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(text.split()) == n and most < 150e6
