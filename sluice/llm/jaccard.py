@@ -16,8 +16,10 @@ arrays, not rows. Among the sets that are left, shingles of one set only come fi
 shared shingles of the prefix go into inverted lists. A list is scanned in size classes whose members differ by less than 4/3:
 each member is paired with its class's leader and that of the class below, which is linear in the list. Pairs are
 verified exactly on the sets, and links joined to components. Lists that still hold several components are scanned
-again, once with other leaders, and at last for all pairs across components that size, position and a bound on the
-difference from the sets' bits allow, so no link between components is lost. A group of near copies is one component by then, and its pairs are never listed.
+again with other leaders, and at last block by block with the sets themselves: pairs across components that size,
+position and a bound on the difference from the sets' bits allow are verified in the task, and only links that join
+components leave it. So no link between components is lost, and no list of pairs is ever made: what a task hands on is
+never more than its members. A group of near copies is one component by then, and its pairs are not looked at.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import SLICE_BYTES, parts, slices, staged, utf8
+from sluice.llm.common import SLICE_BYTES, parts, rows_of, slices, staged, utf8
 from sluice.llm.components import components
 from sluice.llm.shingles import set_hash, shingle_sets
 
@@ -44,6 +46,8 @@ SMALL = 12
 #: Shingles in a block of the packed exchange, and bits of the filter of documents.
 BLOCK, FILTER_BITS = 1 << 21, 1 << 24
 NO_ID = (1 << 63) - 1
+#: Sets, and shingles of them, in a block of a list whose pairs are compared; words of the bits that tell a block's centre.
+BLOCK_SETS, BLOCK_SHINGLES, CENTRE_WORDS = 4096, 1 << 21, 16
 #: The low bits of a shingle that stand for it within a block.
 LOW = np.uint64((1 << 40) - 1)
 
@@ -311,38 +315,128 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _pairs([np.array(out, np.int64).reshape(-1, 2)])
 
 
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by pair of blocks -> those members that may link with a member of another component, by size, place and,
+    where they are there, bits. No pair leaves the task.
+    """
+    for batch in _whole(batches, "pair"):
+        good = np.zeros(batch.num_rows, bool)
+        for start, stop, members in _lists(batch):
+            good[start:stop] = members.open()
+        yield batch.filter(pa.array(good)).select(["pair", "token", "key", "n", "place", "component", "chunk"])
+
+
+def _lists(batch: pa.RecordBatch) -> Iterator[tuple[int, int, _Members]]:
+    """The lists, or pairs of blocks of lists, in a batch of sorted rows that hold several components."""
+    columns = [batch.column(x).to_numpy() for x in ("token", "key", "n", "place", "component", "chunk")]
+    pair, token, part = batch.column("pair").to_numpy(), columns[0], columns[4]
+    bits = [np.frombuffer(x, np.uint64) for x in batch.column("bits").to_pylist()] if "bits" in batch.schema.names else []
+    starts = np.append(np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (token[1:] != token[:-1]))), len(pair)).tolist()
+    for start, stop in zip(starts, starts[1:]):
+        if stop - start > 1 and (part[start:stop] != part[start]).any():
+            yield start, stop, _Members(*(c[start:stop] for c in columns), bits[start:stop])
+
+
+class _Members:
+    """The members of one block of a list, or of two that meet: sizes, places in the list's order, components and bits."""
+
+    def __init__(self, token: np.ndarray, key: np.ndarray, n: np.ndarray, place: np.ndarray, part: np.ndarray, chunk: np.ndarray, bits: list[np.ndarray]):
+        self.token, self.key, self.n, self.part, self.chunk, self.bits = int(token[0]), key, n.astype(np.int64), part, chunk, bits
+        self.left = self.n - place
+        self._prepare()
+
+    def _prepare(self) -> None:
+        self.words = np.array([len(x) for x in self.bits])
+        self.folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.within = self.chunk.min() == self.chunk.max()
+
+    def _possible(self, i: int, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of j that size, place, component and bits allow to link with i, and what they need to share."""
+        low, high = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
+        needs = -(-PART * (low + high) // (PART + WHOLE))
+        good = (self.part[j] != self.part[i]) & (needs <= low) & (np.minimum(self.left[i], self.left[j]) >= needs)
+        if not self.within:
+            good &= self.chunk[j] != self.chunk[i]
+        j, needs = j[good], needs[good]
+        if len(j) and self.bits:
+            good = self._near(i, j, self.n[i] + self.n[j] - 2 * needs)
+            j, needs = j[good], needs[good]
+        return j, needs
+
+    def _near(self, i: int, others: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Those of the others whose bits differ from set i's in ``most`` at most."""
+        good = np.zeros(len(others), bool)
+        widths = np.minimum(self.words[others], self.words[i])
+        for width in np.unique(widths).tolist():
+            if width not in self.folded:
+                rows = np.flatnonzero(self.words >= width)
+                place = np.full(len(self.words), -1)
+                place[rows] = np.arange(len(rows))
+                self.folded[width] = place, np.stack([_folded(self.bits[j], width) for j in rows])
+            place, rows = self.folded[width]
+            at = np.flatnonzero(widths == width)
+            apart = np.bitwise_count(rows[place[others[at]]] ^ rows[place[i]]).sum(axis=1, dtype=np.int64)
+            good[at] = apart <= most[at]
+        return good
+
+    def open(self) -> np.ndarray:
+        found = np.zeros(len(self.n), bool)
+        for i in range(len(self.n) - 1):
+            j, _ = self._possible(i, np.arange(i + 1, len(self.n)))
+            if len(j):
+                found[i] = True
+                found[j] = True
+        return found
+
+
+class _Block(_Members):
+    """Members with their sets."""
+
+    def __init__(self, members: _Members, sets: list[np.ndarray]):
+        # Those near what most have come first: where one set links with all others, it soon joins them.
+        width = min(CENTRE_WORDS, *(len(x) for x in members.bits))
+        short = np.unpackbits(np.stack([_folded(x, width) for x in members.bits]).view(np.uint8), axis=1)
+        by = np.argsort((short != (2 * short.sum(axis=0, dtype=np.int64) > len(short))).sum(axis=1), kind="stable")
+        self.key, self.n, self.chunk, self.left = members.key[by], members.n[by], members.chunk[by], members.left[by]
+        self.sets, self.bits = [np.sort(sets[i]) for i in by], [members.bits[i] for i in by]
+        self.before = np.array([np.searchsorted(x, members.token) for x in self.sets])
+        self.part = np.unique(members.part[by], return_inverse=True)[1]
+        self._prepare()
+
+    def _held(self, i: int, others: np.ndarray, upto: np.ndarray) -> np.ndarray:
+        """How many of the first ``upto`` shingles of each other set are in set i."""
+        parts = [self.sets[j][:u] for j, u in zip(others.tolist(), upto.tolist())]
+        values, own = np.concatenate([*parts, self.sets[i][:0]]), self.sets[i]
+        hit = own[np.minimum(np.searchsorted(own, values), len(own) - 1)] == values
+        return np.bincount(np.repeat(np.arange(len(parts)), upto)[hit], minlength=len(parts))
+
+    def links(self) -> list[tuple[int, int]]:
+        """A forest: links that join all components of the block which its pairs connect.
+
+        A pair is looked at in the list of its smallest common shingle only, and not if it is connected already.
+        """
+        out = []
+        for i in range(len(self.key) - 1):
+            j, needs = self._possible(i, np.arange(i + 1, len(self.key)))
+            if len(j):
+                first = self._held(i, j, self.before[j]) == 0
+                j, needs = j[first], needs[first]
+            if len(j):
+                for k in j[self._held(i, j, self.n[j]) >= needs].tolist():
+                    if self.part[k] != self.part[i]:
+                        out.append((int(self.key[i]), int(self.key[k])))
+                        self.part[self.part == self.part[k]] = self.part[i]
+        return out
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by token and size -> all pairs of a list in different components that size, place and bits allow."""
-    for batch in _whole(batches, "token"):
-        token, key, n, place, part = (batch.column(x).to_numpy() for x in ("token", "key", "n", "place", "component"))
-        bits = [np.frombuffer(x, np.uint64) for x in batch.column("bits").to_pylist()]
-        words = np.array([len(x) for x in bits])
-        starts = np.append(np.flatnonzero(np.append(True, token[1:] != token[:-1])), len(token)).tolist()
-        found: list[np.ndarray] = []
-        for start, stop in zip(starts, starts[1:]):
-            if stop - start < 2 or (part[start:stop] == part[start]).all():
-                continue
-            width, rows = 0, np.empty((0, 0), np.uint64)
-            for i in range(start, stop - 1):
-                if words[i] != width:  # all that may pair with sets of this width, folded to it
-                    width = words[i]
-                    last = start + int(np.searchsorted(words[start:stop], 2 * width, "right"))
-                    rows = np.stack([_folded(x, width) for x in bits[i:last]])
-                    base = i
-                j = np.arange(i + 1, last)
-                j = j[: np.searchsorted(n[j], n[i] * WHOLE // PART, "right")]
-                needs = -(-PART * (n[i] + n[j]) // (PART + WHOLE))
-                good = (part[j] != part[i]) & (np.minimum(n[i] - place[i], n[j] - place[j]) >= needs)
-                j, needs = j[good], needs[good]
-                if len(j):
-                    apart = np.bitwise_count(rows[j - base] ^ rows[i - base]).sum(axis=1)
-                    j = j[apart <= n[i] + n[j] - 2 * needs]
-                if len(j):
-                    found.append(np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])], axis=1))
-                if len(found) > 10_000:
-                    yield _pairs(found)
-                    found = []
-        yield _pairs(found)
+    """Rows sorted by pair of blocks -> the links that connect the components of each, never more than its members."""
+    for batch in _whole(batches, "pair"):
+        sets = batch.column("shingles").to_pylist()
+        found = []
+        for start, stop, members in _lists(batch):
+            found += _Block(members, [np.frombuffer(x, np.int64) for x in sets[start:stop]]).links()
+        yield _pairs([np.array(found, np.int64).reshape(-1, 2)])
 
 
 def _pairs(found: list) -> pa.RecordBatch:
@@ -438,8 +532,8 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     links = staged(links.unionByName(_subset_pairs(small, limit)).distinct())
     for salt in (1, None):
         named = lists.join(components(links), "key", "left").withColumn("component", F.coalesce("component", "key"))
-        pairs = _across_of(named, sets, many) if salt is None else _stars_of(named, many, salt)
-        links = staged(links.unionByName(verified(pairs, sets)).distinct())
+        found = _across_of(named, sets, many) if salt is None else verified(_stars_of(named, many, salt), sets)
+        links = staged(links.unionByName(found).distinct())
 
     named = classes.join(components(links), "key", "left").withColumn("component", F.coalesce("component", "key"))
     named = staged(named.select("key", "component", "doc_id"))
@@ -451,20 +545,48 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), named_id).unionByName(empty)
 
 
-def _several(named: DataFrame) -> DataFrame:
-    """Lists that hold more than one component."""
-    open_ = named.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    return named.join(open_.select("token"), "token", "left_semi")
+def _open(named: DataFrame) -> DataFrame:
+    """The lists that hold more than one component, with their sizes."""
+    lists = named.groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), F.sum("n").alias("held")
+    )
+    return lists.filter("low < high").select("token", "members", "held")
 
 
 def _stars_of(named: DataFrame, many: int, salt: int) -> DataFrame:
     lot = F.xxhash64("key", F.lit(salt)).alias("lot")
-    rows = _several(named).select("token", "class", lot, "key", "n", "component")
+    rows = named.join(_open(named).select("token"), "token", "left_semi").select("token", "class", lot, "key", "n", "component")
     rows = rows.repartition(many, "token").sortWithinPartitions("token", "class", "lot")
     return rows.select("token", "class", "key", "n", "component").mapInArrow(_stars, "a long, b long").distinct()
 
 
-def _across_of(named: DataFrame, sets: DataFrame, many: int) -> DataFrame:
-    rows = _several(named).join(sets.select("key", "bits"), "key").select("token", "key", "n", "place", "component", "bits")
-    rows = rows.repartition(many, "token").sortWithinPartitions("token", "n", "key")
-    return rows.mapInArrow(_across, "a long, b long").distinct()
+def _across_of(named: DataFrame, sets: DataFrame, lists: int) -> DataFrame:
+    """The links that join the components left in the open lists.
+
+    A list is cut into blocks by a hash of the set, and every two blocks meet in a task of their own, so that neither
+    a long list nor one of long sets is one task's. Sets are verified there, and a task hands on a forest of links.
+    """
+    cuts = F.greatest(F.ceil(F.col("members") / BLOCK_SETS), F.ceil(F.col("held") / BLOCK_SHINGLES)).cast("int")
+    rows = named.join(_open(named), "token").withColumn("cuts", cuts).withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("cuts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    pair = F.xxhash64("token", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("pair")
+    rows = rows.select(pair, "token", "key", "n", "place", "component", "chunk")
+    # By size and place alone, then with the bits, a thirtieth of the sets, and the sets only where a link may be.
+    members = "pair long, token long, key long, n int, place int, component long, chunk int"
+    names = [c.split()[0] for c in members.split(", ")]
+
+    def dealt(df: DataFrame, many: int) -> DataFrame:
+        return df.repartition(many, "pair").sortWithinPartitions("pair", "token", "key")
+
+    def kept(df: DataFrame, *added: str) -> DataFrame:
+        return staged(df.select(*names, *added).mapInArrow(_candidates, members))
+
+    def of(rows: DataFrame, known: DataFrame) -> DataFrame:
+        """The sets of the rows, written: the table of their keys is small enough, most times, not to shuffle all others."""
+        return staged(known.join(staged(rows.select("key").distinct()), "key", "left_semi"))
+
+    rows = kept(dealt(rows, lists))
+    known = of(rows, sets.select("key", "shingles", "bits"))
+    rows = kept(dealt(rows.join(known.select("key", "bits"), "key"), parts(rows_of(rows), 16 * BLOCK_SETS, least=12)), "bits")
+    met = dealt(rows.join(of(rows, known), "key"), parts(rows_of(rows), BLOCK_SETS, least=12))
+    return met.select(*names, "shingles", "bits").mapInArrow(_across, "a long, b long").distinct()
