@@ -1,14 +1,17 @@
 """Packing documents into sequences by length patterns fitted with non-negative least squares.
 
 Documents are tokenized and cut once. Their pieces are dealt over shards of about ``SHARD_ROWS`` pieces; a shard sees
-only lengths. In a shard the lengths are counted in steps of ``STEP`` tokens, rounded up. All patterns of up to
-three steps that fill a sequence are enumerated, and their repeat counts are fitted to the histogram by non-negative
-least squares. The counts are rounded down and filled with pieces, the longest of each step first. What is left goes
-by best fit, longest first, into the room left in those sequences and into new ones.
+only lengths. In a shard the lengths are counted in steps of ``STEP`` tokens, rounded up. The patterns are all ways to
+fill a sequence with up to ``MOST_DOCS`` documents; their repeat counts are fitted to the histogram by non-negative
+least squares with an active set, whose next pattern is found by running through the patterns by number of documents.
+The counts are rounded and filled with pieces, the longest of each step first; what rounding leaves is fitted again.
+The rest goes by best fit, longest first, into the room left in those sequences and into new ones.
 """
 
 from __future__ import annotations
 
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,13 +24,19 @@ from pyspark.sql import types as T
 from sluice.llm.common import parts, rows_of, slices, staged
 from sluice.llm.tokens import Encoder
 
-SHARD_ROWS = 1 << 16
-STEP = 16
-FITS = 400
+SHARD_ROWS = 1 << 18
+STEP = 8
+#: Documents of a pattern at most, and the least gain that another pattern is fitted for.
+MOST_DOCS, LEAST_GAIN = 8, 1.0
+#: Fits of what rounding left, at most, and the most that a fit may leave for another one to follow.
+FITS, LEFT_PART = 3, 0.9
 
 
 def _little_endian(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -44,48 +53,100 @@ def token_pieces(documents: DataFrame, path: str, end_id: int, length: int = 409
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = _encoder(path), _little_endian([end_id])
         for batch in slices(batches, "text"):
-            rows = []
-            for key, x in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = encoder.encoded(x or "") + end
-                for k, at in enumerate(range(0, len(ids), 4 * length)):
-                    rows.append((key, k, at // 4, min(len(ids) - at, 4 * length) // 4, ids[at : at + 4 * length]))
-            columns = list(zip(*rows))
+            whole = [encoder.encoded(x or "") + end for x in batch.column("text").to_pylist()]
+            sizes = np.array([len(x) for x in whole], np.int64) // 4
+            pieces = -(-sizes // length)
+            row = np.repeat(np.arange(len(whole)), pieces)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start = piece * length
+            ids = whole if len(row) == len(whole) else [whole[i][4 * at : 4 * (at + length)] for i, at in zip(row.tolist(), start.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
+                [
+                    batch.column("doc_id").take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start),
+                    pa.array(np.minimum(sizes[row] - start, length)), pa.array(ids, pa.binary()),
+                ],
                 names=["doc_id", "piece", "start", "length", "ids"],
-            )
+            )
 
     source = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return source.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids binary")
 
 
-def patterns(steps: int) -> np.ndarray:
-    """All ways to write ``steps`` as one to three steps, largest first; 0 stands for no document."""
-    a, b = np.meshgrid(np.arange(1, steps + 1), np.arange(steps + 1), indexing="ij")
-    c = steps - a - b
-    good = (a >= b) & (b >= c) & (c >= 0)
-    return np.stack([a[good], b[good], c[good]], axis=1)
+def best_patterns(worth: np.ndarray, most: int = MOST_DOCS) -> list[tuple[float, np.ndarray]]:
+    """Of all patterns of up to ``most`` documents that fill a sequence, for each number of documents that with the largest sum of ``worth``.
 
-
-def fitted(histogram: np.ndarray, found: np.ndarray, rounds: int = FITS) -> np.ndarray:
-    """Repeat counts x >= 0 of the patterns with the least squared distance of their documents to the histogram.
-
-    Multiplicative updates: x is scaled by (A'h) / (A'Ax), which keeps it non-negative and never raises the distance.
+    ``worth[s]`` is that of a document of s steps, and a sequence has ``len(worth) - 1`` steps. The patterns are run
+    through by their number of documents: the best of k documents with a given sum is one document more than the
+    best of k - 1 with the rest.
+    """
+    steps = len(worth) - 1
+    last = np.arange(steps + 1)
+    best, chosen = np.where(last == 0, 0.0, -np.inf), []
+    out = []
+    for level in range(most):
+        # Row s, column t: the others have s - t - 1 steps, and the last one t + 1.
+        padded = np.concatenate([best[::-1], np.full(steps, -np.inf)])
+        found = np.lib.stride_tricks.sliding_window_view(padded, steps)[steps + 1 - last] + worth[None, 1:]
+        take = found.argmax(axis=1)
+        best = found[last, take]
+        chosen.append(take + 1)
+        if np.isfinite(best[steps]):
+            pattern, left = [], steps
+            for k in range(level, -1, -1):
+                pattern.append(int(chosen[k][left]))
+                left -= pattern[-1]
+            out.append((float(best[steps]), np.array(pattern)))
+    return out
+
+
+def fitted(histogram: np.ndarray, most: int = MOST_DOCS) -> list[tuple[np.ndarray, float]]:
+    """Patterns and their repeat counts x > 0 with the least squared distance of their documents to the histogram.
+
+    An active set: the patterns along which the distance falls most join it, one for each number of documents, and the
+    least squares over the set are solved; where that makes a count negative, the counts move towards the solution
+    until one is 0, which leaves the set. It ends when no pattern lowers the distance by ``LEAST_GAIN``.
     """
     goal = histogram.astype(float)
     goal[0] = 0
-    gain = goal[found].sum(axis=1)
-    x = np.where(gain > 0, 1.0, 0.0)
-    for _ in range(rounds):
-        made = np.bincount(found.ravel(), np.repeat(x, found.shape[1]), len(goal))
-        made[0] = 0
-        cost = made[found].sum(axis=1)
-        x = np.where(cost > 0, x * gain / np.maximum(cost, 1e-12), 0.0)
-    return x
+    found: list[np.ndarray] = []
+    columns, x = np.zeros((len(goal), 0)), np.zeros(0)
+    for _ in range(len(goal)):
+        residual = goal - columns @ x
+        known = {tuple(sorted(p.tolist())) for p in found}
+        new = [p for gain, p in best_patterns(residual, most) if gain > LEAST_GAIN and tuple(sorted(p.tolist())) not in known]
+        if not new:
+            break
+        found += new
+        columns = np.column_stack([columns, *[np.bincount(p, minlength=len(goal)) for p in new]])
+        x = np.append(x, np.zeros(len(new)))
+        while len(x):
+            # The least shift keeps patterns that are sums of others apart.
+            gram = columns.T @ columns + 1e-7 * np.eye(len(x))
+            solved = np.linalg.solve(gram, columns.T @ goal)
+            falls = solved <= 0
+            if not falls.any():
+                x = solved
+                break
+            share = np.min(x[falls] / np.maximum(x[falls] - solved[falls], 1e-300))
+            x = x + share * (solved - x)
+            keep = ~falls | (x > 1e-9)
+            if keep.all():
+                keep[np.flatnonzero(falls)[np.argmin(x[falls])]] = False
+            found, columns, x = [p for p, k in zip(found, keep) if k], columns[:, keep], x[keep]
+    return list(zip(found, x.tolist()))
 
 
 def packed(lengths: np.ndarray, capacity: int, step: int = STEP) -> tuple[np.ndarray, np.ndarray]:
     """The sequence of each length and its place there. Lengths are from 1 to ``capacity``."""
+    sequence, offset, made = by_patterns(lengths, capacity, step)
+    return best_fit(lengths, capacity, sequence, offset, made)
+
+
+def by_patterns(lengths: np.ndarray, capacity: int, step: int = STEP) -> tuple[np.ndarray, np.ndarray, int]:
+    """The sequence and place of the lengths that the fitted patterns take, -1 for the others, and how many sequences there are.
+
+    Repeat counts are rounded. What rounding leaves is a histogram again and is fitted again, while that places a part of it.
+    """
     step = max(1, min(step, capacity // 4))
     steps = capacity // step  # a sequence holds that many whole steps
     size = -(-lengths // step)
@@ -93,30 +154,34 @@ def packed(lengths: np.ndarray, capacity: int, step: int = STEP) -> tuple[np.nda
     order = np.lexsort((np.arange(len(lengths)), lengths, size))  # by step, shortest first
     ends = np.searchsorted(size[order], np.arange(steps + 2), "left")
     left = np.diff(ends)  # of each step, its members up to ends[s] + left[s] are free
-    found = patterns(steps)
-    counts = np.floor(fitted(left, found)).astype(np.int64)
-    open_room: list[tuple[int, int]] = []
     made = 0
-    for p in np.argsort(-counts, kind="stable"):
-        if counts[p] == 0:
+    for _ in range(FITS):
+        before = int(left.sum())
+        for pattern, count in sorted(fitted(left), key=lambda x: -x[1]):
+            sizes, need = np.unique(pattern, return_counts=True)
+            n = int(min(round(count), *(left[s] // k for s, k in zip(sizes, need))))
+            if n <= 0:
+                continue
+            filled = np.zeros(n, np.int64)
+            for s, k in zip(sizes, need):
+                for _ in range(k):
+                    members = order[ends[s] + left[s] - n : ends[s] + left[s]]
+                    sequence[members], offset[members] = made + np.arange(n), filled
+                    filled += lengths[members]
+                    left[s] -= n
+            made += n
+        if left.sum() > LEFT_PART * before:
             break
-        sizes, need = np.unique(found[p][found[p] > 0], return_counts=True)
-        n = int(min(counts[p], *(left[s] // k for s, k in zip(sizes, need))))
-        if n == 0:
-            continue
-        filled = np.zeros(n, np.int64)
-        for s, k in zip(sizes, need):
-            for _ in range(k):
-                members = order[ends[s] + left[s] - n : ends[s] + left[s]]
-                sequence[members], offset[members] = made + np.arange(n), filled
-                filled += lengths[members]
-                left[s] -= n
-        open_room += zip((capacity - filled).tolist(), range(made, made + n))
-        made += n
-    # Best fit, longest first: bit r of ``rooms`` tells that a sequence with room r is open.
+    return sequence, offset, made
+
+
+def best_fit(lengths: np.ndarray, capacity: int, sequence: np.ndarray, offset: np.ndarray, made: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places the lengths without a sequence, longest first, where the least room is left, in open sequences or new ones."""
+    filled = np.bincount(sequence[sequence >= 0], lengths[sequence >= 0], made).astype(np.int64)
+    # Bit r of ``rooms`` tells that a sequence with room r is open.
     at: dict[int, list[int]] = {}
     rooms = 0
-    for room, s in open_room:
+    for s, room in enumerate((capacity - filled).tolist()):
         at.setdefault(room, []).append(s)
         rooms |= 1 << room
     rest = np.flatnonzero(sequence < 0)
@@ -151,7 +216,9 @@ def pack(pieces: DataFrame, capacity: int = 4096, shard_rows: int = SHARD_ROWS)
         return group.append_column("sequence_id", pa.array(shard * (1 << 32) + sequence)).append_column("offset", pa.array(offset))
 
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
+    # Rows without an id, or with one id, differ in their ids' checksum; equal rows are dealt by their number in the scan.
+    salt = F.monotonically_increasing_id() if "ids_crc32" not in pieces.columns else F.col("ids_crc32")
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", salt), F.lit(shards)))
     return dealt.groupBy("shard").applyInArrow(place, schema)
 
 

@@ -12,6 +12,7 @@ import os
 import re
 import unicodedata
 from collections.abc import Callable
+from operator import attrgetter
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -73,6 +74,9 @@ class Pieces(dict):
         return value
 
 
+ID = attrgetter("id")
+
+
 class Encoder:
     """Encodes texts by looking up their words: ``join`` of the ``measure`` of all ids.
 
@@ -84,6 +88,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.measure, self.join = measure, join
         self.lowered = "Lowercase" in str(self.tokenizer.normalizer)
         self.split = (WORD_ENDS if self.lowered else BYTE_LEVEL).findall
@@ -93,13 +98,19 @@ class Encoder:
         self.words = Pieces(self._word, frequent)
 
     def _piece(self, piece: str):
-        return self.measure([x.id for x in self.tokenizer.model.tokenize(piece.translate(self.shown))])
+        shown = piece if piece.isascii() and piece.isalnum() else piece.translate(self.shown)
+        return self.measure(list(map(ID, self.model.tokenize(shown))))
 
     def _word(self, word: str):
+        if self.lowered and word.isalpha():
+            return self._piece(word)
         first, *rest = self.split(word if self.lowered else " " + word)
         if not rest:
             return self._piece(first)
-        head = self.pieces[first] if self.lowered else self.words[first[1:]] if first != " " else self.pieces[first]
+        if self.lowered:  # a word before its comma is a word, too
+            head = self.words[first] if first != word and first[0].isalpha() else self.pieces[first]
+        else:
+            head = self.words[first[1:]] if first != " " else self.pieces[first]
         return self.join([head, *map(self.pieces.__getitem__, rest)])
 
     def settled(self, text: str) -> bool:
