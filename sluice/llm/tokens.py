@@ -60,17 +60,25 @@ class _Shown(dict):
 
 
 class Pieces(dict):
-    """Pre-token -> ``measure`` of its ids, encoded when first met; at most ``most`` entries besides those it began with."""
+    """Pre-token -> ``measure`` of its ids, encoded when first met, besides those it began with.
 
-    def __init__(self, encode: Callable[[str], object], frequent: dict | None = None, most: int = 300_000):
+    There are two generations of at most ``most`` entries: a full one becomes the older, whose entries come back when
+    they are met again. So memory is bounded, and frequent pre-tokens are not encoded anew when room is made.
+    """
+
+    def __init__(self, encode: Callable[[str], object], frequent: dict | None = None, most: int = 200_000):
         super().__init__(frequent or {})
-        self.encode, self.frequent, self.most = encode, frequent or {}, most
+        self.encode, self.frequent, self.most, self.older = encode, frequent or {}, most, {}
 
     def __missing__(self, piece: str):
+        value = self.older.get(piece)
+        if value is None:
+            value = self.encode(piece)
         if len(self) >= self.most + len(self.frequent):
+            self.older = dict(self)
             self.clear()
             self.update(self.frequent)
-        value = self[piece] = self.encode(piece)
+        self[piece] = value
         return value
 
 
@@ -94,7 +102,7 @@ class Encoder:
         self.split = (WORD_ENDS if self.lowered else BYTE_LEVEL).findall
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.shown = _Shown()
-        self.pieces = Pieces(self._piece, most=50_000)
+        self.pieces = Pieces(self._piece, most=25_000)
         self.words = Pieces(self._word, frequent)
 
     def _piece(self, piece: str):
