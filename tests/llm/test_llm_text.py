@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sluice.llm import html_text as pages
+from sluice.llm import token_counts as token_module
 from sluice.llm import vamana
 from sluice.llm.language import SIZE, UNKNOWN, Profiles, fitted, grams, held_out, predicted, ranked
 from sluice.llm.mixing import exponent, temperature_mix
 from sluice.llm.packing import best_fit_packing, best_patterns, by_patterns, pack, packed, token_pieces
 from sluice.llm.packing import fitted as fit_patterns
 from sluice.llm.token_counts import token_counts
-from sluice.llm.tokens import Encoder
+from sluice.llm.tokens import Encoder, Pieces
 from sluice.llm.url_filter import RULES, fitting, host_and_path, judged_urls, term_hits
 
 SF = "/root/testdata/sf0.001"
@@ -60,6 +61,34 @@ def test_token_counts(spark):
     assert token_counts(table.limit(0), FILES["byte_bpe_50k.json"]).count() == 0
 
 
+def test_token_counts_shuffle_nothing_and_sample_the_table(spark, monkeypatch):
+    path = FILES["byte_bpe_50k.json"]
+    table = spark.createDataFrame([(i, " ".join([f"w{i} common words that w{i % 7} return,"] * 40)) for i in range(300)], "doc_id long, text string").repartition(5)
+    assert "Exchange" not in token_counts(spark.read.parquet(f"{SF}/documents.parquet"), path)._jdf.queryExecution().executedPlan().toString()
+    pieces, lengths = token_module.frequent_lengths(table, path, most=5)
+    assert len(pieces) == 5 and {"common", "words", "that", "return,"} <= set(pieces)
+    whole = sorted(token_counts(table, path).collect())
+    assert [r.n_tokens for r in whole] == [len(LIBRARY["byte_bpe_50k.json"].encode(r.text, add_special_tokens=False).ids) for r in table.orderBy("doc_id").collect()]
+    monkeypatch.setattr(token_module, "SAMPLED_TASKS", 1)
+    monkeypatch.setattr(token_module, "HANDED_ON", 2)
+    assert len(token_module.frequent_lengths(table, path)[0]) == 2 and sorted(token_counts(table, path).collect()) == whole
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_a_full_cache_forgets_only_what_is_not_met_again(name):
+    encoder = Encoder(FILES[name], len, sum, {"the": 1})
+    encoder.words.most = encoder.pieces.most = 4
+    pick = random.Random(5)
+    for _ in range(50):
+        text = "x " + " ".join(pick.choice(["the", "a", "b1,", "don't", "cat.", "zyx", "日本", "é—q", f"n{pick.random()}"]) for _ in range(30))
+        assert encoder.encoded(text) == len(LIBRARY[name].encode(text, add_special_tokens=False).ids)
+        assert len(encoder.words) <= 6 and len(encoder.words.older) <= 6 and encoder.words["the"] == 1
+    encoded, words = [], Pieces(lambda x: encoded.append(x) or len(x), most=3)
+    for x in "abcadaeafaga":
+        words[x]
+    assert encoded == list("abcdefg")  # "a" is met again and again
+
+
 def test_pieces_give_the_texts_back(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet").unionByName(spark.createDataFrame([(-1, None), (-2, "")], "doc_id long, text string"), allowMissingColumns=True)
     cut = defaultdict(list)
