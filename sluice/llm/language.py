@@ -11,6 +11,7 @@ counts as ``SIZE`` places.
 from __future__ import annotations
 
 import unicodedata
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -119,50 +120,60 @@ def fitted(documents: DataFrame, lang: str = "lang", text: str = "text", size: i
     return Profiles(rows, size)
 
 
-def predicted(documents: DataFrame, found: Profiles, text: str = "text", language: str = "lang_pred", score: str = "score", length: str | None = None) -> DataFrame:
+def beginning(text: str) -> str | None:
+    """One of the text's beginnings of 8, 32, 128 and so on characters, picked by the text's crc32; None if it has none."""
+    n = max(len(text) - 1, 0).bit_length() // 2 - 1  # of the lengths 2 ** 3, 2 ** 5, ..., those under len(text)
+    return text[: 8 << 2 * (zlib.crc32(text.encode("utf-8", "surrogatepass")) % n)] if n > 0 else None
+
+
+def predicted(documents: DataFrame, found: Profiles, text: str = "text", language: str = "lang_pred", score: str = "score", length: str | None = None, start: str | None = None) -> DataFrame:
     """All columns and rows of ``documents`` with the predicted language and its score from 0 to 1.
 
     A text that is null or has no letter is ``und`` with score 0. Columns named like the new ones are replaced.
-    ``length`` names a column for the length class, if wanted.
+    ``length`` names a column for the length class, if wanted, and ``start`` one for the length class and score of one of
+    the text's beginnings (null without one, or where it has no letter).
     """
     table = documents.sparkSession.sparkContext.broadcast(found)
-    new = {language: "string", score: "double", **({length: "int"} if length else {})}
+    new = {language: "string", score: "double", **({length: "int"} if length else {}), **({start: "struct<length:int,score:double>"} if start else {})}
     kept = documents.drop(*new)
 
+    def begun(x: str) -> dict | None:
+        first = beginning(x)
+        name, value, classed = table.value.measured(first) if first else (UNKNOWN, 0.0, 0)
+        return None if name == UNKNOWN else {"length": classed, "score": value}
+
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
-            best = [table.value.measured(x or "") for x in batch.column(text).to_pylist()]
-            columns = [pa.array([x[i] for x in best], t) for i, t in enumerate((pa.string(), pa.float64(), pa.int32()))][: len(new)]
+            texts = [x or "" for x in batch.column(text).to_pylist()]
+            best = [table.value.measured(x) for x in texts]
+            columns = [pa.array([x[i] for x in best], t) for i, t in enumerate((pa.string(), pa.float64(), pa.int32()))][: 3 if length else 2]
+            if start:
+                columns.append(pa.array([begun(x) for x in texts], pa.struct([("length", pa.int32()), ("score", pa.float64())])))
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *new])
 
     return kept.mapInArrow(predict, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), *(f"{k} {v}" for k, v in new.items())]))
 
 
-def usual_scores(documents: DataFrame, found: Profiles, lang: str = "lang", text: str = "text", share: float = 0.05) -> dict[int, float]:
+#: Scores are counted in steps of one by this, so that a quantile is exact and depends on no order of rows.
+SCORE_STEPS = 4096
+
+
+def least_scores(judged: DataFrame, score: str, length: str, start: str, lang: str = "lang", share: float = 0.05) -> dict[int, float]:
     """By length class, the score that all but ``share`` of the labelled texts reach, in the language where that is least.
 
-    Every text counts whole and with its beginnings of 8, 32, 128 and so on characters, so that short classes are known
-    too. Scores of long texts rise as they fill the profile; a class gets no more than the class below it.
+    ``judged`` are labelled rows as ``predicted`` returns them. Every text counts whole and with one of its beginnings, so
+    that short classes are known too. Scores of long texts rise as they fill the profile; a class gets no more than the
+    class below it. Scores are cut to steps of 1 / ``SCORE_STEPS``; those of 0 tell nothing and don't count.
     """
-    table = documents.sparkSession.sparkContext.broadcast(found)
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            out = []
-            for name, x in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                cuts, n = [x], 8
-                while n < len(x):
-                    cuts.append(x[:n])
-                    n *= 4
-                out += [(name, length, score) for best, score, length in map(table.value.measured, cuts) if best != UNKNOWN]
-            columns = list(zip(*out)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.float64()))], names=["lang", "length", "score"])
-
-    learn = documents.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    scores = learn.mapInArrow(measure, "lang string, length int, score double").groupBy("lang", "length").agg(F.percentile_approx("score", share).alias("score"))
+    whole = F.struct(F.col(length).alias("length"), F.col(score).alias("score"))
+    scores = judged.select(F.col(lang).cast("string").alias("lang"), F.explode(F.array(whole, F.col(start))).alias("x")).filter("lang IS NOT NULL AND x.score > 0")
+    steps = scores.groupBy("lang", "x.length", F.floor(F.col("x.score") * SCORE_STEPS).alias("step")).agg(F.count("*").alias("n"))
+    rising = W.partitionBy("lang", "length").orderBy("step")
+    reached = F.sum("n").over(rising) >= share * F.sum("n").over(W.partitionBy("lang", "length"))
+    usual = steps.withColumn("reached", reached).filter("reached").groupBy("lang", "length").agg(F.min("step").alias("step"))
     least: dict[int, float] = {}
-    for r in scores.groupBy("length").agg(F.min("score").alias("score")).orderBy("length").collect():
-        least[r.length] = min([r.score, *least.values()])
+    for r in usual.groupBy("length").agg(F.min("step").alias("step")).orderBy("length").collect():
+        least[r.length] = min([r.step / SCORE_STEPS, *least.values()])
     return least
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import math
 import os
 import random
 import sys
@@ -17,7 +18,7 @@ from test_llm_dedup import joined_brute, lower
 import __spark_entry__ as entry
 import corpus_pipeline
 from sluice.llm import queries as llm
-from sluice.llm.language import UNKNOWN, fitted, held_out
+from sluice.llm.language import UNKNOWN, fitted, held_out, least_scores, predicted
 
 SF = "/root/testdata/sf0.001"
 
@@ -78,13 +79,36 @@ def test_contract_columns(spark):
     assert all(flag == (zlib.crc32(str(i).encode()) % 4 == 2) for i, flag in flags.items())
 
 
+def limits_brute(rows, profiles):
+    """The language stage's limits by length class: sorted scores instead of counted steps."""
+    seen = defaultdict(list)
+    for r in rows:
+        if r.lang is None or zlib.crc32(str(r.doc_id).encode()) % 4 == 2:
+            continue
+        starts = [n for n in (2 ** k for k in range(3, 30, 2)) if n < len(r.text or "")]
+        cut = starts[zlib.crc32(r.text.encode()) % len(starts)] if starts else 0
+        for x in (r.text or "", (r.text or "")[:cut]):
+            name, score, length = profiles.measured(x)
+            if name != UNKNOWN and score > 0:
+                seen[length, r.lang].append(math.floor(score * 4096) / 4096)
+    limits, bound = {}, 1.0
+    for length in sorted({n for n, _ in seen}):
+        usual = [sorted(found)[max(math.ceil(0.05 * len(found)), 1) - 1] for (n, _), found in seen.items() if n == length]
+        bound = min(bound, *usual)
+        limits[length] = max(corpus_pipeline.LEAST_SCORE, corpus_pipeline.LEAST_PART * bound)
+    return limits
+
+
 def test_pipeline_equals_brute_force(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     profiles = fitted(documents.filter(~held_out()))
+    every = documents.orderBy("doc_id").collect()
+    limits = limits_brute(every, profiles)
     rows = {}
-    for r in documents.orderBy("doc_id").collect():
-        lang, score = profiles.closest(r.text or "")
-        if lang != UNKNOWN and score >= corpus_pipeline.LEAST_SCORE:
+    for r in every:
+        lang, score, length = profiles.measured(r.text or "")
+        least = max((n for n in limits if n <= length), default=None)
+        if lang != UNKNOWN and score >= limits.get(least, corpus_pipeline.LEAST_SCORE):
             rows[lower(r.text)] = (r.doc_id, r.text, r.source)  # the largest id comes last
     kept = sorted(rows.values())
     component = {d: c for d, _, c in joined_brute([(d, t) for d, t, _ in kept])}
@@ -123,6 +147,22 @@ def test_language_stage_rejects_what_no_labelled_text_is_like(spark):
     assert kept >= {r.doc_id for r in letters}
 
 
+def test_language_limits_equal_brute_force(spark):
+    table = "doc_id long, text string, lang string, score string, start int"
+    rows = [(r.doc_id, r.text, r.lang, "s", 1) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    rows += [(10**6 + i, x, lang, None, None) for i, (x, lang) in enumerate([(None, "en"), ("", "en"), ("...", "de"), ("a", "en"), ("né", None), ("x" * 33, "fr"), ("la " * 90_000, "es")])]
+    documents = spark.createDataFrame(rows, table)
+    learn = documents.filter(~held_out())
+    profiles = fitted(learn)
+    for parts in (1, 7):
+        judged = predicted(learn.drop("score", "start").repartition(parts), profiles, length="n", start="first")
+        found = {n: max(corpus_pipeline.LEAST_SCORE, corpus_pipeline.LEAST_PART * x) for n, x in least_scores(judged, "score", "n", "first").items()}
+        assert found == limits_brute(documents.collect(), profiles) and len(found) > 4
+    assert least_scores(judged.limit(0), "score", "n", "first") == {}
+    assert corpus_pipeline.language(spark, documents, SF).columns == documents.columns
+    assert corpus_pipeline.language(spark, documents.limit(0), SF).count() == 0
+
+
 def test_entry_without_this_part(monkeypatch):
     """The entry points work when the part and the pipeline are deleted, and only then hide a missing module."""
     import importlib
