@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sluice.llm.common import read, spare, staged
 from sluice.llm.exact_dedup import without_duplicates
 from sluice.llm.jaccard import near_duplicates
-from sluice.llm.language import UNKNOWN, fitted, held_out, predicted, usual_scores
+from sluice.llm.language import UNKNOWN, fitted, held_out, least_scores, predicted
 from sluice.llm.mixing import temperature_mix
 from sluice.llm.packing import best_fit_packing
 from sluice.llm.queries import END, SEQUENCE, vocabulary
@@ -30,12 +30,13 @@ REPEATS = 1.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, and those like none of the languages that the labelled ones teach, go."""
-    learn = docs.filter(~held_out())
-    found = fitted(learn)
-    least = {n: max(LEAST_SCORE, LEAST_PART * x) for n, x in usual_scores(learn, found).items()}
-    language, score, length = spare(docs, "predicted"), spare(docs, "score"), spare(docs, "length")
-    judged = predicted(docs, found, language=language, score=score, length=length)
+    """Documents without a letter, and those like none of the languages that the labelled ones teach, go.
+
+    Texts are scored once; the scores of the labelled ones give the limits. Nulls count as empty.
+    """
+    language, score, length, start = (spare(docs, name) for name in ("predicted", "score", "length", "start"))
+    judged = staged(predicted(docs, fitted(docs.filter(~held_out())), language=language, score=score, length=length, start=start))
+    least = {n: max(LEAST_SCORE, LEAST_PART * x) for n, x in least_scores(judged.filter(~held_out()), score, length, start).items()}
     enough = F.lit(LEAST_SCORE)
     for n, x in sorted(least.items()):  # a class without labelled texts counts as the one below
         enough = F.when(F.col(length) < n, enough).otherwise(x)
