@@ -74,6 +74,36 @@ def test_token_counts_shuffle_nothing_and_sample_the_table(spark, monkeypatch):
     assert len(token_module.frequent_lengths(table, path)[0]) == 2 and sorted(token_counts(table, path).collect()) == whole
 
 
+def test_frequent_words_are_counted_in_all_documents(spark, monkeypatch):
+    path = FILES["byte_bpe_50k.json"]
+    late = spark.range(0, 70, 1, 70).selectExpr("if(id < 64, repeat('early ', 30) || 'end', repeat('late ', 4000) || 'end') AS text")
+    assert token_module.frequent_lengths(late, path, most=3)[0] == ("late", "early", "end")
+    long = spark.range(0, 3, 1, 1).selectExpr("if(id = 0, repeat('first ', 800000) || 'end', repeat('behind ', 500000) || 'end') AS text")
+    assert token_module.frequent_lengths(long, path, most=3)[0] == ("behind", "first", "end")
+    # A word that comes back among new ones stays, whatever the order and however little room there is.
+    rare = spark.range(0, 2000, 1, 3).selectExpr("'a' || id || ' b' || id || ' often c' || id || ' d' || id || ' e' AS text")
+    monkeypatch.setattr(token_module, "slices", lambda batches, text: (b.slice(i, 1) for b in batches for i in range(b.num_rows)))
+    monkeypatch.setattr(token_module, "COUNTED", 16)
+    monkeypatch.setattr(token_module, "FREQUENT", 8)
+    monkeypatch.setattr(token_module, "HANDED_ON", 8)
+    pieces, lengths = token_module.frequent_lengths(rare, path, most=2)
+    assert pieces == ("e", "often") and lengths == tuple(len(LIBRARY["byte_bpe_50k.json"].encode(" " + p, add_special_tokens=False).ids) for p in pieces)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_lightened_counts_miss_less_than_one_word_in_as_many_as_are_kept(seed):
+    generator, most = random.Random(seed), 7
+    words = [f"w{int(generator.paretovariate(0.4))}" for _ in range(5000)] + [f"x{i}" for i in range(3000)]
+    generator.shuffle(words)
+    seen, exact = Counter(), Counter(words)
+    for i in range(0, len(words), 20):
+        seen.update(words[i:i + 20])
+        seen = token_module.lightened(seen, most)
+        assert len(seen) <= most
+    assert all(0 <= n - seen[p] <= len(words) / (most + 1) for p, n in exact.items())
+    assert {p for p, n in exact.items() if n > len(words) / (most + 1)} <= set(seen)
+
+
 @pytest.mark.parametrize("name", FILES)
 def test_a_full_cache_forgets_only_what_is_not_met_again(name):
     encoder = Encoder(FILES[name], len, sum, {"the": 1})
